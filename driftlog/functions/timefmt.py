@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: the RFC 3339 date-time shape (T separator, optional fraction, Z or offset).
 RFC3339_RE = (
-    "^[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}"
-    "(\\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
+    "^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
+    "(\\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
 )
 
 
@@ -17,10 +17,14 @@ def rfc3339_text(c: Column) -> Column:
     return F.coalesce(c.rlike(RFC3339_RE), F.lit(False))
 
 
+# Fixed value: the zero instant 0001-01-01T00:00:00Z in micros, which means "missing".
+ZERO_TIME_MICROS = -62135596800000000
+
+
 def parse_rfc3339(c: Column) -> Column:
-    """Timestamp from RFC 3339 text; NULL when malformed or at the zero time (year 1)."""
+    """Timestamp from RFC 3339 text; NULL when malformed or exactly the zero instant."""
     ts = F.when(rfc3339_text(c), F.try_to_timestamp(c))
-    return F.when(F.year(ts) > 1, ts)
+    return F.when(F.unix_micros(ts) != ZERO_TIME_MICROS, ts)
 
 
 def format_rfc3339(ts: Column) -> Column:
