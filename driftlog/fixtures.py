@@ -54,8 +54,11 @@ SEARCH_REQUESTS = [
     ("from-after-to", "tenant-0", "", "", "", "2024-01-20T00:00:00Z", "2024-01-10T00:00:00Z", "1", "100"),
     ("fractions", "tenant-3", "", "WARN", "", "2024-01-05T10:00:00.900Z", "2024-01-06T10:00:00.999Z", "1", "100"),
     ("bad-times", "tenant-0", "", "", "", "yesterday", "2024-13-45", "1", "100"),
-    ("at-cutoff", "tenant-2", "", "", "", "2024-01-01T00:00:00Z", "2024-01-31T00:00:00Z", "1", "100"),
+    ("at-cutoff", "tenant-2", "", "", "", "2023-12-31T00:00:00Z", "2024-01-31T00:00:00Z", "1", "100"),
+    ("cold-old", "tenant-1", "", "INFO", "", "2023-06-01T00:00:00Z", "2024-01-03T00:00:00Z", "1", "20"),
 ]
+# Fixed value: the clock the search fixtures are routed with (hot cutoff = now - 30 days).
+SEARCH_NOW = "2024-01-30T00:00:00Z"
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,3 +143,97 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         # a deterministic event time per line: 2024-01-01 + doc_id minutes + pos ms
         F.timestamp_micros(F.lit(1704067200_000000) + F.col("doc_id") * 60_000_000 + F.col("pos") * 1000).alias("ts"),
     )
+
+
+# Fixed values (FIXTURES.md C1): edge-case batch texts, as (edge id, text).
+_ENTRY_OK = ('{"log_id":"edge-ok","tenant_id":"tenant-0","service":"svc","level":" warn\\u00a0",'
+             '"message":"ok","event_timestamp":"2024-01-02T03:04:05.123456789+05:30","fields":{"a":"b","c":null}}')
+EDGE_BATCHES = [
+    ("c01", ""),
+    ("c02", "not-json"),
+    ("c03", "null"),
+    ("c04", "{}"),
+    ("c05", "[]"),
+    ("c06", '"x"'),
+    ("c07", "5"),
+    ("c08", '{"entries":null}'),
+    ("c09", '{"entries":[null]}'),
+    ("c10", '{"entries":{}}'),
+    ("c11", '{"entries":[5]}'),
+    ("c12", '{"entries":[{"message":5}]}'),
+    ("c13", '{"entries":[{"fields":{"a":1}}]}'),
+    ("c14", '{"unknown":1,"entries":[' + _ENTRY_OK + "]}"),
+    ("c15", "{} x"),
+    ("c16", "{}{}"),
+    ("c17", "{},{}"),
+    ("c18", "{}] x"),
+    ("c19", "{}} x"),
+    ("c20", '{"a":1,"a":2}'),
+    ("c21", '{"entries":[{"log_id":"edge-zero","tenant_id":"tenant-1","message":"z",'
+            '"event_timestamp":"0001-01-01T00:00:00Z","ingest_timestamp":"2024-01-05T00:00:00Z"}]}'),
+    ("c22", '{"entries":[{"event_timestamp":"2026-04-26"}]}'),
+    ("c23", '{"entries":[{"event_timestamp":"2026-04-26 10:00:00Z"}]}'),
+    ("c24", '{"entries":[{"event_timestamp":"garbage"}]}'),
+    ("c25", '{"entries":[{"log_id":"edge-blank","tenant_id":"tenant-2","message":" ",'
+            '"ingest_timestamp":"2024-01-05T00:00:00Z"},{"log_id":"edge-notenant","message":"m"}]}'),
+]
+
+
+def raw_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B3: one JSON batch per conversation (chunks of 100 turns) plus the C1 edge texts.
+
+    Columns: batch_id, value (JSON text).
+    """
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    base = F.lit(1704067200_000000) + F.col("conv_id") * 60_000_000 + F.col("turn") * 1_000_000
+    fmt = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+    entry = F.struct(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("log_id"),
+        F.concat(F.lit("tenant-"), (F.col("conv_id") % 4).cast("string")).alias("tenant_id"),
+        F.col("role").alias("service"),
+        F.lit("h1").alias("host"),
+        F.lit("test").alias("environment"),
+        F.when(F.col("role") == "user", F.lit("info")).otherwise(F.lit("debug")).alias("level"),
+        F.col("text").alias("message"),
+        F.date_format(F.timestamp_micros(base), fmt).alias("event_timestamp"),
+        F.date_format(F.timestamp_micros(base + 1_000_000), fmt).alias("ingest_timestamp"),
+    )
+    chunk = F.floor(F.col("turn") / 100)
+    grouped = conv.groupBy("conv_id", chunk.alias("chunk")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("turn"), entry.alias("e")))).alias("items"))
+    batches = grouped.select(
+        F.concat(F.lit("b"), F.col("conv_id").cast("string"), F.lit("-"), F.col("chunk").cast("string")).alias("batch_id"),
+        F.to_json(F.struct(
+            F.concat(F.lit("a"), F.col("conv_id").cast("string")).alias("agent_id"),
+            F.transform("items", lambda it: it["e"]).alias("entries"),
+            F.lit("2024-02-01T00:00:00Z").alias("sent_at"),
+        )).alias("value"),
+    )
+    edges = spark.createDataFrame(EDGE_BATCHES, "batch_id string, value string")
+    return batches.unionByName(edges)
+
+
+def daily_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One search request per (tenant, UTC day) present in events; the day of month picks
+    the variant (level / service / text / page 2 / oversized page / bad times)."""
+    ev = events(spark, sf_dir)
+    days = ev.select(F.concat(F.lit("tenant-"), (F.col("user_id") % 4).cast("string")).alias("tenant_id"),
+                     F.to_date("ts").alias("day")).distinct()
+    dom = F.dayofmonth("day")
+    v = dom % 5
+    day_txt = F.date_format("day", "yyyy-MM-dd")
+    nxt_txt = F.date_format(F.date_add("day", 1), "yyyy-MM-dd")
+    frm = F.when(dom % 7 == 0, F.lit("yesterday")).otherwise(F.concat(day_txt, F.lit("T00:00:00.900Z")))
+    to = F.when(dom % 11 == 0, F.lit("garbage")).otherwise(F.concat(nxt_txt, F.lit("T06:00:00Z")))
+    return days.select(
+        F.concat(F.col("tenant_id"), F.lit("@"), day_txt).alias("request_id"),
+        "tenant_id",
+        F.when(v == 1, F.lit("view")).otherwise(F.lit("")).alias("service"),
+        F.when(v == 0, F.lit("ERROR")).otherwise(F.lit("")).alias("level"),
+        F.when(v == 2, F.lit("k=7 k=42")).otherwise(F.lit("")).alias("q"),
+        frm.alias("from"),
+        to.alias("to"),
+        F.when(v == 3, F.lit("2")).when(dom % 13 == 0, F.lit("abc")).otherwise(F.lit("1")).alias("page"),
+        F.when(v == 3, F.lit("50")).when(v == 4, F.lit("9999")).when(dom % 9 == 0, F.lit("0"))
+        .otherwise(F.lit("20")).alias("page_size"),
+    )

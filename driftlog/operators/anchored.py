@@ -127,8 +127,8 @@ def _make_fold(key_names: list[str], after: bool, has_pass: bool, out_names: tup
             n = rb.num_rows
             if n == 0:
                 continue
-            t_all = np.asarray(rb.column(_T).to_numpy(zero_copy_only=False), dtype=np.int64)
-            w_all = np.asarray(rb.column(_W).to_numpy(zero_copy_only=False), dtype=np.int64)
+            t_all = np.asarray(pc.fill_null(rb.column(_T), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            w_all = np.asarray(pc.fill_null(rb.column(_W), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
             anchor = t_all.copy()
             ordinal = np.ones(n, dtype=np.int64)
             if has_pass:
@@ -187,7 +187,10 @@ def anchored_windows(
     else:
         w_expr = F.lit(int(round(float(width) * MICROS))).cast("long")
     x = df.withColumn(_T, F.unix_micros(F.col(ts).cast("timestamp"))).withColumn(_W, w_expr)
-    has_pass = passthrough is not None
+    # rows without a time cannot be placed in a window: they pass through (ordinal 1)
+    no_time = F.col(_T).isNull() | F.col(_W).isNull()
+    passthrough = no_time if passthrough is None else (F.coalesce(passthrough, F.lit(False)) | no_time)
+    has_pass = True
     if has_pass:
         x = x.withColumn(_P, F.coalesce(passthrough, F.lit(False)))
         # passthrough rows spread by content; keyed rows co-locate by key
@@ -209,6 +212,6 @@ def anchored_windows(
     y = x.mapInArrow(_make_fold(keys, after, has_pass, ("__aw_anchor", "__aw_ord")), out_schema)
     return y.select(
         *[F.col(c) for c in base_cols],
-        F.timestamp_micros(F.col("__aw_anchor")).alias(anchor_col),
+        F.when(F.col(_T).isNotNull(), F.timestamp_micros(F.col("__aw_anchor"))).alias(anchor_col),
         F.col("__aw_ord").alias(ordinal_col),
     )

@@ -56,7 +56,8 @@ def assemble_batches(entries: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, a
     numbered = number_within(entries, [agent_col], list(order), out="__rn").withColumn(
         "batch_no", F.floor((F.col("__rn") - 1) / F.lit(batch_size)).cast("long"))
     batches = numbered.groupBy(agent_col, "batch_no").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("__rn"), entry_struct.alias("e")))).alias("__items"),
+        F.array_sort(F.collect_list(F.struct(F.col("__rn"), entry_struct.alias("e"))),
+                     lambda a, b: F.signum(a["__rn"] - b["__rn"]).cast("int")).alias("__items"),
     )
     return batches.select(
         F.col(agent_col).alias("agent_id"), "batch_no",

@@ -158,38 +158,44 @@ def route_tier(requests: DataFrame, now: datetime, hot_days: int = DEFAULT_HOT_D
 
 
 def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Answer a batch of routed requests at once: (page rows, totals per request).
-
-    The requests join the entries on tenant (hash) with the range, service,
-    level and text filters as residuals. Each request keeps only its top
-    offset+size rows per partition before the shuffle (window group limit),
-    then its exact page; the total is a plain count per request.
+    """Answer a batch of routed requests at once: (page rows, totals per request), keyed by
+    ``search_id`` (the request's ``request_id``; entries have a column of that name).
+
+    Each request is expanded into the UTC days its range covers (the day
+    partitions it would read) and joins the entries on (tenant, day) by hash,
+    with the exact range, service, level and text filters as residuals, so
+    no request is paired with a tenant's whole history. A constant bound on
+    the deepest page lets each task keep only its per-request top-k before the
+    shuffle (window group limit); the total is a count per request.
     """
+    day = F.col("event_date") if "event_date" in table.columns else F.to_date(F.col("event_timestamp"))
+    terms = F.col("message_terms") if "message_terms" in table.columns else tokens(F.col("message"))
     r = routed.select(
-        "request_id", F.col("tenant_id").alias("r_tenant"), F.col("service").alias("r_service"),
-        F.col("level").alias("r_level"), tokens(F.coalesce(F.col("q"), F.lit(""))).alias("r_terms"),
+        F.col("request_id").alias("search_id"), F.col("tenant_id").alias("r_tenant"),
+        F.col("service").alias("r_service"), F.col("level").alias("r_level"),
+        F.coalesce(F.col("q"), F.lit("")).alias("r_q"), tokens(F.coalesce(F.col("q"), F.lit(""))).alias("r_terms"),
         "lo_ts", "hi_ts", "page_no", "size",
-    )
-    n = routed.count()
-    if n <= MAX_BROADCAST_REQUESTS:
+    ).filter(F.col("lo_ts") <= F.col("hi_ts"))
+    r = r.withColumn("r_day", F.explode(F.sequence(F.to_date("lo_ts"), F.to_date("hi_ts"))))
+    if r.count() <= MAX_BROADCAST_REQUESTS:
         r = F.broadcast(r)
     cond = (
-        (F.col("tenant_id") == F.col("r_tenant"))
+        (F.col("tenant_id") == F.col("r_tenant")) & (day == F.col("r_day"))
         & (F.col("event_timestamp") >= F.col("lo_ts")) & (F.col("event_timestamp") <= F.col("hi_ts"))
         & ((F.col("r_service") == "") | (F.col("service") == F.col("r_service")))
         & ((F.col("r_level") == "") | (F.col("level") == F.col("r_level")))
-        & ((F.size("r_terms") == 0) | F.arrays_overlap(tokens(F.col("message")), F.col("r_terms")))
+        & ((F.col("r_q") == "") | F.arrays_overlap(terms, F.col("r_terms")))
     )
     hits = table.join(r, cond, "inner")
-    # deepest row any request needs: a constant bound lets the planner keep only the
-    # per-request top-k in each task before the shuffle (WindowGroupLimit)
+    # deepest row any request needs: a constant bound enables the map-side top-k
     kmax = routed.agg(F.max(F.col("page_no") * F.col("size")).alias("k")).first()["k"] or 0
-    w = Window.partitionBy("request_id").orderBy(*order_columns())
+    w = Window.partitionBy("search_id").orderBy(*order_columns())
     ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(kmax)))
     ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
     lo = (F.col("page_no") - 1) * F.col("size")
     page = ranked.filter((F.col("rank") > lo) & (F.col("rank") <= lo + F.col("size")))
-    counts = hits.groupBy("request_id").agg(F.count(F.lit(1)).alias("total"))
-    totals = routed.select("request_id", "page_no", "size", "tier").join(counts, "request_id", "left") \
+    counts = hits.groupBy("search_id").agg(F.count(F.lit(1)).alias("total"))
+    totals = routed.select(F.col("request_id").alias("search_id"), "page_no", "size", "tier") \
+        .join(counts, "search_id", "left") \
         .withColumn("total", F.coalesce(F.col("total"), F.lit(0)).cast("long"))
     return page, totals

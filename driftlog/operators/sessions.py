@@ -1,7 +1,10 @@
-"""Idle-reset counters: a count per key that restarts after a gap of at least ``gap`` seconds.
+"""Idle-reset counters: a count per key that restarts once the key has been idle longer than ``gap``.
 
-Every increment renews the expiry, so a counter lives as long as events keep
-arriving closer than the gap: that is a session window.
+Every increment renews the expiry, so a counter lives as long as each event
+arrives no later than ``gap`` after the previous one: that is a session
+window. A key expires only when the clock is *past* its expiry instant, so an
+event exactly ``gap`` after the previous one still counts in the same session
+(Spark's session_window merges at equality too).
 """
 
 from __future__ import annotations
@@ -15,9 +18,9 @@ from pyspark.sql import functions as F
 def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
     """One row per (key, session): start, end (last event + gap) and count.
 
-    ``session_window`` merges events closer than the gap; a gap of exactly
-    ``gap_seconds`` starts a new session. The aggregation is partial per task
-    (map-side) before the shuffle on the key.
+    A new session starts only after a gap strictly longer than ``gap_seconds``.
+    Counting is partial per task (map-side) before the shuffle on the key, so
+    a hot key ships one partial session per task, not its rows.
     """
     sw = F.session_window(F.col(ts).cast("timestamp"), f"{int(gap_seconds)} seconds")
     agg = events.groupBy(*[F.col(k) for k in keys], sw.alias("session")).agg(F.count(F.lit(1)).alias("count"))
