@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driftlog.functions.text import contains_ci, equal_fold
 from driftlog.operators.anchored import anchored_windows
@@ -17,8 +18,10 @@ MAX_BROADCAST_RULES = 5_000
 def _with_positions(rules: DataFrame) -> DataFrame:
     if "rule_pos" in rules.columns:
         return rules
-    # rule order is the row order of the (small, single-slice) rules table
-    return rules.coalesce(1).withColumn("rule_pos", F.monotonically_increasing_id())
+    # rule order is the row order of the rules table (zipWithIndex keeps it, and works as the
+    # static side of a streaming join)
+    schema = T.StructType(list(rules.schema.fields) + [T.StructField("rule_pos", T.LongType(), False)])
+    return rules.sparkSession.createDataFrame(rules.rdd.zipWithIndex().map(lambda p: (*p[0], p[1])), schema)
 
 
 def rule_predicate(e_tenant, e_level, e_message, r_tenant, r_level, r_needle):
