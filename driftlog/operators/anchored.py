@@ -166,10 +166,14 @@ def anchored_windows(
     anchor_col: str = "window_start",
     ordinal_col: str = "ordinal",
     num_partitions: int | None = None,
+    mode: str = "hash",
 ) -> DataFrame:
     """Add ``window_start`` (timestamp of the window's first event) and ``ordinal`` (1-based
     position in the window) to every row.
 
+    mode: "hash" (one shuffle on the key; right for many small keys) or "range"
+    (``rangefold``: a hot key is spread over many tasks, exact via boundary states).
+
     keys: grouping columns; ts: event-time column (timestamp); width: seconds, or
     the name of a column giving the width of a window opened at that row;
     boundary: "after" (new window iff t > start + W, alerts) or "at_or_after"
@@ -178,6 +182,13 @@ def anchored_windows(
     """
     if boundary not in ("after", "at_or_after"):
         raise ValueError("boundary must be 'after' or 'at_or_after'")
+    if mode == "range":
+        from driftlog.operators.rangefold import anchored_windows_range  # noqa: PLC0415
+
+        return anchored_windows_range(df, keys, ts, width, boundary, order, passthrough, anchor_col,
+                                      ordinal_col, num_partitions)
+    if mode != "hash":
+        raise ValueError("mode must be 'hash' or 'range'")
     after = boundary == "after"
     ship_package(df.sparkSession)
     keys = list(keys)

@@ -82,3 +82,30 @@ def test_null_time_passes_through(spark):
         "ts", F.timestamp_seconds("s"))
     out = anchored_windows(df, ["k"], "ts", 10).collect()
     assert sorted((r.s is None, r.ordinal) for r in out) == [(False, 1), (False, 2), (True, 1)]
+
+
+@pytest.mark.parametrize("boundary", ["after", "at_or_after"])
+def test_range_mode_equals_hash_mode_with_hot_key(spark, boundary):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(6000):
+        k = "hot" if i % 5 else f"k{i % 17}"
+        rows.append((k, rnd.randrange(0, 3 * 10**8) if i % 7 else (i // 7) * 1000, i, rnd.choice([2.0, 3.5])))
+    rows.append(("hot", None, 99999, 2.0))
+    df = spark.createDataFrame(rows, "k string, us long, tie long, w double").withColumn("ts", F.timestamp_micros("us"))
+    pas = F.col("k") == "k3"
+    h = anchored_windows(df, ["k"], "ts", "w", boundary, order=["tie"], passthrough=pas).collect()
+    r = anchored_windows(df, ["k"], "ts", "w", boundary, order=["tie"], passthrough=pas, mode="range",
+                         num_partitions=11).collect()
+    assert {x.tie: (x.window_start, x.ordinal) for x in h} == {x.tie: (x.window_start, x.ordinal) for x in r}
+
+
+def test_range_mode_overflow_fallback(spark):
+    from driftlog.operators.rangefold import anchored_windows_range
+    rows = [("a", i * 700, i) for i in range(3000)]  # a lattice: chains never merge
+    df = spark.createDataFrame(rows, "k string, us long, tie long").withColumn("ts", F.timestamp_micros("us"))
+    h = anchored_windows(df, ["k"], "ts", 0.005, "after", order=["tie"]).collect()
+    # max_runs=1: every one-key partition's summary overflows and is refolded alone
+    r = anchored_windows_range(df, ["k"], "ts", 0.005, "after", order=["tie"], num_partitions=7,
+                               max_runs=1).collect()
+    assert {x.tie: (x.window_start, x.ordinal) for x in h} == {x.tie: (x.window_start, x.ordinal) for x in r}
