@@ -64,7 +64,7 @@ def evaluate_rules(
     first_only: bool = False,
     with_state: bool = False,
     num_partitions: int | None = None,
-    mode: str = "range",
+    mode: str = "auto",
 ) -> DataFrame:
     """Alerts: every match whose running count in its window reaches the rule's threshold.
 
@@ -73,8 +73,9 @@ def evaluate_rules(
     start + W and an event exactly at the end still counts in it.
     ``first_only`` keeps only the alert at which the threshold is first reached.
     ``with_state`` returns every match with its window and count instead.
-    (rule, tenant) keys are few and hot, so the fold defaults to ``mode="range"``:
-    one hot key is spread over many tasks with exact boundary states.
+    (rule, tenant) keys are few and hot: on large inputs (``mode="auto"``) the
+    fold runs in range mode, one hot key spread over many tasks with exact
+    boundary states.
     """
     m = match_rules(entries, rules)
     w = anchored_windows(

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlog.session import ship_package
+from driftlog.session import fold_mode, ship_package
 
 MICROS = 1_000_000
 _T = "__aw_t"
@@ -166,13 +166,15 @@ def anchored_windows(
     anchor_col: str = "window_start",
     ordinal_col: str = "ordinal",
     num_partitions: int | None = None,
-    mode: str = "hash",
+    mode: str = "auto",
 ) -> DataFrame:
     """Add ``window_start`` (timestamp of the window's first event) and ``ordinal`` (1-based
     position in the window) to every row.
 
-    mode: "hash" (one shuffle on the key; right for many small keys) or "range"
-    (``rangefold``: a hot key is spread over many tasks, exact via boundary states).
+    mode: "hash" (one shuffle on the key; a key is one streaming task), "range"
+    (``rangefold``: a hot key is spread over many tasks, exact via boundary
+    states) or "auto" (range when the input is estimated above
+    ``spark.driftlog.rangeFoldMinBytes``, where one key could outgrow a task).
 
     keys: grouping columns; ts: event-time column (timestamp); width: seconds, or
     the name of a column giving the width of a window opened at that row;
@@ -182,6 +184,7 @@ def anchored_windows(
     """
     if boundary not in ("after", "at_or_after"):
         raise ValueError("boundary must be 'after' or 'at_or_after'")
+    mode = fold_mode(df, mode)
     if mode == "range":
         from driftlog.operators.rangefold import anchored_windows_range  # noqa: PLC0415
 

@@ -17,15 +17,15 @@ def dedup_ttl(
     arrival: str = "ingest_timestamp",
     order: Sequence[str] = ("log_id",),
     num_partitions: int | None = None,
-    mode: str = "hash",
+    mode: str = "auto",
 ) -> DataFrame:
     """Keep the first entry per id and TTL window; an entry at exactly first-sight + TTL is new.
 
     Ids are global across tenants by default (``keys=["tenant_id", "log_id"]`` scopes them).
     Entries with an empty id are never deduplicated: they pass through the same
     shuffle spread by content, so an empty id cannot become one hot group.
-    ``mode="range"`` spreads an id with very many copies over many tasks
-    (exact; costs a sampling pass and a checkpoint), see ``rangefold``.
+    On large inputs (``mode="auto"``) the fold runs in range mode, so an id with
+    very many copies is spread over many tasks (exact), see ``rangefold``.
     """
     keys = list(keys)
     empty = F.coalesce(F.col("log_id"), F.lit("")) == ""

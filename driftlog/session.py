@@ -97,3 +97,37 @@ def ship_package(spark: SparkSession) -> None:
     archive = shutil.make_archive(os.path.join(out, "driftlog"), "zip", root_dir=root, base_dir="driftlog")
     sc.addPyFile(archive)
     _SHIPPED.add(key)
+
+
+# Inputs estimated above this size fold in range mode (a hot key may outgrow one task);
+# below it, one task per key is cheaper. Override with spark.driftlog.rangeFoldMinBytes.
+RANGE_FOLD_MIN_BYTES = 1 << 30
+
+
+def estimated_bytes(df) -> int:
+    """Input volume of a plan: the summed size of its leaves (file scans, local rows).
+
+    Join estimates multiply sizes, so the plan's own estimate is useless here;
+    the leaves are what the job reads. No job runs.
+    """
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        known, unknown = 0, False
+        for i in range(leaves.size()):
+            v = leaves.apply(i).stats().sizeInBytes()
+            v = int(v if isinstance(v, int) else v.toString())
+            if v >= (1 << 63) - 1:  # no statistics (e.g. an RDD-backed leaf)
+                unknown = True
+            else:
+                known += v
+        return known if known or not unknown else 1 << 62
+    except Exception:  # noqa: BLE001 - statistics unavailable: assume large
+        return 1 << 62
+
+
+def fold_mode(df, mode: str) -> str:
+    """Resolve mode="auto" to "hash" or "range" from the input's estimated size."""
+    if mode != "auto":
+        return mode
+    limit = int(df.sparkSession.conf.get("spark.driftlog.rangeFoldMinBytes", str(RANGE_FOLD_MIN_BYTES)))
+    return "range" if estimated_bytes(df) >= limit else "hash"

@@ -27,3 +27,18 @@ def test_fixture_admitted_per_tenant(spark):
     t = throttle(fx.requests(spark, SF01), 10, order=["request_id"])
     got = {r.tenant_id: r.n for r in t.filter("admitted").groupBy("tenant_id").agg(F.count("*").alias("n")).collect()}
     assert got == {"tenant-0": 2007, "tenant-1": 2005, "tenant-2": 2004, "tenant-3": 2009}
+
+
+def test_range_mode_equals_hash_mode(spark):
+    import random
+    rnd = random.Random(4)
+    rows, t = [], {"a": 0, "b": 0, "c": 0}
+    for i in range(6000):
+        k = "a" if i % 3 else rnd.choice("bc")
+        t[k] += rnd.choice([30_000, 80_000, 120_000, 1_500_000 if i % 97 == 0 else 50_000])
+        rows.append((f"r{i}", k, t[k]))
+    df = spark.createDataFrame(rows, "request_id string, tenant_id string, us long").withColumn(
+        "ts", F.timestamp_micros("us"))
+    h = throttle(df, 10, order=["request_id"], mode="hash").collect()
+    r = throttle(df, 10, order=["request_id"], mode="range", num_partitions=9).collect()
+    assert {x.request_id: (x.admitted, x.tokens_left) for x in h} == {x.request_id: (x.admitted, x.tokens_left) for x in r}
