@@ -70,9 +70,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B1: one entry per event plus replays; keeps ``shift`` and ``event_id`` as tie-breaks."""
     ev = events(spark, sf_dir)
-    # four constant rows: a broadcast of proven size
-    replays = F.broadcast(spark.createDataFrame(REPLAYS, "shift int, m int"))
-    x = ev.join(replays, (F.col("event_id") % F.col("m")) == 0, "inner")
+    # each event fans out to the replays that select it (no join: a filtered constant array)
+    replays = F.array(*[F.struct(F.lit(s).alias("shift"), F.lit(m).alias("m")) for s, m in REPLAYS])
+    x = ev.withColumn("__r", F.explode(F.filter(replays, lambda r: (F.col("event_id") % r["m"]) == 0))) \
+        .withColumn("shift", F.col("__r.shift")).drop("__r")
     k = F.get_json_object("props", "$.k")
     level = F.lit("")
     for etype, text in reversed(list(LEVEL_BY_TYPE.items())):

@@ -177,7 +177,8 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
         "lo_ts", "hi_ts", "page_no", "size",
     ).filter(F.col("lo_ts") <= F.col("hi_ts"))
     r = r.withColumn("r_day", F.explode(F.sequence(F.to_date("lo_ts"), F.to_date("hi_ts"))))
-    if r.count() <= MAX_BROADCAST_REQUESTS:
+    small = r.count() <= MAX_BROADCAST_REQUESTS  # size check before any broadcast
+    if small:
         r = F.broadcast(r)
     cond = (
         (F.col("tenant_id") == F.col("r_tenant")) & (day == F.col("r_day"))
@@ -195,6 +196,7 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
     lo = (F.col("page_no") - 1) * F.col("size")
     page = ranked.filter((F.col("rank") > lo) & (F.col("rank") <= lo + F.col("size")))
     counts = hits.groupBy("search_id").agg(F.count(F.lit(1)).alias("total"))
+    counts = F.broadcast(counts) if small else counts  # one row per request at most
     totals = routed.select(F.col("request_id").alias("search_id"), "page_no", "size", "tier") \
         .join(counts, "search_id", "left") \
         .withColumn("total", F.coalesce(F.col("total"), F.lit(0)).cast("long"))

@@ -5,24 +5,38 @@ arrives no later than ``gap`` after the previous one: that is a session
 window. A key expires only when the clock is *past* its expiry instant, so an
 event exactly ``gap`` after the previous one still counts in the same session
 (Spark's session_window merges at equality too).
+
+Plan (exact, and a hot key never reaches one task as rows): cut time into
+buckets of width ``gap``. Two events in one bucket are less than ``gap``
+apart, so a bucket never splits a session. A grouped aggregate reduces every
+(key, bucket) to (first, last, count), combined map-side before the shuffle.
+Sessions are then chained over those bucket summaries, whose number per key
+is bounded by its time span / gap, not by its rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
-    """One row per (key, session): start, end (last event + gap) and count.
-
-    A new session starts only after a gap strictly longer than ``gap_seconds``.
-    Counting is partial per task (map-side) before the shuffle on the key, so
-    a hot key ships one partial session per task, not its rows.
-    """
-    sw = F.session_window(F.col(ts).cast("timestamp"), f"{int(gap_seconds)} seconds")
-    agg = events.groupBy(*[F.col(k) for k in keys], sw.alias("session")).agg(F.count(F.lit(1)).alias("count"))
-    return agg.select(*keys, F.col("session.start").alias("session_start"),
-                      F.col("session.end").alias("session_end"), "count")
+    """One row per (key, session): session_start, session_end (last event + gap), count."""
+    keys = list(keys)
+    gap_us = int(gap_seconds) * 1_000_000
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    x = events.select(*keys, us.alias("__us")).filter(F.col("__us").isNotNull())
+    buckets = x.groupBy(*keys, F.floor(F.col("__us") / F.lit(gap_us)).alias("__b")).agg(
+        F.min("__us").alias("__first"), F.max("__us").alias("__last"), F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy("__b")
+    prev_last = F.lag("__last").over(w)
+    starts = buckets.withColumn(
+        "__new", F.when(prev_last.isNull() | ((F.col("__first") - prev_last) > gap_us), 1).otherwise(0))
+    sid = starts.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    agg = sid.groupBy(*keys, "__sid").agg(
+        F.min("__first").alias("__s"), F.max("__last").alias("__e"), F.sum("__n").alias("count"))
+    return agg.select(*keys, F.timestamp_micros(F.col("__s")).alias("session_start"),
+                      F.timestamp_micros(F.col("__e") + gap_us).alias("session_end"),
+                      F.col("count").cast("long").alias("count"))
