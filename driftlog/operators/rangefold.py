@@ -5,7 +5,11 @@ replayed many times). Hashing on the key would give it one task. Here:
 
 1. ``repartitionByRange(keys, t, order)`` spreads a hot key over consecutive
    partitions. The sorted data is checkpointed (reliable, in the shared
-   checkpoint folder), so both passes read the same partitions.
+   checkpoint folder), so both passes, and any later recomputation, read the
+   very same partitions: a cache could be dropped and re-planned with newly
+   sampled range bounds, which would no longer match the boundary states.
+   This costs one write of the fold's input; it is why ``mode="auto"`` uses
+   range mode only for inputs large enough for a key to outgrow a task.
 2. Pass 1, in parallel: each partition reports a small summary. For a
    partition holding one key only, the window open at its end depends on the
    window carried in only through *how many leading rows that window still
