@@ -28,7 +28,7 @@ from driftlog.operators.throttle import throttle
 from driftlog.plans.pipeline import process
 from driftlog.session import apply_conf, ensure_checkpoint_dir
 from driftlog.sources.archive import archive, read_archive
-from driftlog.sources.hot import last_write_wins
+from driftlog.sources.hot import last_write_wins, read_hot, upsert_hot
 
 # Parameters of the registered queries.
 DEDUP_TTL_S = 300
@@ -102,6 +102,17 @@ def q_search_one(spark, d):
                        us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
 
 
+def q_search_hot(spark, d):
+    """The flagship request against the real hot table: day partitions pruned, filters pushed."""
+    spark = _spark(spark)
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/hot-{uuid.uuid4().hex}"
+    upsert_hot(deduped_entries(spark, d), path)
+    page, _ = search(read_hot(spark, path), _flagship_request())
+    return page.select("log_id", "tenant_id", "service", "level", "message",
+                       us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
+
+
 def _routed(spark, d):
     return route_tier(fx.daily_requests(spark, d), SEARCH_NOW)
 
@@ -243,6 +254,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "evaluate_rules": q_evaluate_rules,
     "rule_windows": q_rule_windows,
     "search_one": q_search_one,
+    "search_hot": q_search_hot,
     "route_tier": q_route_tier,
     "search_pages": q_search_pages,
     "search_totals": q_search_totals,

@@ -238,6 +238,17 @@ SELECT log_id, tenant_id, service, level, message, event_us, ingest_us FROM dd
 WHERE tenant_id = 'tenant-0' AND service = 'error' AND level = 'ERROR'
   AND event_us >= epoch_us(TIMESTAMPTZ '2024-01-01 00:00:00+00') AND event_us <= epoch_us(TIMESTAMPTZ '2024-01-31 00:00:00+00')
 ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host
+LIMIT 100 OFFSET 0""",
+
+    "search_hot": BASE + """
+SELECT log_id, tenant_id, service, level, message, event_us, ingest_us FROM (
+  SELECT * FROM dd
+  QUALIFY log_id = '' OR row_number() OVER (
+    PARTITION BY tenant_id, CAST(make_timestamp(event_us) AS DATE), log_id
+    ORDER BY ingest_us DESC, log_id DESC, shift DESC) = 1)
+WHERE tenant_id = 'tenant-0' AND service = 'error' AND level = 'ERROR'
+  AND event_us >= epoch_us(TIMESTAMPTZ '2024-01-01 00:00:00+00') AND event_us <= epoch_us(TIMESTAMPTZ '2024-01-31 00:00:00+00')
+ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host
 LIMIT 100 OFFSET 0""",
 
     "route_tier": BASE + "," + REQUESTS + """

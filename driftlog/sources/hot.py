@@ -66,7 +66,10 @@ def upsert_hot(entries: DataFrame, path: str, arrival: str = "ingest_timestamp")
         merged = new.unionByName(old)
     result = last_write_wins(merged, arrival=arrival, generation="__gen").drop("__gen")
     result = result.checkpoint(eager=True)  # lineage cut: we overwrite what we read
-    (result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # rebalance: AQE sizes the output per (tenant, day), splitting a hot day over several
+    # tasks and merging small ones, instead of every task writing a file into every day
+    (result.hint("rebalance", *PARTITION_COLUMNS).sortWithinPartitions(*PARTITION_COLUMNS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
     return result
 
