@@ -61,3 +61,20 @@ def test_session_counter_boundary(spark):
         "ts", F.timestamp_seconds("s"))
     got = sorted(r["count"] for r in session_counter(df, ["k"], "ts", 600).collect())
     assert got == [2, 2]  # exactly 600 s keeps the session; 601 s resets it
+
+
+def test_numbering_matches_row_number_random(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["a"] * 8 + ["b", "c", "d"]), rnd.randrange(0, 500), i) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, t long, tie long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = {r.tie: r.row_no for r in number_within(df, ["k"], ["t", "tie"], num_partitions=9).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    w = Window.partitionBy("k").orderBy("t", "tie")
+    want = {r.tie: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want
