@@ -24,17 +24,14 @@ def _with_positions(rules: DataFrame) -> DataFrame:
     return rules.sparkSession.createDataFrame(rules.rdd.zipWithIndex().map(lambda p: (*p[0], p[1])), schema)
 
 
-def rule_predicate(e_tenant, e_level, e_message, r_tenant, r_level, r_needle):
-    """Tenant '*' or equal; level empty or case-folded equal; needle empty or contained (case-insensitive)."""
-    return (
-        ((r_tenant == "*") | (r_tenant == e_tenant))
-        & ((F.coalesce(r_level, F.lit("")) == "") | equal_fold(r_level, e_level))
-        & contains_ci(e_message, F.coalesce(r_needle, F.lit("")))
-    )
-
-
 def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
-    """One row per (entry, matching rule), with the rule's columns prefixed ``rule_``."""
+    """One row per (entry, matching rule), with the rule's columns prefixed ``rule_``.
+
+    Every entry probes two keys, its tenant and ``*``, in one broadcast hash join on
+    the rule tenant: an entry meets only its own tenant's rules and the wildcard
+    rules, never the whole rule table, and the entries are read once. The rules
+    side is broadcast after a size check and sliced beyond the bound.
+    """
     rules = _with_positions(rules).select(
         F.col("name").alias("rule"), F.col("tenant_id").alias("rule_tenant"),
         F.col("level").alias("rule_level"), F.col("message_contains").alias("rule_needle"),
@@ -43,17 +40,16 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("webhook").alias("rule_webhook"), F.col("rule_pos").cast("long").alias("rule_pos"),
     ).cache()
     n = rules.count()  # size check before any broadcast
-    slices = [rules] if n <= MAX_BROADCAST_RULES else [
-        rules.filter((F.col("rule_pos") % ((n + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)) == i)
-        for i in range((n + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)
-    ]
+    n_slices = max(1, (n + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)
+    rest = ((F.coalesce(F.col("rule_level"), F.lit("")) == "") | equal_fold(F.col("rule_level"), F.col("level"))) \
+        & contains_ci(F.col("message"), F.coalesce(F.col("rule_needle"), F.lit("")))
+    probes = entries.withColumn("__probe", F.explode(F.array_distinct(F.array(F.col("tenant_id"), F.lit("*")))))
     out = None
-    for r in slices:
-        cond = rule_predicate(F.col("tenant_id"), F.col("level"), F.col("message"),
-                              F.col("rule_tenant"), F.col("rule_level"), F.col("rule_needle"))
-        j = entries.join(F.broadcast(r), cond, "inner")
-        out = j if out is None else out.unionByName(j)
-    return out
+    for i in range(n_slices):
+        r = rules if n_slices == 1 else rules.filter((F.col("rule_pos") % n_slices) == i)
+        part = probes.join(F.broadcast(r), (F.col("__probe") == F.col("rule_tenant")) & rest, "inner")
+        out = part if out is None else out.unionByName(part)
+    return out.drop("__probe")
 
 
 def evaluate_rules(
