@@ -60,8 +60,10 @@ def run(raw: DataFrame, out_dir: str, write_time: datetime | Column, batch_id: i
     entries = out.entries.checkpoint(eager=True)
     bus = entries.select(
         partition_key(F.col("tenant_id"), F.col("service")).alias("key"),
-        encode_entry().alias("value"), F.col("ingest_timestamp").alias("timestamp"))
-    bus.write.mode("overwrite").parquet(f"{out_dir}/normalized/batch_id={batch_id}")
+        encode_entry().alias("value"), F.col("ingest_timestamp").alias("timestamp"), "log_id")
+    # order per bus key inside every file (no shuffle: the bus itself keys by tenant|service)
+    bus.sortWithinPartitions("key", "timestamp", "log_id").drop("log_id").write.mode("overwrite") \
+        .parquet(f"{out_dir}/normalized/batch_id={batch_id}")
     out.dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
     upsert_hot(entries.select(*ENTRY_COLUMNS), f"{out_dir}/hot")
     archive(entries, f"{out_dir}/cold/batch_id={batch_id}", write_time, mode="overwrite")

@@ -86,3 +86,20 @@ def test_stream_pipeline_equals_batch(spark, tmp_path):
     assert hot.count() == batch.entries.count()
     from driftlog.sources.archive import read_archive
     assert read_archive(spark, f"{out}/cold").count() == batch.entries.count()
+
+
+def test_batch_pipeline_run_is_idempotent(spark, tmp_path):
+    from datetime import datetime, timezone
+
+    from driftlog.plans.pipeline import run
+    raw = fx.raw_batches(spark, SF001)
+    out = str(tmp_path / "out")
+    wt = datetime(2024, 2, 1, 10, tzinfo=timezone.utc)
+    first = run(raw, out, wt, batch_id=0)
+    again = run(raw, out, wt, batch_id=0)
+    assert first == again and first["dead_letter"] == 20
+    n = process(raw).entries.count()
+    assert first["normalized"] == n
+    assert spark.read.parquet(f"{out}/hot").count() == n
+    from driftlog.sources.archive import read_archive
+    assert read_archive(spark, f"{out}/cold").count() == n
