@@ -91,28 +91,48 @@ def _entry_struct(e: Column) -> Column:
     return F.struct(*[s(f) for f in ENTRY_STRING_FIELDS], *[t(f) for f in ENTRY_TIME_FIELDS], fields)
 
 
-def decode_batches(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """(entries, bad): one row per decoded entry with its position, and one row per rejected
-    message with ``reason`` and the raw ``value``. Other input columns are carried along."""
+def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """One frame from one parse: a row per decoded entry (``kind = 'entry'``, with ``position``
+    and the entry columns) and a row per rejected message (``kind = 'bad'``, with ``reason``
+    and the raw ``value``). Other input columns are carried along."""
     carried = [c for c in raw.columns if c != value_col]
     x = raw.withColumn("__v", F.col(value_col).cast("string"))
     x = x.withColumn("__p", F.when(is_single_json(F.col("__v")), F.try_parse_json(F.col("__v"))))
     x = x.withColumn("__why", F.when(F.col("__p").isNull(), F.lit("invalid JSON text")).otherwise(
         F.expr(_decode_reason("__p"))))
-    bad = x.filter(F.col("__why").isNotNull()).select(
-        *carried, F.col("__v").alias("value"), F.concat(F.lit(REASON_UNMARSHAL), F.col("__why")).alias("reason"))
-    good = x.filter(F.col("__why").isNull())
+    is_bad = F.col("__why").isNotNull()
     arr = F.coalesce(F.try_variant_get(F.col("__p"), "$.entries", "array<variant>"), F.array().cast("array<variant>"))
-    entries = good.select(
-        *carried,
-        F.coalesce(F.try_variant_get(F.col("__p"), "$.agent_id", "string"), F.lit("")).alias("agent_id"),
-        parse_rfc3339(F.try_variant_get(F.col("__p"), "$.sent_at", "string")).alias("sent_at"),
+    # a bad message keeps exactly one row (a NULL element); a good one a row per entry
+    arr = F.when(is_bad, F.array(F.lit(None).cast("variant"))).otherwise(arr)
+    rows = x.select(
+        *carried, F.when(is_bad, F.lit("bad")).otherwise(F.lit("entry")).alias("kind"),
+        F.when(is_bad, F.concat(F.lit(REASON_UNMARSHAL), F.col("__why"))).alias("reason"),
+        F.when(is_bad, F.col("__v")).alias("value"),
+        F.when(~is_bad, F.coalesce(F.try_variant_get(F.col("__p"), "$.agent_id", "string"), F.lit(""))).alias("agent_id"),
+        F.when(~is_bad, parse_rfc3339(F.try_variant_get(F.col("__p"), "$.sent_at", "string"))).alias("sent_at"),
         F.posexplode(arr).alias("position", "__e"),
-    ).select(*carried, "agent_id", "sent_at", "position", _entry_struct(F.col("__e")).alias("__entry")).select(
-        *carried, "agent_id", "sent_at", "position", "__entry.*")
+    )
+    return rows.select(*carried, "kind", "reason", "value", "agent_id", "sent_at", "position",
+                       _entry_struct(F.col("__e")).alias("__entry")).select(
+        *carried, "kind", "reason", "value", "agent_id", "sent_at", "position", "__entry.*")
+
+
+def split_decoded(decoded: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(entries, bad) from ``decode_all`` output."""
+    entry_cols = [c for c in decoded.columns if c not in ("kind", "reason", "value")]
+    entries = decoded.filter(F.col("kind") == "entry").select(*entry_cols)
+    bad = decoded.filter(F.col("kind") == "bad").select(*carried, "value", "reason")
     return entries, bad
 
 
+def decode_batches(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(entries, bad): one row per decoded entry with its position, and one row per rejected
+    message with ``reason`` and the raw ``value``. Other input columns are carried along.
+    Both come from one ``decode_all`` frame (persist or checkpoint it to parse once)."""
+    carried = [c for c in raw.columns if c != value_col]
+    return split_decoded(decode_all(raw, value_col), carried)
+
+
 def _rfc3339_nano(ts: Column) -> Column:
     """Go's RFC3339Nano rendering in UTC: fraction without trailing zeros; NULL -> zero time."""
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")

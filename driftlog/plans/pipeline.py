@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlog.functions.keys import partition_key
-from driftlog.operators.decode import dead_letter, decode_batches, encode_entry
+from driftlog.operators.decode import dead_letter, decode_all, encode_entry, split_decoded
 from driftlog.operators.dedup import dedup_ttl
 from driftlog.operators.normalise import is_valid, normalised
 from driftlog.schemas import ENTRY_COLUMNS
@@ -32,9 +32,17 @@ class PipelineOutputs:
 
 
 def process(raw: DataFrame, ttl_seconds: float = 300, value_col: str = "value",
-            dedup_order: tuple[str, ...] = ("log_id",)) -> PipelineOutputs:
-    """The transformation part of the pipeline (no writes)."""
-    decoded, bad = decode_batches(raw, value_col)
+            dedup_order: tuple[str, ...] = ("log_id",), parsed_once: bool = False) -> PipelineOutputs:
+    """The transformation part of the pipeline (no writes).
+
+    ``parsed_once``: checkpoint the decoded frame so the raw JSON is parsed once for
+    both the entries and the dead letters (what ``run`` does).
+    """
+    carried = [c for c in raw.columns if c != value_col]
+    all_rows = decode_all(raw, value_col)
+    if parsed_once:
+        all_rows = all_rows.checkpoint(eager=True)
+    decoded, bad = split_decoded(all_rows, carried)
     ok = is_valid(decoded)
     good = normalised(decoded.filter(ok))
     rejected = decoded.filter(~ok)
@@ -56,7 +64,7 @@ def run(raw: DataFrame, out_dir: str, write_time: datetime | Column, batch_id: i
     whole; hot/ is upserted (dynamic partition overwrite); cold/ gets this
     batch's objects under batch_id=<n> as well.
     """
-    out = process(raw, ttl_seconds)
+    out = process(raw, ttl_seconds, parsed_once=True)
     entries = out.entries.checkpoint(eager=True)
     bus = entries.select(
         partition_key(F.col("tenant_id"), F.col("service")).alias("key"),

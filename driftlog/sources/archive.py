@@ -31,10 +31,11 @@ def archive_rows(entries: DataFrame, write_time: datetime | Column) -> DataFrame
 def archive(entries: DataFrame, path: str, write_time: datetime | Column, mode: str = "append") -> None:
     """Write entries as gzip NDJSON partitioned by tenant and write hour.
 
-    Rows are clustered by tenant first so each task writes few objects.
+    ``rebalance`` clusters rows by (tenant, hour) so each task writes few objects,
+    and lets AQE split a hot tenant's hour over several tasks and files.
     """
     rows = archive_rows(entries, write_time)
-    (rows.repartition(*[F.col(c) for c in ARCHIVE_PARTITIONS]).write.mode(mode)
+    (rows.hint("rebalance", *ARCHIVE_PARTITIONS).write.mode(mode)
      .partitionBy(*ARCHIVE_PARTITIONS).option("compression", "gzip").text(path))
 
 
