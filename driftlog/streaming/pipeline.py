@@ -18,26 +18,13 @@ from driftlog.functions.keys import partition_key
 from driftlog.operators.decode import REASON_NORMALISE, decode_batches, encode_entry
 from driftlog.functions.jsonx import dead_letter_payload
 from driftlog.operators.normalise import is_valid, normalised
-from driftlog.schemas import BUS_MESSAGE, ENTRY_COLUMNS
+from driftlog.schemas import ENTRY_COLUMNS
+from driftlog.sources.bus import file_source, kafka_source  # noqa: F401  (re-exported)
 from driftlog.sources.archive import archive
 from driftlog.sources.hot import upsert_hot
 from driftlog.streaming.stateful import dedup_stream
 
 
-def bus_source(spark: SparkSession, topics: str, bootstrap: str, **options) -> DataFrame:
-    """The raw topic as a stream (needs the Kafka connector on the classpath)."""
-    r = spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("subscribe", topics)
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r.load()
-
-
-def file_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Kafka-shaped rows (topic, key, value, timestamp) from Parquet files, for replay and tests."""
-    return (spark.readStream.schema(BUS_MESSAGE).option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(path))
-
-
 def tagged_stream(raw: DataFrame, ttl_seconds: float = 300, watermark: str = "1 hour") -> DataFrame:
     """One stream of rows tagged kind = entry | rejected | bad."""
     decoded, bad = decode_batches(raw.select(F.col("value").cast("string").alias("value")))

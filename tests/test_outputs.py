@@ -97,3 +97,15 @@ def test_tail_stream_rounds(spark, tmp_path):
                     available_now=True)
     q.awaitTermination(300)
     assert sorted(got, key=int) == ["0", "1", "2", "3"]  # one round: the buffer holds 4, the rest is dropped
+
+
+def test_bus_rows(spark):
+    from driftlog.operators.decode import dead_letter, decode_batches
+    from driftlog.sources.bus import dead_letter_rows, normalized_rows
+    df = spark.createDataFrame([entry("1", tenant_id="t1", service="api", event=at(0), ingest=at(5))], LOG_ENTRY)
+    r = normalized_rows(df).first()
+    assert r.topic == "logs-normalized" and bytes(r.key) == b"t1|api" and r.timestamp == at(5).replace(tzinfo=None)
+    assert bytes(r.value).startswith(b'{"log_id":"1","tenant_id":"t1","service":"api"')
+    _, bad = decode_batches(spark.createDataFrame([("nope",)], "value string"))
+    d = dead_letter_rows(dead_letter(bad, None)).first()
+    assert d.key is None and bytes(d.value).startswith(b'{"reason":"unmarshal error: ')
