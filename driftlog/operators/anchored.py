@@ -52,8 +52,29 @@ def _key_change(cols: list[pa.ChunkedArray | pa.Array], prev_key: tuple | None)
     return out
 
 
+_Z_LIMIT = 1 << 62
+
+
 def fold_anchored(t: np.ndarray, w: np.ndarray, key_start: np.ndarray, after: bool,
                   carry: tuple | None) -> tuple[np.ndarray, np.ndarray, tuple | None]:
+    """Anchor time and ordinal for sorted rows, in slices small enough for the position layout."""
+    n = t.size
+    if n == 0:
+        return _fold_slice(t, w, key_start, after, carry)
+    step = max(1, _Z_LIMIT // (int(w.max()) + 2))
+    if n <= step:
+        return _fold_slice(t, w, key_start, after, carry)
+    anchor = np.empty(n, dtype=np.int64)
+    ordinal = np.empty(n, dtype=np.int64)
+    for lo in range(0, n, step):
+        hi = min(n, lo + step)
+        anchor[lo:hi], ordinal[lo:hi], carry = _fold_slice(t[lo:hi], w[lo:hi], key_start[lo:hi], after,
+                                                           carry if lo == 0 or not key_start[lo] else None)
+    return anchor, ordinal, carry
+
+
+def _fold_slice(t: np.ndarray, w: np.ndarray, key_start: np.ndarray, after: bool,
+                carry: tuple | None) -> tuple[np.ndarray, np.ndarray, tuple | None]:
     """Anchor time and ordinal for sorted rows.
 
     t: int64 micros, w: int64 micros (width of a window opened at that row),

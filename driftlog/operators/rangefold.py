@@ -78,7 +78,7 @@ def last_anchor_from_each_start(t: np.ndarray, w: np.ndarray, after: bool) -> np
         p = q
 
 
-def head_map(t: np.ndarray, w: np.ndarray, after: bool, max_runs: int = MAX_RUNS):
+def head_map(t: np.ndarray, w: np.ndarray, after: bool, max_runs: int = MAX_RUNS, w_max: int | None = None):
     """Exit window as a function of the carried window's end E, for a one-key partition.
 
     Returns (bounds, run_a, run_e, run_c, carry_through_from, overflow): the run
@@ -86,7 +86,10 @@ def head_map(t: np.ndarray, w: np.ndarray, after: bool, max_runs: int = MAX_RUNS
     E at or past ``carry_through_from`` means the carried window covers every row.
     """
     n = t.size
-    h = int(np.searchsorted(t, t[0] + int(w.max()), side="right"))  # rows any carried window can cover
+    # rows any carried-in window can cover: it started at or before t[0] and is at most the
+    # widest window of the whole input long
+    wm = int(w.max()) if w_max is None else int(w_max)
+    h = int(np.searchsorted(t, t[0] + wm, side="right"))
     L = last_anchor_from_each_start(t, w, after)
     js = np.arange(0, min(h, n - 1) + 1) if n else np.empty(0, dtype=np.int64)
     js = js[js < n]
@@ -111,7 +114,7 @@ def _keyed(rb: pa.RecordBatch) -> pa.RecordBatch:
     return rb if keep.size == rb.num_rows else rb.take(pa.array(keep))
 
 
-def _summarise(key_names, after, max_runs):
+def _summarise(key_names, after, max_runs, w_max):
     def fold(batches):
         first_key = last_key = None
         t_first, w_first = [], []
@@ -152,7 +155,7 @@ def _summarise(key_names, after, max_runs):
                "run_e": None, "run_c": None, "carry_through_from": None, "overflow": False}
         if single:
             tt, ww = np.concatenate(t_first), np.concatenate(w_first)
-            b, ra, re, rc, ctf, over = head_map(tt, ww, after, max_runs)
+            b, ra, re, rc, ctf, over = head_map(tt, ww, after, max_runs, w_max)
             row["overflow"] = over
             if not over:
                 row.update(bounds=b.tolist(), run_a=ra.tolist(), run_e=re.tolist(), run_c=rc.tolist(),
@@ -272,7 +275,8 @@ def anchored_windows_range(
     ck = (x.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
           .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
     x.unpersist()
-    summaries = [r.asDict() for r in ck.mapInArrow(_summarise(keys, after, max_runs), SUMMARY).collect()]
+    w_max = ck.agg(F.max(_W).alias("m")).first()["m"] or 0  # widest window anywhere
+    summaries = [r.asDict() for r in ck.mapInArrow(_summarise(keys, after, max_runs, w_max), SUMMARY).collect()]
     entering = entering_states(summaries, ck, keys, after)
     schema = T.StructType(list(ck.schema.fields) + [T.StructField("__rf_a", T.LongType(), False),
                                                     T.StructField("__rf_o", T.LongType(), False)])

@@ -109,3 +109,30 @@ def test_range_mode_overflow_fallback(spark):
     r = anchored_windows_range(df, ["k"], "ts", 0.005, "after", order=["tie"], num_partitions=7,
                                max_runs=1).collect()
     assert {x.tie: (x.window_start, x.ordinal) for x in h} == {x.tie: (x.window_start, x.ordinal) for x in r}
+
+
+def test_fold_slices_for_wide_windows():
+    import driftlog.operators.anchored as an
+    rnd = random.Random(3)
+    rows = sorted((k, rnd.randrange(0, 10**6), i) for i, k in enumerate(rnd.choice("ab") for _ in range(500)))
+    t = np.array([r[1] for r in rows], dtype=np.int64)
+    w = np.full(t.size, 50_000, dtype=np.int64)
+    ks = np.array([i == 0 or rows[i][0] != rows[i - 1][0] for i in range(len(rows))])
+    want = fold_anchored(t, w, ks, True, None)
+    old = an._Z_LIMIT
+    an._Z_LIMIT = 50_002 * 7  # force slices of 7 rows
+    try:
+        got = fold_anchored(t, w, ks, True, None)
+    finally:
+        an._Z_LIMIT = old
+    assert np.array_equal(want[0], got[0]) and np.array_equal(want[1], got[1]) and want[2] == got[2]
+
+
+def test_range_mode_with_wider_window_carried_in(spark):
+    # a wide window opened early must cover rows in later partitions whose own widths are small
+    rows = [("k", 0, 0, 100.0)] + [("k", i * 1_000_000, i, 1.0) for i in range(1, 60)]
+    df = spark.createDataFrame(rows, "k string, us long, tie long, w double").withColumn("ts", F.timestamp_micros("us"))
+    h = anchored_windows(df, ["k"], "ts", "w", "after", order=["tie"], mode="hash").collect()
+    r = anchored_windows(df, ["k"], "ts", "w", "after", order=["tie"], mode="range", num_partitions=6).collect()
+    assert {x.tie: x.ordinal for x in h} == {x.tie: x.ordinal for x in r}
+    assert max(x.ordinal for x in h) == 60  # one window of 100 s covers everything
