@@ -134,7 +134,7 @@ def decode_batches(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
 
 
 def _rfc3339_nano(ts: Column) -> Column:
-    """Go's RFC3339Nano rendering in UTC: fraction without trailing zeros; NULL -> zero time."""
+    """RFC 3339 in UTC with the fraction's trailing zeros trimmed; NULL -> the zero time."""
     base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
     frac = F.regexp_replace(F.date_format(ts, "SSSSSS"), "0+$", "")
     txt = F.concat(base, F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)), F.lit("Z"))
