@@ -54,3 +54,14 @@ def test_fixture_counts(spark):
     dd = dedup_ttl(good, 300, order=["log_id", "shift"])
     by_shift = {r.shift: r["count"] for r in dd.groupBy("shift").count().collect()}
     assert dd.count() == 1022 and by_shift == {0: 980, 300: 12, 600: 30}
+
+
+def test_prefilter_matches_plain_fold(spark):
+    good, _ = normalise(fx.log_entries(spark, SF001))
+    plain = dedup_ttl(good, 300, order=["log_id", "shift"], mode="hash", prefilter=False)
+    pre = dedup_ttl(good, 300, order=["log_id", "shift"], mode="hash", prefilter=True)
+    pre_range = dedup_ttl(good, 300, order=["log_id", "shift"], mode="range", prefilter=True)
+    key = lambda r: (r.log_id, r.shift, r.event_id)
+    a = sorted(map(key, plain.collect()))
+    assert a == sorted(map(key, pre.collect())) == sorted(map(key, pre_range.collect()))
+    assert len(a) == 1022
