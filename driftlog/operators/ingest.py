@@ -71,10 +71,11 @@ def authorize(requests: DataFrame, keys: DataFrame, tenant_col: str = "tenant_id
     """(admitted, rejected): tenant must be non-empty; an empty key table admits every tenant;
     otherwise (tenant, key) must match exactly."""
     has_tenant = F.coalesce(F.col(tenant_col), F.lit("")) != ""
-    if keys.isEmpty():
+    n_keys = keys.count()  # one job: the empty-table rule and the size check before broadcasting
+    if n_keys == 0:
         return requests.filter(has_tenant), requests.filter(~has_tenant)
     k = keys.select(F.col("tenant_id").alias("__kt"), F.col("api_key").alias("__kk")).dropDuplicates(["__kt"])
-    if keys.count() <= MAX_BROADCAST_KEYS:
+    if n_keys <= MAX_BROADCAST_KEYS:
         k = F.broadcast(k)
     cond = (F.col(tenant_col) == F.col("__kt")) & (F.col(key_col) == F.col("__kk")) & has_tenant
     admitted = requests.join(k, cond, "left_semi")

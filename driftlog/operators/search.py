@@ -177,7 +177,10 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
         "lo_ts", "hi_ts", "page_no", "size",
     ).filter(F.col("lo_ts") <= F.col("hi_ts"))
     r = r.withColumn("r_day", F.explode(F.sequence(F.to_date("lo_ts"), F.to_date("hi_ts"))))
-    small = r.count() <= MAX_BROADCAST_REQUESTS  # size check before any broadcast
+    # one small job: the size check before any broadcast, and the deepest row any request needs
+    stats = r.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("page_no") * F.col("size")).alias("k")).first()
+    small = stats["n"] <= MAX_BROADCAST_REQUESTS
+    kmax = stats["k"] or 0
     if small:
         r = F.broadcast(r)
     cond = (
@@ -188,8 +191,7 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
         & ((F.col("r_q") == "") | F.arrays_overlap(terms, F.col("r_terms")))
     )
     hits = table.join(r, cond, "inner")
-    # deepest row any request needs: a constant bound enables the map-side top-k
-    kmax = routed.agg(F.max(F.col("page_no") * F.col("size")).alias("k")).first()["k"] or 0
+    # a constant bound on the rank enables the map-side top-k (WindowGroupLimit)
     w = Window.partitionBy("search_id").orderBy(*order_columns())
     ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(kmax)))
     ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
