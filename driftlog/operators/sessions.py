@@ -22,10 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
-    """One row per (key, session): session_start, session_end (last event + gap), count."""
-    keys = list(keys)
-    gap_us = int(gap_seconds) * 1_000_000
+def _bucket_sessions(events: DataFrame, keys: list[str], ts: str, gap_us: int) -> DataFrame:
+    """(keys, __b, __first, __last, __n, __sid): one row per non-empty gap-wide bucket."""
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     x = events.select(*keys, us.alias("__us")).filter(F.col("__us").isNotNull())
     buckets = x.groupBy(*keys, F.floor(F.col("__us") / F.lit(gap_us)).alias("__b")).agg(
@@ -34,9 +32,35 @@ def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds
     prev_last = F.lag("__last").over(w)
     starts = buckets.withColumn(
         "__new", F.when(prev_last.isNull() | ((F.col("__first") - prev_last) > gap_us), 1).otherwise(0))
-    sid = starts.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return starts.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
+    """One row per (key, session): session_start, session_end (last event + gap), count."""
+    keys = list(keys)
+    gap_us = int(gap_seconds) * 1_000_000
+    sid = _bucket_sessions(events, keys, ts, gap_us)
     agg = sid.groupBy(*keys, "__sid").agg(
         F.min("__first").alias("__s"), F.max("__last").alias("__e"), F.sum("__n").alias("count"))
     return agg.select(*keys, F.timestamp_micros(F.col("__s")).alias("session_start"),
                       F.timestamp_micros(F.col("__e") + gap_us).alias("session_end"),
                       F.col("count").cast("long").alias("count"))
+
+
+def running_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int,
+                    order: Sequence[str] = ()) -> DataFrame:
+    """Every event with ``counter``: the value after its increment (1 after an idle gap),
+    and ``session_start``. Events map to sessions through their bucket (an equi-join on
+    (key, bucket)), then are numbered within the session by ``number_within``, which
+    spreads a hot session over many tasks."""
+    from driftlog.operators.numbering import number_within  # noqa: PLC0415
+
+    keys = list(keys)
+    gap_us = int(gap_seconds) * 1_000_000
+    sid = _bucket_sessions(events, keys, ts, gap_us)
+    starts = sid.groupBy(*keys, "__sid").agg(F.min("__first").alias("__s"))
+    bucket_to_session = sid.join(starts, [*keys, "__sid"]).select(*keys, "__b", "__s")
+    x = events.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp"))).filter(F.col("__us").isNotNull())
+    x = x.withColumn("__b", F.floor(F.col("__us") / F.lit(gap_us))).join(bucket_to_session, [*keys, "__b"])
+    n = number_within(x, [*keys, "__s"], ["__us", *order], out="counter")
+    return n.withColumn("session_start", F.timestamp_micros(F.col("__s"))).drop("__us", "__b", "__s")

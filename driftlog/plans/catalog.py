@@ -22,7 +22,7 @@ from driftlog.operators.ingest import assemble_batches, authorize, parse_lines,
 from driftlog.operators.normalise import normalise
 from driftlog.operators.routing import route_keys
 from driftlog.operators.search import SearchRequest, route_tier, search, search_many
-from driftlog.operators.sessions import session_counter
+from driftlog.operators.sessions import running_counter, session_counter
 from driftlog.operators.tail import tail_fanout
 from driftlog.operators.throttle import throttle
 from driftlog.plans.pipeline import process
@@ -221,6 +221,15 @@ def q_session_counter(spark, d):
                     us("session_end").alias("session_end_us"), F.col("count").cast("long").alias("count"))
 
 
+def q_running_counter(spark, d):
+    spark = _spark(spark)
+    r = running_counter(deduped_entries(spark, d), ["tenant_id", "service"], "ingest_timestamp", SESSION_GAP_S,
+                        order=["log_id", "shift"])
+    return r.select("tenant_id", "service", "log_id", F.col("shift").cast("long").alias("shift"),
+                    us("ingest_timestamp").alias("ingest_us"), F.col("counter").cast("long").alias("counter"),
+                    us("session_start").alias("session_start_us"))
+
+
 def q_tail_fanout(spark, d):
     spark = _spark(spark)
     e = deduped_entries(spark, d).withColumn("round", F.date_trunc("minute", "ingest_timestamp"))
@@ -268,6 +277,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "authorize": q_authorize,
     "throttle": q_throttle,
     "session_counter": q_session_counter,
+    "running_counter": q_running_counter,
     "tail_fanout": q_tail_fanout,
     "archive_roundtrip": q_archive_roundtrip,
     "pipeline": q_pipeline,

@@ -347,6 +347,18 @@ SELECT tenant_id, service, min(ingest_us) AS session_start_us, max(ingest_us) +
   count(*)::BIGINT AS count
 FROM s2 GROUP BY tenant_id, service, sid"""
 
+ORACLES["running_counter"] = BASE + f""",
+s AS (
+  SELECT *,
+    CASE WHEN lag(ingest_us) OVER w IS NULL OR ingest_us - lag(ingest_us) OVER w > {_GAP} THEN 1 ELSE 0 END AS st
+  FROM dd WINDOW w AS (PARTITION BY tenant_id, service ORDER BY ingest_us, log_id, shift)),
+s2 AS (SELECT *, sum(st) OVER (PARTITION BY tenant_id, service ORDER BY ingest_us, log_id, shift
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM s)
+SELECT tenant_id, service, log_id, shift, ingest_us,
+  row_number() OVER (PARTITION BY tenant_id, service, sid ORDER BY ingest_us, log_id, shift)::BIGINT AS counter,
+  min(ingest_us) OVER (PARTITION BY tenant_id, service, sid) AS session_start_us
+FROM s2"""
+
 SUBS = ", ".join(f"({_q(a)}, {_q(b)}, {_q(c)}, upper({_q(d)}))" for a, b, c, d in fx.SUBSCRIPTIONS)
 ORACLES["tail_fanout"] = BASE + f""",
 subs(subscriber_id, s_tenant, s_service, s_level) AS (VALUES {SUBS}),

@@ -78,3 +78,11 @@ def test_numbering_matches_row_number_random(spark):
     w = Window.partitionBy("k").orderBy("t", "tie")
     want = {r.tie: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert got == want
+
+
+def test_running_counter(spark):
+    from driftlog.operators.sessions import running_counter
+    df = spark.createDataFrame([("k", 0, "a"), ("k", 600, "b"), ("k", 1201, "c"), ("k", 1300, "d"), ("j", 5, "e")],
+                               "k string, s long, id string").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.id: r.counter for r in running_counter(df, ["k"], "ts", 600, order=["id"]).collect()}
+    assert got == {"a": 1, "b": 2, "c": 1, "d": 2, "e": 1}
