@@ -75,8 +75,9 @@ def _edges(key_names):
     return fold
 
 
-def _number(key_names, out, offsets: dict):
+def _number(key_names, out, offsets_bc):
     def fold(batches):
+        offsets = offsets_bc.value
         prev = None
         count = 0
         for rb in batches:
@@ -124,4 +125,4 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
             run_n = e["last_n"] if not e["single"] else e["first_n"]
         run_key = e["last_key"]
     schema = T.StructType(list(ck.schema.fields) + [T.StructField(out, T.LongType(), False)])
-    return ck.mapInArrow(_number(keys, out, offsets), schema).drop(_PID)
+    return ck.mapInArrow(_number(keys, out, spark.sparkContext.broadcast(offsets)), schema).drop(_PID)

@@ -168,8 +168,9 @@ def _summarise(key_names, after, max_runs, w_max):
     return fold
 
 
-def _apply(key_names, after, entering: dict, out_names):
+def _apply(key_names, after, entering_bc, out_names):
     def fold(batches):
+        entering = entering_bc.value
         prev = None
         carry = None
         started = False
@@ -212,27 +213,61 @@ def _exit_given(s: dict, state: tuple, after: bool):
     return (s["run_a"][r], s["run_e"][r], s["run_c"][r])
 
 
+# Summaries are collected at once up to this many partitions; beyond, they are written to the
+# checkpoint folder and read back in ranges of partition ids, so the driver holds one range.
+SUMMARY_COLLECT_LIMIT = 2000
+SUMMARY_CHUNK = 5000
+
+
+def _ordered_summaries(summ: DataFrame, n_partitions: int):
+    if n_partitions <= SUMMARY_COLLECT_LIMIT:
+        yield from sorted((r.asDict() for r in summ.collect()), key=lambda r: r["pid"])
+        return
+    import uuid  # noqa: PLC0415
+
+    spark = summ.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/rangefold-summaries-{uuid.uuid4().hex}"
+    summ.coalesce(max(1, n_partitions // 1000)).write.parquet(path)
+    table = spark.read.parquet(path)
+    for lo in range(0, n_partitions, SUMMARY_CHUNK):
+        part = table.filter((F.col("pid") >= lo) & (F.col("pid") < lo + SUMMARY_CHUNK)).collect()
+        yield from sorted((r.asDict() for r in part), key=lambda r: r["pid"])
+
+
 def _refold_exit(ck: DataFrame, pid: int, key_names, after, state):
     """Exit window of one partition folded from a given carried-in window (fallback, one task)."""
     def run(it):
-        rows = [r for r in it if not r[_P]]
-        if not rows:
-            return []
-        t = np.array([r[_T] for r in rows], dtype=np.int64)
-        w = np.array([r[_W] for r in rows], dtype=np.int64)
-        ks = np.zeros(t.size, dtype=bool)
-        _, _, carry = fold_anchored(t, w, ks, after, state)
-        return [carry]
+        carry = state
+        t_buf, w_buf = [], []
+
+        def flush(c):
+            if not t_buf:
+                return c
+            t = np.array(t_buf, dtype=np.int64)
+            w = np.array(w_buf, dtype=np.int64)
+            t_buf.clear()
+            w_buf.clear()
+            return fold_anchored(t, w, np.zeros(t.size, dtype=bool), after, c)[2]
+
+        for r in it:  # one partition, streamed in slices (one key throughout)
+            if r[_P]:
+                continue
+            t_buf.append(r[_T])
+            w_buf.append(r[_W])
+            if len(t_buf) >= 100_000:
+                carry = flush(carry)
+        return [flush(carry)]
     sc = ck.sparkSession.sparkContext
     res = sc.runJob(ck.select(_T, _W, _P, *key_names).rdd, run, partitions=[pid])
     return tuple(res[0])
 
 
-def entering_states(summaries: list[dict], ck: DataFrame, key_names, after) -> dict:
-    """Walk partition summaries in order; the carried-in window of every partition that continues a key."""
+def entering_states(summaries, ck: DataFrame, key_names, after) -> dict:
+    """Walk partition summaries in partition order (an ordered iterable); the carried-in window
+    of every partition that continues a key."""
     entering = {}
     state, last_key = None, None
-    for s in sorted(summaries, key=lambda r: r["pid"]):
+    for s in summaries:
         if state is not None and s["first_key"] == last_key:
             entering[s["pid"]] = state
             if s["single"]:
@@ -276,11 +311,12 @@ def anchored_windows_range(
           .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
     x.unpersist()
     w_max = ck.agg(F.max(_W).alias("m")).first()["m"] or 0  # widest window anywhere
-    summaries = [r.asDict() for r in ck.mapInArrow(_summarise(keys, after, max_runs, w_max), SUMMARY).collect()]
-    entering = entering_states(summaries, ck, keys, after)
+    summ = ck.mapInArrow(_summarise(keys, after, max_runs, w_max), SUMMARY)
+    entering = entering_states(_ordered_summaries(summ, n), ck, keys, after)
+    entering_bc = spark.sparkContext.broadcast(entering)  # one row per partition at most
     schema = T.StructType(list(ck.schema.fields) + [T.StructField("__rf_a", T.LongType(), False),
                                                     T.StructField("__rf_o", T.LongType(), False)])
-    y = ck.mapInArrow(_apply(keys, after, entering, ("__rf_a", "__rf_o")), schema)
+    y = ck.mapInArrow(_apply(keys, after, entering_bc, ("__rf_a", "__rf_o")), schema)
     anchor = F.when(F.col(ts).isNotNull(), F.timestamp_micros(F.col("__rf_a")))
     return y.select(*[F.col(c) for c in base], anchor.alias(anchor_col),
                     F.col("__rf_o").alias(ordinal_col))

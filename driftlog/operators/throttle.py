@@ -160,8 +160,9 @@ def _throttle_edges(key_names: list[str], rps: float):
     return fold
 
 
-def _throttle_apply(key_names: list[str], rps: float, entering: dict):
+def _throttle_apply(key_names: list[str], rps: float, entering_bc):
     def fold(batches):
+        entering = entering_bc.value
         prev = carry = None
         started = False
         for rb in batches:
@@ -184,8 +185,14 @@ def _throttle_apply(key_names: list[str], rps: float, entering: dict):
 
 def _refold_bucket(ck: DataFrame, pid: int, rps: float, state: tuple) -> tuple:
     def run(it):
-        ts = [r["__tb_t"] for r in it]
-        _, _, carry = bucket_fold(ts, [False] * len(ts), rps, state)
+        carry, buf = state, []
+        for r in it:  # one partition, streamed in slices
+            buf.append(r["__tb_t"])
+            if len(buf) >= 100_000:
+                _, _, carry = bucket_fold(buf, [False] * len(buf), rps, carry)
+                buf = []
+        if buf:
+            _, _, carry = bucket_fold(buf, [False] * len(buf), rps, carry)
         return [carry]
     return tuple(ck.sparkSession.sparkContext.runJob(ck.select("__tb_t").rdd, run, partitions=[pid])[0])
 
@@ -234,5 +241,5 @@ def throttle_range(requests: DataFrame, rps: float, tenant_col: str = "tenant_id
         last_key = e["last_key"]
     schema = T.StructType(list(ck.schema.fields) + [
         T.StructField("admitted", T.BooleanType(), False), T.StructField("tokens_left", T.DoubleType(), False)])
-    y = ck.mapInArrow(_throttle_apply([tenant_col], float(rps), entering), schema)
+    y = ck.mapInArrow(_throttle_apply([tenant_col], float(rps), spark.sparkContext.broadcast(entering)), schema)
     return y.select(*base, "admitted", "tokens_left")

@@ -136,3 +136,17 @@ def test_range_mode_with_wider_window_carried_in(spark):
     r = anchored_windows(df, ["k"], "ts", "w", "after", order=["tie"], mode="range", num_partitions=6).collect()
     assert {x.tie: x.ordinal for x in h} == {x.tie: x.ordinal for x in r}
     assert max(x.ordinal for x in h) == 60  # one window of 100 s covers everything
+
+
+def test_range_mode_with_chunked_summaries(spark):
+    import driftlog.operators.rangefold as rf
+    rows = [("hot" if i % 4 else "k", i * 1000, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, us long, tie long").withColumn("ts", F.timestamp_micros("us"))
+    old = (rf.SUMMARY_COLLECT_LIMIT, rf.SUMMARY_CHUNK)
+    rf.SUMMARY_COLLECT_LIMIT, rf.SUMMARY_CHUNK = 2, 3  # driver-side: read summaries back in chunks
+    try:
+        r = anchored_windows(df, ["k"], "ts", 0.05, "after", order=["tie"], mode="range", num_partitions=10).collect()
+    finally:
+        rf.SUMMARY_COLLECT_LIMIT, rf.SUMMARY_CHUNK = old
+    h = anchored_windows(df, ["k"], "ts", 0.05, "after", order=["tie"], mode="hash").collect()
+    assert {x.tie: (x.window_start, x.ordinal) for x in h} == {x.tie: (x.window_start, x.ordinal) for x in r}
