@@ -30,7 +30,9 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     Every entry probes two keys, its tenant and ``*``, in one broadcast hash join on
     the rule tenant: an entry meets only its own tenant's rules and the wildcard
     rules, never the whole rule table, and the entries are read once. The rules
-    side is broadcast after a size check and sliced beyond the bound.
+    are broadcast after a size check; past the bound, tenant rules join on tenant
+    by shuffle and only the wildcard rules are broadcast (sliced if they alone
+    pass the bound).
     """
     rules = _with_positions(rules).select(
         F.col("name").alias("rule"), F.col("tenant_id").alias("rule_tenant"),
@@ -39,17 +41,27 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("window_seconds").cast("long").alias("rule_window_s"),
         F.col("webhook").alias("rule_webhook"), F.col("rule_pos").cast("long").alias("rule_pos"),
     ).cache()
-    n = rules.count()  # size check before any broadcast
-    n_slices = max(1, (n + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)
+    counts = rules.agg(F.count(F.lit(1)).alias("n"),
+                       F.sum((F.col("rule_tenant") == "*").cast("long")).alias("w")).first()
+    n, n_wild = counts["n"], counts["w"] or 0  # size check before any broadcast
     rest = ((F.coalesce(F.col("rule_level"), F.lit("")) == "") | equal_fold(F.col("rule_level"), F.col("level"))) \
         & contains_ci(F.col("message"), F.coalesce(F.col("rule_needle"), F.lit("")))
-    probes = entries.withColumn("__probe", F.explode(F.array_distinct(F.array(F.col("tenant_id"), F.lit("*")))))
-    out = None
-    for i in range(n_slices):
-        r = rules if n_slices == 1 else rules.filter((F.col("rule_pos") % n_slices) == i)
-        part = probes.join(F.broadcast(r), (F.col("__probe") == F.col("rule_tenant")) & rest, "inner")
-        out = part if out is None else out.unionByName(part)
-    return out.drop("__probe")
+    if n <= MAX_BROADCAST_RULES:
+        probes = entries.withColumn("__probe",
+                                    F.explode(F.array_distinct(F.array(F.col("tenant_id"), F.lit("*")))))
+        return probes.join(F.broadcast(rules), (F.col("__probe") == F.col("rule_tenant")) & rest,
+                           "inner").drop("__probe")
+    # many rules: tenant rules join on tenant by shuffle (AQE splits a hot tenant), wildcard rules
+    # stay broadcast, sliced only if they alone pass the bound
+    by_tenant = entries.join(rules.filter(F.col("rule_tenant") != "*"),
+                             (F.col("tenant_id") == F.col("rule_tenant")) & rest, "inner")
+    out = by_tenant
+    wild = rules.filter(F.col("rule_tenant") == "*")
+    n_slices = max(1, (n_wild + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)
+    for i in range(n_slices if n_wild else 0):
+        r = wild if n_slices == 1 else wild.filter((F.col("rule_pos") % n_slices) == i)
+        out = out.unionByName(entries.join(F.broadcast(r), rest, "inner"))
+    return out
 
 
 def evaluate_rules(

@@ -70,3 +70,16 @@ def test_fixture_counts(spark):
         F.sum((F.col("count") >= F.col("rule_threshold")).cast("int")).alias("a")).collect()}
     assert got == {"high-error-rate": (209, 144, 12), "purchase-seen": (17, 16, 17),
                    "tenant1-busy": (234, 177, 0), "every-event": (1022, 931, 1022)}
+
+
+def test_many_rules_path_equals_broadcast_path(spark, monkeypatch):
+    import driftlog.operators.alerts as al
+    rows = [ev(i, i, tenant=f"t{i % 3}", level="ERROR" if i % 2 else "INFO", message=f"disk {i}") for i in range(30)]
+    rules = [rule(f"r{j}", "*" if j % 3 == 0 else f"t{j % 3}", "error" if j % 2 else "", "" if j % 4 else "disk",
+                  1 + j % 3, 5) for j in range(12)]
+    e = spark.createDataFrame(rows, LOG_ENTRY)
+    r = spark.createDataFrame(rules, RULE)
+    want = sorted((x.rule, x.log_id) for x in match_rules(e, r).collect())
+    monkeypatch.setattr(al, "MAX_BROADCAST_RULES", 2)  # tenant rules by shuffle, wildcard rules sliced
+    got = sorted((x.rule, x.log_id) for x in match_rules(e, r).collect())
+    assert got == want and len(want) > 0
