@@ -88,9 +88,6 @@ def _fold_slice(t: np.ndarray, w: np.ndarray, key_start: np.ndarray, after: bool
     if n == 0:
         return anchor_t, ordinal, carry
 
-    def inside(tt, end):
-        return tt <= end if after else tt < end
-
     # rows of the first key that still fall in the carried window
     pre = 0
     if carry is not None and not key_start[0]:

@@ -1,7 +1,5 @@
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
-
 from driftlog.schemas import LOG_ENTRY
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)

@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from driftlog.functions import canonical_level, extract_level, is_single_json, json_quote, log_id, tokens

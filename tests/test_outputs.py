@@ -2,9 +2,6 @@
 
 from datetime import datetime, timezone
 
-from pyspark.sql import functions as F
-
-from driftlog import fixtures as fx
 from driftlog.operators.routing import route_keys
 from driftlog.operators.tail import tail_fanout
 from driftlog.schemas import LOG_ENTRY, SUBSCRIPTION

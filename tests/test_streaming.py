@@ -10,7 +10,6 @@ from driftlog.operators.alerts import evaluate_rules
 from driftlog.operators.dedup import dedup_ttl
 from driftlog.plans.catalog import normalised_entries
 from driftlog.plans.pipeline import process
-from driftlog.schemas import LOG_ENTRY
 from driftlog.streaming.pipeline import file_source, stream_pipeline
 from driftlog.streaming.stateful import alerts_stream, dedup_stream
 from tests.conftest import SF001
