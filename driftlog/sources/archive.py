@@ -41,7 +41,9 @@ def archive(entries: DataFrame, path: str, write_time: datetime | Column, mode:
 
 def read_archive(spark: SparkSession, path: str, tenant: str | None = None) -> DataFrame:
     """Entries back from the archive (tenant filter prunes directories), with the write hour."""
-    raw = spark.read.option("basePath", path).text(path)
+    # explicit schema: partition values stay strings (a tenant "007" is not the number 7)
+    schema = "value string, " + ", ".join(f"{c} string" for c in ARCHIVE_PARTITIONS)
+    raw = spark.read.schema(schema).option("basePath", path).text(path)
     if tenant is not None:
         raw = raw.filter(F.col("tenant") == tenant)
     parsed = raw.select(F.from_json("value", LOG_ENTRY, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"}).alias("e"),

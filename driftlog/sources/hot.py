@@ -17,10 +17,17 @@ from pyspark.sql import types as T
 
 from driftlog.functions.text import tokens
 from driftlog.functions.timefmt import utc_day
-from driftlog.schemas import ENTRY_COLUMNS
+from driftlog.schemas import ENTRY_COLUMNS, LOG_ENTRY
 
 PARTITION_COLUMNS = ["tenant_id", "event_date"]
 
+# Read with an explicit schema: partition values are never type-inferred, so a tenant id
+# such as "007" stays the string "007".
+HOT_SCHEMA = T.StructType(
+    [f for f in LOG_ENTRY.fields if f.name != "tenant_id"]
+    + [T.StructField("message_terms", T.ArrayType(T.StringType())),
+       T.StructField("tenant_id", T.StringType()), T.StructField("event_date", T.DateType())])
+
 
 def last_write_wins(entries: DataFrame, arrival: str = "ingest_timestamp",
                     order: Sequence[str] = ("log_id",), generation: str | None = None) -> DataFrame:
@@ -61,7 +68,7 @@ def upsert_hot(entries: DataFrame, path: str, arrival: str = "ingest_timestamp")
     merged = new
     if os.path.exists(path) or _exists(spark, path):
         touched = new.select(*PARTITION_COLUMNS).distinct()
-        old = spark.read.parquet(path).join(touched, PARTITION_COLUMNS, "left_semi")
+        old = read_hot(spark, path).join(touched, PARTITION_COLUMNS, "left_semi")
         old = old.select(*[c for c in new.columns if c != "__gen"]).withColumn("__gen", F.lit(0))
         merged = new.unionByName(old)
     result = last_write_wins(merged, arrival=arrival, generation="__gen").drop("__gen")
@@ -82,4 +89,4 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_hot(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.schema(HOT_SCHEMA).parquet(path)

@@ -106,3 +106,13 @@ def test_bus_rows(spark):
     _, bad = decode_batches(spark.createDataFrame([("nope",)], "value string"))
     d = dead_letter_rows(dead_letter(bad, None)).first()
     assert d.key is None and bytes(d.value).startswith(b'{"reason":"unmarshal error: ')
+
+
+def test_numeric_looking_tenants_survive_partitioning(spark, tmp_path):
+    rows = [entry("1", tenant_id="007", event=at(0), ingest=at(0)), entry("2", tenant_id="7", event=at(0), ingest=at(0))]
+    df = spark.createDataFrame(rows, LOG_ENTRY)
+    upsert_hot(df, str(tmp_path / "hot"))
+    assert sorted(r.tenant_id for r in read_hot(spark, str(tmp_path / "hot")).collect()) == ["007", "7"]
+    archive(df, str(tmp_path / "cold"), WT)
+    assert sorted(r.tenant_id for r in read_archive(spark, str(tmp_path / "cold")).collect()) == ["007", "7"]
+    assert [r.log_id for r in read_archive(spark, str(tmp_path / "cold"), tenant="007").collect()] == ["1"]
