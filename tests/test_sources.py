@@ -40,3 +40,15 @@ def test_lines_to_entries(spark, tmp_path):
         "ts", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     got = sorted((r.message, r.level) for r in parse_lines(lines, "t", "svc", "h", "prod").collect())
     assert got == [("[ERROR] boom", "ERROR"), ("all good", "INFO")]
+
+
+def test_stream_lines_picks_up_new_files(spark, tmp_path):
+    from driftlog.sources.files import stream_lines
+    d = tmp_path / "logs"
+    d.mkdir()
+    (d / "a.log").write_text("one\ntwo\n")
+    (d / "b.log").write_text("three\n")
+    q = (stream_lines(spark, str(d), max_files_per_trigger=1).writeStream.format("memory").queryName("lines_t")
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    assert sorted(r.line for r in spark.table("lines_t").collect()) == ["one", "three", "two"]
