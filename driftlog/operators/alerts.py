@@ -73,6 +73,7 @@ def evaluate_rules(
     with_state: bool = False,
     num_partitions: int | None = None,
     mode: str = "auto",
+    aligned: bool = False,
 ) -> DataFrame:
     """Alerts: every match whose running count in its window reaches the rule's threshold.
 
@@ -84,13 +85,25 @@ def evaluate_rules(
     (rule, tenant) keys are few and hot: on large inputs (``mode="auto"``) the
     fold runs in range mode, one hot key spread over many tasks with exact
     boundary states.
+    ``aligned=True`` uses epoch-aligned tumbling windows of the rule's width instead
+    (the documented intent rather than the first-match anchoring), counted with the
+    distributed numbering per (rule, tenant, window).
     """
     m = match_rules(entries, rules)
-    w = anchored_windows(
-        m, ["rule", "tenant_id"], arrival, "rule_window_s", boundary="after",
-        order=list(order) + ["rule_pos"], anchor_col="window_start", ordinal_col="count",
-        num_partitions=num_partitions, mode=mode,
-    )
+    if aligned:
+        from driftlog.operators.numbering import number_within  # noqa: PLC0415
+
+        us = F.unix_micros(F.col(arrival))
+        width = F.col("rule_window_s") * 1_000_000
+        m = m.withColumn("window_start", F.timestamp_micros(us - F.pmod(us, width)))
+        w = number_within(m, ["rule", "tenant_id", "window_start"], [arrival, *order, "rule_pos"], out="count",
+                          num_partitions=num_partitions)
+    else:
+        w = anchored_windows(
+            m, ["rule", "tenant_id"], arrival, "rule_window_s", boundary="after",
+            order=list(order) + ["rule_pos"], anchor_col="window_start", ordinal_col="count",
+            num_partitions=num_partitions, mode=mode,
+        )
     if with_state:
         return w
     fire = F.col("count") >= F.col("rule_threshold")

@@ -83,3 +83,11 @@ def test_many_rules_path_equals_broadcast_path(spark, monkeypatch):
     monkeypatch.setattr(al, "MAX_BROADCAST_RULES", 2)  # tenant rules by shuffle, wildcard rules sliced
     got = sorted((x.rule, x.log_id) for x in match_rules(e, r).collect())
     assert got == want and len(want) > 0
+
+
+def test_aligned_tumbling_windows(spark):
+    rows = [ev(0, 50), ev(1, 59), ev(2, 61), ev(3, 119), ev(4, 121)]
+    st = _alerts(spark, rows, [rule(threshold=1, window=60)], with_state=True, aligned=True) \
+        .orderBy("ingest_timestamp").collect()
+    # epoch-aligned minutes: [0,60) has 50,59; [60,120) has 61,119; [120,180) has 121
+    assert [r["count"] for r in st] == [1, 2, 1, 2, 1]
