@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlog.operators.anchored import _key_change
-from driftlog.session import ensure_checkpoint_dir, ship_package
+from driftlog.session import ensure_checkpoint_dir, range_partitions, ship_package
 
 _PID = "__nw_pid"
 
@@ -109,7 +109,7 @@ def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     ensure_checkpoint_dir(spark)
     keys = list(keys)
     sort_cols = [F.col(k) for k in keys] + [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df, num_partitions)
     x = df.persist(StorageLevel.DISK_ONLY)  # sampled by the range partitioner, then shuffled: compute once
     ck = (x.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
           .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlog.operators.anchored import MICROS, _key_change, fold_anchored
-from driftlog.session import ensure_checkpoint_dir, ship_package
+from driftlog.session import ensure_checkpoint_dir, range_partitions, ship_package
 
 MAX_RUNS = 4096
 _T, _W, _PID, _P = "__rf_t", "__rf_w", "__rf_pid", "__rf_pass"
@@ -299,7 +299,7 @@ def anchored_windows_range(
     pas = no_time if passthrough is None else (F.coalesce(passthrough, F.lit(False)) | no_time)
     x = x.withColumn(_P, pas).withColumn(_T, F.coalesce(F.col(_T), F.lit(0))).withColumn(
         _W, F.coalesce(F.col(_W), F.lit(0)))
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df, num_partitions)
     # passthrough rows sort first and spread by time; keyed rows follow in (key, time) order
     sort_cols = [F.col(_P).desc()] + [F.col(k) for k in keys] + [F.col(_T)] + [
         F.col(o) if isinstance(o, str) else o for o in order]

@@ -210,7 +210,7 @@ def throttle_range(requests: DataFrame, rps: float, tenant_col: str = "tenant_id
     """
     from pyspark import StorageLevel  # noqa: PLC0415
 
-    from driftlog.session import ensure_checkpoint_dir  # noqa: PLC0415
+    from driftlog.session import ensure_checkpoint_dir, range_partitions  # noqa: PLC0415
 
     spark = requests.sparkSession
     ship_package(spark)
@@ -218,7 +218,7 @@ def throttle_range(requests: DataFrame, rps: float, tenant_col: str = "tenant_id
     base = requests.columns
     x = requests.withColumn("__tb_t", F.unix_micros(F.col(ts_col).cast("timestamp")))
     sort_cols = [F.col(tenant_col), F.col("__tb_t"), *[F.col(o) if isinstance(o, str) else o for o in order]]
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(requests, num_partitions)
     x = x.persist(StorageLevel.DISK_ONLY)
     ck = (x.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
           .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))

@@ -131,3 +131,23 @@ def fold_mode(df, mode: str) -> str:
         return mode
     limit = int(df.sparkSession.conf.get("spark.driftlog.rangeFoldMinBytes", str(RANGE_FOLD_MIN_BYTES)))
     return "range" if estimated_bytes(df) >= limit else "hash"
+
+
+# Target input bytes per range-fold partition (spark.driftlog.rangePartitionBytes).
+RANGE_PARTITION_BYTES = 256 << 20
+MAX_RANGE_PARTITIONS = 200_000
+
+
+def range_partitions(df, requested: int | None = None) -> int:
+    """Partition count for a range-partitioned fold: as requested, else enough partitions of
+    about ``spark.driftlog.rangePartitionBytes`` for the input, never fewer than the shuffle
+    partitions."""
+    if requested:
+        return int(requested)
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    est = estimated_bytes(df)
+    if est >= (1 << 62):
+        return base
+    target = int(spark.conf.get("spark.driftlog.rangePartitionBytes", str(RANGE_PARTITION_BYTES)))
+    return max(base, min(MAX_RANGE_PARTITIONS, -(-est // target)))
