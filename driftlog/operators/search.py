@@ -9,6 +9,7 @@ the order is total and pages never overlap.
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
@@ -117,7 +118,7 @@ def search(table: DataFrame, req: SearchRequest) -> tuple[DataFrame, Observation
     """(page, observation): the page DataFrame plans as one top-k (TakeOrderedAndProject)
     and the exact total is observed in the same scan; read ``obs.get["total"]`` after
     an action on the page."""
-    obs = Observation(f"search-{id(req)}")
+    obs = Observation(f"search-{uuid.uuid4().hex}")
     has_date = "event_date" in table.columns
     has_terms = "message_terms" in table.columns
     filtered = table.filter(request_predicate(req, has_date, has_terms)).observe(obs, F.count(F.lit(1)).alias("total"))
