@@ -16,12 +16,12 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from driftlog.operators.anchored import _key_change
-from driftlog.session import ensure_checkpoint_dir, range_partitions, ship_package
+from driftlog.session import ensure_checkpoint_dir, fold_mode, range_partitions, ship_package
 
 _PID = "__nw_pid"
 
@@ -102,8 +102,16 @@ def _number(key_names, out, offsets_bc):
 
 
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "row_no",
-                  num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based position of each row within its key under ``order``."""
+                  num_partitions: int | None = None, mode: str = "auto") -> DataFrame:
+    """Add ``out`` = 1-based position of each row within its key under ``order``.
+
+    mode "range" is the distributed plan above; "hash" is a ``row_number`` window (one
+    task per key, fine while no key outgrows a task); "auto" picks range for inputs
+    estimated at or above ``spark.driftlog.rangeFoldMinBytes``.
+    """
+    if fold_mode(df, mode) == "hash":
+        w = Window.partitionBy(*keys).orderBy(*[F.col(o) if isinstance(o, str) else o for o in order])
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
     spark = df.sparkSession
     ship_package(spark)
     ensure_checkpoint_dir(spark)

@@ -22,7 +22,7 @@ def test_parse_lines(spark):
 def test_numbering_spreads_a_hot_key(spark):
     df = spark.range(0, 5000).select((F.when(F.col("id") < 4000, F.lit("hot")).otherwise(F.lit("cold"))).alias("k"),
                                      F.col("id"))
-    out = number_within(df, ["k"], ["id"], num_partitions=6)
+    out = number_within(df, ["k"], ["id"], num_partitions=6, mode="range")
     rows = out.collect()
     hot = sorted((r.id, r.row_no) for r in rows if r.k == "hot")
     assert [n for _, n in hot] == list(range(1, 4001))
@@ -72,7 +72,8 @@ def test_numbering_matches_row_number_random(spark):
     df = spark.createDataFrame(rows, "k string, t long, tie long")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
     try:
-        got = {r.tie: r.row_no for r in number_within(df, ["k"], ["t", "tie"], num_partitions=9).collect()}
+        got = {r.tie: r.row_no for r in number_within(df, ["k"], ["t", "tie"], num_partitions=9,
+                                                      mode="range").collect()}
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     w = Window.partitionBy("k").orderBy("t", "tie")
