@@ -20,3 +20,17 @@ def test_cli_pipeline_then_search(spark, tmp_path, capsys):
                  "--to", "2024-01-01T01:00:00Z", "--page-size", "2", "--hot-days", "100000"]) == 0
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert res["total"] == 5 and [e["log_id"] for e in res["entries"]] == ["x4", "x3"]
+
+
+def test_cli_stream_available_now(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    batch = {"entries": [{"log_id": "s1", "tenant_id": "t1", "message": "m",
+                          "ingest_timestamp": "2024-01-01T00:00:00Z"}]}
+    (raw / "b.json").write_text(json.dumps(batch))
+    (raw / "junk.json").write_text("{} x")
+    out = tmp_path / "out"
+    assert main(["stream", "--raw", str(raw), "--out", str(out), "--checkpoint", str(tmp_path / "ck"),
+                 "--available-now"]) == 0
+    assert spark.read.parquet(str(out / "normalized")).count() == 1
+    assert spark.read.parquet(str(out / "dead_letter")).count() == 1
