@@ -160,7 +160,8 @@ def _lines_entries(spark, d):
 def q_parse_lines(spark, d):
     spark = _spark(spark)
     e = _lines_entries(spark, d)
-    return e.select("doc_id", "pos", "log_id", "level", "message", us("event_timestamp").alias("event_us"))
+    return e.select("doc_id", F.col("pos").cast("long").alias("pos"), "log_id", "level", "message",
+                    us("event_timestamp").alias("event_us"))
 
 
 def _batches(spark, d):

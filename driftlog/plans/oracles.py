@@ -300,10 +300,10 @@ SELECT batch_id, position, agent_id, log_id, tenant_id, service, level, message,
     "dead_letter": "WITH " + DECODED + f""",
 edges(batch_id, value) AS (VALUES {EDGE_VALUES})
 SELECT 'unmarshal error' AS reason_kind,
-  CASE WHEN batch_id IN ({", ".join(_q(i) for i in _EDGE_NOT_JSON)}) THEN to_json(value) ELSE value END AS payload
+  CASE WHEN batch_id IN ({", ".join(_q(i) for i in _EDGE_NOT_JSON)}) THEN to_json(value)::VARCHAR ELSE value END AS payload
 FROM edges WHERE batch_id IN ({", ".join(_q(i) for i in _EDGE_BAD)})
 UNION ALL
-SELECT 'normalise failed' AS reason_kind, {ENTRY_JSON} AS payload
+SELECT 'normalise failed' AS reason_kind, ({ENTRY_JSON})::VARCHAR AS payload
 FROM dec WHERE tenant_id = '' OR message = ''""",
 
     "authorize": """
