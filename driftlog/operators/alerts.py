@@ -90,6 +90,7 @@ def evaluate_rules(
     distributed numbering per (rule, tenant, window).
     """
     m = match_rules(entries, rules)
+    widest = rules.agg(F.max("window_seconds").alias("w")).first()["w"]  # the rules table is small
     if aligned:
         from driftlog.operators.numbering import number_within  # noqa: PLC0415
 
@@ -102,7 +103,7 @@ def evaluate_rules(
         w = anchored_windows(
             m, ["rule", "tenant_id"], arrival, "rule_window_s", boundary="after",
             order=list(order) + ["rule_pos"], anchor_col="window_start", ordinal_col="count",
-            num_partitions=num_partitions, mode=mode,
+            num_partitions=num_partitions, mode=mode, width_max=widest,
         )
     if with_state:
         return w

@@ -185,6 +185,7 @@ def anchored_windows(
     ordinal_col: str = "ordinal",
     num_partitions: int | None = None,
     mode: str = "auto",
+    width_max: float | None = None,
 ) -> DataFrame:
     """Add ``window_start`` (timestamp of the window's first event) and ``ordinal`` (1-based
     position in the window) to every row.
@@ -198,7 +199,8 @@ def anchored_windows(
     the name of a column giving the width of a window opened at that row;
     boundary: "after" (new window iff t > start + W, alerts) or "at_or_after"
     (new iff t >= start + W, TTL expiry); order: tie-break columns after ts;
-    passthrough: rows where it is true are never grouped (ordinal 1, no state).
+    passthrough: rows where it is true are never grouped (ordinal 1, no state);
+    width_max: an upper bound of a width column (saves a pass in range mode).
     """
     if boundary not in ("after", "at_or_after"):
         raise ValueError("boundary must be 'after' or 'at_or_after'")
@@ -207,7 +209,7 @@ def anchored_windows(
         from driftlog.operators.rangefold import anchored_windows_range  # noqa: PLC0415
 
         return anchored_windows_range(df, keys, ts, width, boundary, order, passthrough, anchor_col,
-                                      ordinal_col, num_partitions)
+                                      ordinal_col, num_partitions, width_max=width_max)
     if mode != "hash":
         raise ValueError("mode must be 'hash' or 'range'")
     after = boundary == "after"

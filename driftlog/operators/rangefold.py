@@ -284,6 +284,7 @@ def anchored_windows_range(
     df: DataFrame, keys: Sequence[str], ts: str, width: int | float | str, boundary: str = "after",
     order: Sequence[str | Column] = (), passthrough: Column | None = None, anchor_col: str = "window_start",
     ordinal_col: str = "ordinal", num_partitions: int | None = None, max_runs: int = MAX_RUNS,
+    width_max: float | None = None,
 ) -> DataFrame:
     """Same result as ``anchored_windows(mode="hash")``; hot keys spread over many tasks."""
     after = boundary == "after"
@@ -309,7 +310,13 @@ def anchored_windows_range(
     ck = (x.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
           .withColumn(_PID, F.spark_partition_id()).checkpoint(eager=True))
     x.unpersist()
-    w_max = ck.agg(F.max(_W).alias("m")).first()["m"] or 0  # widest window anywhere
+    # widest window anywhere: known for a constant width or from the caller, else one pass
+    if not isinstance(width, str):
+        w_max = int(round(float(width) * MICROS))
+    elif width_max is not None:
+        w_max = int(round(float(width_max) * MICROS))
+    else:
+        w_max = ck.agg(F.max(_W).alias("m")).first()["m"] or 0
     summ = ck.mapInArrow(_summarise(keys, after, max_runs, w_max), SUMMARY)
     entering = entering_states(_ordered_summaries(summ, n), ck, keys, after)
     entering_bc = spark.sparkContext.broadcast(entering)  # one row per partition at most
