@@ -4,7 +4,7 @@
   python -m driftlog stream   --raw DIR --out DIR --checkpoint DIR [--available-now]
   python -m driftlog search   --out DIR --tenant T [--service S --level L --q TEXT --from TS --to TS
                               --page N --page-size N --hot-days 30]
-  python -m driftlog alerts   --out DIR --rules FILE.json [--result DIR]
+  python -m driftlog alerts   --out DIR --rules FILE.json --result DIR
 
 Uses the active SparkSession (spark-submit) or a local one.
 """
@@ -49,7 +49,7 @@ def main(argv: list[str] | None = None) -> int:
     a = sub.add_parser("alerts", help="evaluate alert rules over the hot table")
     a.add_argument("--out", required=True)
     a.add_argument("--rules", required=True, help="JSON list of rule objects")
-    a.add_argument("--result", default="")
+    a.add_argument("--result", required=True, help="folder for the alert rows (Parquet)")
     args = ap.parse_args(argv)
 
     spark = _spark()
@@ -88,11 +88,8 @@ def main(argv: list[str] | None = None) -> int:
         with open(args.rules) as f:
             rules = spark.createDataFrame([tuple(r.get(k.name) for k in RULE.fields) for r in json.load(f)], RULE)
         alerts = evaluate_rules(read_hot(spark, f"{args.out}/hot"), rules)
-        if args.result:
-            alerts.write.mode("overwrite").parquet(args.result)
-        else:
-            for row in alerts.limit(20).collect():  # a preview; --result writes them all
-                print(json.dumps(row.asDict(), default=str))
+        alerts.write.mode("overwrite").parquet(args.result)
+        print(json.dumps({"alerts": spark.read.parquet(args.result).count()}))
     return 0
 
 

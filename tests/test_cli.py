@@ -34,3 +34,19 @@ def test_cli_stream_available_now(spark, tmp_path):
                  "--available-now"]) == 0
     assert spark.read.parquet(str(out / "normalized")).count() == 1
     assert spark.read.parquet(str(out / "dead_letter")).count() == 1
+
+
+def test_cli_alerts(spark, tmp_path, capsys):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    batch = {"entries": [{"log_id": f"a{i}", "tenant_id": "t1", "level": "error", "message": "boom",
+                          "ingest_timestamp": f"2024-01-01T00:00:0{i}Z"} for i in range(4)]}
+    (raw / "b.json").write_text(json.dumps(batch))
+    out = tmp_path / "out"
+    main(["pipeline", "--raw", str(raw), "--out", str(out)])
+    rules = tmp_path / "rules.json"
+    rules.write_text(json.dumps([{"name": "r", "tenant_id": "*", "level": "ERROR", "message_contains": "",
+                                  "threshold": 3, "window_seconds": 60, "webhook": "h"}]))
+    capsys.readouterr()
+    assert main(["alerts", "--out", str(out), "--rules", str(rules), "--result", str(tmp_path / "alerts")]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"alerts": 2}
