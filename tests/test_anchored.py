@@ -178,3 +178,21 @@ def test_copies_of_one_id_are_split_in_range_dedup(spark):
             anchors, last = anchors + 1, t
     assert a.count() == b.count() == 6000 + anchors
     assert a.filter("log_id = 'same'").select(F.spark_partition_id()).distinct().count() >= 2
+
+
+def test_range_mode_many_keys_tiny_batches(spark):
+    rnd = random.Random(33)
+    rows = []
+    for k in range(40):
+        size = rnd.choice([1, 2, 5, 80, 300])
+        rows += [(f"k{k:02d}", rnd.randrange(0, 2 * 10**7), len(rows) + i, rnd.choice([0.5, 2.0])) for i in range(size)]
+    df = spark.createDataFrame(rows, "k string, us long, tie long, w double").withColumn("ts", F.timestamp_micros("us"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        r = anchored_windows(df, ["k"], "ts", "w", "at_or_after", order=["tie"], mode="range", num_partitions=13) \
+            .select("k", "tie", F.unix_micros("window_start").alias("a"), "ordinal").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = brute([(k, us, int(w * 1_000_000), tie) for k, us, tie, w in rows], after=False)
+    got = {(x.k, x.tie): (x.a, x.ordinal) for x in r}
+    assert got == want

@@ -87,3 +87,23 @@ def test_running_counter(spark):
                                "k string, s long, id string").withColumn("ts", F.timestamp_seconds("s"))
     got = {r.id: r.counter for r in running_counter(df, ["k"], "ts", 600, order=["id"]).collect()}
     assert got == {"a": 1, "b": 2, "c": 1, "d": 2, "e": 1}
+
+
+def test_numbering_many_keys_tiny_batches(spark):
+    import random
+
+    from pyspark.sql import Window
+    rnd = random.Random(21)
+    rows = []
+    for k in range(60):
+        size = rnd.choice([1, 1, 2, 3, 50, 400])
+        rows += [(f"k{k:03d}", rnd.randrange(0, 1000), len(rows) + i) for i in range(size)]
+    df = spark.createDataFrame(rows, "k string, t long, tie long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        got = {r.tie: r.row_no for r in number_within(df, ["k"], ["t", "tie"], num_partitions=13, mode="range").collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    w = Window.partitionBy("k").orderBy("t", "tie")
+    want = {r.tie: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert got == want

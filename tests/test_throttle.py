@@ -42,3 +42,22 @@ def test_range_mode_equals_hash_mode(spark):
     h = throttle(df, 10, order=["request_id"], mode="hash").collect()
     r = throttle(df, 10, order=["request_id"], mode="range", num_partitions=9).collect()
     assert {x.request_id: (x.admitted, x.tokens_left) for x in h} == {x.request_id: (x.admitted, x.tokens_left) for x in r}
+
+
+def test_range_mode_tiny_batches(spark):
+    import random
+    rnd = random.Random(8)
+    rows, t = [], {}
+    for i in range(3000):
+        k = rnd.choice(["a"] * 6 + ["b", "c", "d", "e"])
+        t[k] = t.get(k, 0) + rnd.choice([20_000, 70_000, 300_000, 1_200_000 if i % 37 == 0 else 40_000])
+        rows.append((f"r{i:05d}", k, t[k]))
+    df = spark.createDataFrame(rows, "request_id string, tenant_id string, us long").withColumn(
+        "ts", F.timestamp_micros("us"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+    try:
+        r = throttle(df, 7, order=["request_id"], mode="range", num_partitions=13).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    h = throttle(df, 7, order=["request_id"], mode="hash").collect()
+    assert {x.request_id: (x.admitted, x.tokens_left) for x in h} == {x.request_id: (x.admitted, x.tokens_left) for x in r}
