@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftlog.functions.jsonx import dead_letter_payload, is_single_json
+from driftlog.functions.jsonx import dead_letter_payload
 from driftlog.functions.timefmt import RFC3339_RE, parse_rfc3339
 from driftlog.schemas import ENTRY_STRING_FIELDS, ENTRY_TIME_FIELDS, OPTIONAL_STRING_FIELDS
 
@@ -97,7 +97,10 @@ def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
     and the raw ``value``). Other input columns are carried along."""
     carried = [c for c in raw.columns if c != value_col]
     x = raw.withColumn("__v", F.col(value_col).cast("string"))
-    x = x.withColumn("__p", F.when(is_single_json(F.col("__v")), F.try_parse_json(F.col("__v"))))
+    # two parses decide "exactly one JSON value"; the array wrapper's only element is the value
+    arr = F.try_parse_json(F.concat(F.lit("["), F.col("__v"), F.lit("]")))
+    obj_ok = F.try_parse_json(F.concat(F.lit('{"a":'), F.col("__v"), F.lit("}"))).isNotNull()
+    x = x.withColumn("__p", F.when(arr.isNotNull() & obj_ok, F.variant_get(arr, "$[0]", "variant")))
     x = x.withColumn("__why", F.when(F.col("__p").isNull(), F.lit("invalid JSON text")).otherwise(
         F.expr(_decode_reason("__p"))))
     is_bad = F.col("__why").isNotNull()
