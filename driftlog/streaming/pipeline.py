@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from driftlog.functions.keys import partition_key
-from driftlog.operators.decode import REASON_NORMALISE, decode_batches, encode_entry
+from driftlog.operators.decode import REASON_NORMALISE, decode_all, encode_entry
 from driftlog.functions.jsonx import dead_letter_payload
-from driftlog.operators.normalise import is_valid, normalised
+from driftlog.functions.levels import canonical_level
+from driftlog.operators.normalise import is_valid
 from driftlog.schemas import ENTRY_COLUMNS
 from driftlog.sources.bus import file_source, kafka_source  # noqa: F401  (re-exported)
 from driftlog.sources.archive import archive
@@ -26,16 +27,28 @@ from driftlog.streaming.stateful import dedup_stream
 
 
 def tagged_stream(raw: DataFrame, ttl_seconds: float = 300, watermark: str = "1 hour") -> DataFrame:
-    """One stream of rows tagged kind = entry | rejected | bad."""
-    decoded, bad = decode_batches(raw.select(F.col("value").cast("string").alias("value")))
+    """One stream of rows tagged kind = entry | rejected | bad, from one read and one parse.
+
+    Payloads are built before normalisation (a rejected entry is re-encoded as it
+    came); every row then passes the stateful dedup, where only valid entries
+    are keyed by id and the other rows pass through untouched.
+    """
+    decoded = decode_all(raw.select(F.col("value").cast("string").alias("value")))
     ok = is_valid(decoded)
-    entries = dedup_stream(normalised(decoded.filter(ok)).select(*ENTRY_COLUMNS), ttl_seconds, watermark=watermark)
-    ent = entries.select(F.lit("entry").alias("kind"), F.lit(None).cast("string").alias("reason"),
-                         encode_entry().alias("payload"), *ENTRY_COLUMNS)
-    rej = decoded.filter(~ok).select(F.lit("rejected").alias("kind"), F.lit(REASON_NORMALISE).alias("reason"),
-                                     encode_entry().alias("payload"), *ENTRY_COLUMNS)
-    bd = bad.select(F.lit("bad").alias("kind"), F.col("reason"), dead_letter_payload(F.col("value")).alias("payload"))
-    return ent.unionByName(rej, allowMissingColumns=True).unionByName(bd, allowMissingColumns=True)
+    kind = F.when(F.col("kind") == "bad", F.lit("bad")).when(ok, F.lit("entry")).otherwise(F.lit("rejected"))
+    rows = decoded.withColumn("kind", kind).withColumn(
+        "payload", F.when(F.col("kind") == "bad", dead_letter_payload(F.col("value")))
+        .when(F.col("kind") == "rejected", encode_entry())).withColumn(
+        "reason", F.when(F.col("kind") == "rejected", F.lit(REASON_NORMALISE)).otherwise(F.col("reason")))
+    is_entry = F.col("kind") == "entry"
+    # canonical level and event time, for entries only (rejected rows keep what they came with)
+    norm = {"level": canonical_level(F.col("level")),
+            "event_timestamp": F.coalesce(F.col("event_timestamp"), F.col("ingest_timestamp"))}
+    rows = rows.select(
+        "kind", "reason", "payload",
+        *[(F.when(is_entry, norm[c]).otherwise(F.col(c)) if c in norm else F.col(c)).alias(c) for c in ENTRY_COLUMNS])
+    deduped = dedup_stream(rows, ttl_seconds, watermark=watermark, passthrough=F.col("kind") != "entry")
+    return deduped.withColumn("payload", F.when(F.col("kind") == "entry", encode_entry()).otherwise(F.col("payload")))
 
 
 def write_outputs(batch: DataFrame, batch_id: int, out_dir: str) -> None:

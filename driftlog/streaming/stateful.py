@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
@@ -27,9 +27,11 @@ from driftlog.session import ship_package
 STATE_SCHEMA = "anchor long, end long, count long"
 _T = "__st_t"
 _W = "__st_w"
+_P = "__st_pass"
+_K = "__st_key"
 
 
-def _handler(order: Sequence[str], after: bool, emit):
+def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | None = None):
     order = list(order)
 
     def fn(key, pdfs, state):
@@ -39,6 +41,9 @@ def _handler(order: Sequence[str], after: bool, emit):
         frames = [p for p in pdfs if len(p)]
         if not frames:
             return
+        if passthrough_col is not None and bool(frames[0][passthrough_col].iloc[0]):
+            yield from frames  # rows without an id or time: emitted as they are, no state
+            return
         pdf = pd.concat(frames, ignore_index=True).sort_values([_T, *order], kind="stable")
         t = pdf[_T].to_numpy(dtype=np.int64)
         w = pdf[_W].to_numpy(dtype=np.int64)
@@ -58,26 +63,37 @@ def _handler(order: Sequence[str], after: bool, emit):
 
 def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[str] = ("log_id",),
                  arrival: str = "ingest_timestamp", order: Sequence[str] = ("log_id",),
-                 watermark: str = "1 hour") -> DataFrame:
+                 watermark: str = "1 hour", passthrough: Column | None = None) -> DataFrame:
     """Streaming ``dedup_ttl``: first sight per id wins for ``ttl_seconds`` of arrival time.
 
-    Entries with an empty id or no arrival time pass through untouched.
+    Every row goes through one stateful operator (so the source is read once):
+    entries key on their id; rows with an empty id, no arrival time or a true
+    ``passthrough`` get a content-hash key and are emitted as they are, without
+    touching the state.
     """
     ship_package(entries.sparkSession)
     keys = list(keys)
-    x = entries.withColumn("fields", F.to_json("fields")) if "fields" in entries.columns else entries
-    passthru = (F.coalesce(F.col("log_id"), F.lit("")) == "") | F.col(arrival).isNull()
-    keyed = x.filter(~passthru).withWatermark(arrival, watermark) \
-        .withColumn(_T, F.unix_micros(F.col(arrival))).withColumn(_W, F.lit(int(ttl_seconds * MICROS)))
+    has_fields = "fields" in entries.columns
+    x = entries.withColumn("fields", F.to_json("fields")) if has_fields else entries
+    pas = (F.coalesce(F.col("log_id"), F.lit("")) == "") | F.col(arrival).isNull()
+    if passthrough is not None:
+        pas = pas | F.coalesce(passthrough, F.lit(False))
+    content = [c for c in x.columns]
+    key = F.when(pas, F.concat(F.lit("p"), F.sha2(F.to_json(F.struct(*content)), 256))).otherwise(
+        F.concat(F.lit("k"), F.to_json(F.struct(*[F.col(k) for k in keys]))))
+    keyed = (x.withColumn(_P, pas).withColumn(_K, key).withWatermark(arrival, watermark)
+             .withColumn(_T, F.coalesce(F.unix_micros(F.col(arrival)), F.lit(0)))
+             .withColumn(_W, F.lit(int(ttl_seconds * MICROS))))
     schema = keyed.schema
 
     def emit(pdf, anchor, ordinal):
         return pdf[ordinal == 1]
 
-    kept = keyed.groupBy(*keys).applyInPandasWithState(
-        _handler(order, False, emit), schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    out = kept.drop(_T, _W).unionByName(x.filter(passthru))
-    if "fields" in entries.columns:
+    kept = keyed.groupBy(_K).applyInPandasWithState(
+        _handler(order, False, emit, passthrough_col=_P), schema, STATE_SCHEMA, "append",
+        GroupStateTimeout.EventTimeTimeout)
+    out = kept.drop(_T, _W, _P, _K)
+    if has_fields:
         out = out.withColumn("fields", F.from_json("fields", T.MapType(T.StringType(), T.StringType())))
     return out
 
