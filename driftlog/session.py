@@ -35,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("DRIFTLOG_DRIVER_MEMORY", "8g"))
+        # delete reliable checkpoints once nothing references them
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
