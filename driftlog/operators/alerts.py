@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from driftlog.functions.text import contains_ci, equal_fold
 from driftlog.operators.anchored import anchored_windows
 
+_HELPERS = ("__rl_lo", "__rl_up", "__rn_lo", "__lv_lo", "__lv_up", "__msg_lo")
+
 # Rules are a configuration table; this many go into one broadcast, more are sliced.
 MAX_BROADCAST_RULES = 5_000
 
@@ -44,13 +45,21 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     counts = rules.agg(F.count(F.lit(1)).alias("n"),
                        F.sum((F.col("rule_tenant") == "*").cast("long")).alias("w")).first()
     n, n_wild = counts["n"], counts["w"] or 0  # size check before any broadcast
-    rest = ((F.coalesce(F.col("rule_level"), F.lit("")) == "") | equal_fold(F.col("rule_level"), F.col("level"))) \
-        & contains_ci(F.col("message"), F.coalesce(F.col("rule_needle"), F.lit("")))
+    # the case-folded equality and the case-insensitive containment of functions.text, with the
+    # folding done once per entry and once per rule, not once per (entry, rule) pair
+    rules = rules.withColumn("__rl_lo", F.lower(F.coalesce("rule_level", F.lit("")))) \
+        .withColumn("__rl_up", F.upper(F.coalesce("rule_level", F.lit("")))) \
+        .withColumn("__rn_lo", F.lower(F.coalesce("rule_needle", F.lit(""))))
+    entries = entries.withColumn("__lv_lo", F.lower(F.col("level"))).withColumn("__lv_up", F.upper(F.col("level"))) \
+        .withColumn("__msg_lo", F.lower(F.col("message")))
+    rest = ((F.col("__rl_lo") == "") | ((F.length("rule_level") == F.length("level"))
+                                         & ((F.col("__rl_lo") == F.col("__lv_lo")) | (F.col("__rl_up") == F.col("__lv_up"))))) \
+        & F.contains(F.col("__msg_lo"), F.col("__rn_lo"))
     if n <= MAX_BROADCAST_RULES:
         probes = entries.withColumn("__probe",
                                     F.explode(F.array_distinct(F.array(F.col("tenant_id"), F.lit("*")))))
         return probes.join(F.broadcast(rules), (F.col("__probe") == F.col("rule_tenant")) & rest,
-                           "inner").drop("__probe")
+                           "inner").drop("__probe", *_HELPERS)
     # many rules: tenant rules join on tenant by shuffle (AQE splits a hot tenant), wildcard rules
     # stay broadcast, sliced only if they alone pass the bound
     by_tenant = entries.join(rules.filter(F.col("rule_tenant") != "*"),
@@ -61,7 +70,7 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     for i in range(n_slices if n_wild else 0):
         r = wild if n_slices == 1 else wild.filter((F.col("rule_pos") % n_slices) == i)
         out = out.unionByName(entries.join(F.broadcast(r), rest, "inner"))
-    return out
+    return out.drop(*_HELPERS)
 
 
 def evaluate_rules(
