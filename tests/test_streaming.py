@@ -102,3 +102,35 @@ def test_batch_pipeline_run_is_idempotent(spark, tmp_path):
     assert spark.read.parquet(f"{out}/hot").count() == n
     from driftlog.sources.archive import read_archive
     assert read_archive(spark, f"{out}/cold").count() == n
+
+
+def test_stream_pipeline_dedups_across_micro_batches(spark, tmp_path):
+    import json
+
+    def batch(*entries):
+        return json.dumps({"entries": [dict(tenant_id="t1", message="m", **e) for e in entries]})
+
+    files = [
+        [batch({"log_id": "a", "ingest_timestamp": "2024-01-01T00:00:00Z"},
+               {"log_id": "", "ingest_timestamp": "2024-01-01T00:00:00Z"})],
+        [batch({"log_id": "a", "ingest_timestamp": "2024-01-01T00:04:59Z"},  # within the TTL: dropped
+               {"log_id": "", "ingest_timestamp": "2024-01-01T00:04:59Z"}), "not json"],
+        [batch({"log_id": "a", "ingest_timestamp": "2024-01-01T00:05:00Z"})],  # first sight + TTL: new
+    ]
+    for i, values in enumerate(files):
+        rows = [("logs-raw", None, v.encode(), None) for v in values]
+        spark.createDataFrame(rows, "topic string, key binary, value binary, timestamp timestamp") \
+            .coalesce(1).write.parquet(str(tmp_path / "raw" / f"f{i}"))
+    out = str(tmp_path / "out")
+    q = stream_pipeline(file_source(spark, str(tmp_path / "raw" / "*")), out, str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination(600)
+    assert q.exception() is None
+    bus = spark.read.parquet(f"{out}/normalized").select(
+        F.get_json_object("value", "$.log_id").alias("id"), F.col("timestamp").cast("string").alias("t")).collect()
+    assert sorted((r.id, r.t) for r in bus) == [
+        ("", "2024-01-01 00:00:00"), ("", "2024-01-01 00:04:59"), ("a", "2024-01-01 00:00:00"),
+        ("a", "2024-01-01 00:05:00")]
+    # the hot table keeps the last write per (tenant, day, id)
+    hot = {(r.log_id, str(r.ingest_timestamp)) for r in spark.read.parquet(f"{out}/hot").collect()}
+    assert ("a", "2024-01-01 00:05:00") in hot and ("a", "2024-01-01 00:00:00") not in hot
+    assert spark.read.parquet(f"{out}/dead_letter").count() == 1
