@@ -83,6 +83,20 @@ def q_evaluate_rules(spark, d):
                     us("window_start").alias("window_start_us"))
 
 
+def q_alerts_first(spark, d):
+    spark = _spark(spark)
+    a = evaluate_rules(deduped_entries(spark, d), fx.rules(spark), order=["log_id", "shift"], first_only=True)
+    return a.select("rule", "tenant_id", "log_id", F.col("count").cast("long").alias("count"),
+                    us("fired_at").alias("fired_us"), us("window_start").alias("window_start_us"))
+
+
+def q_alerts_aligned(spark, d):
+    spark = _spark(spark)
+    a = evaluate_rules(deduped_entries(spark, d), fx.rules(spark), order=["log_id", "shift"], aligned=True)
+    return a.select("rule", "tenant_id", "log_id", F.col("count").cast("long").alias("count"),
+                    us("fired_at").alias("fired_us"), us("window_start").alias("window_start_us"))
+
+
 def q_rule_windows(spark, d):
     spark = _spark(spark)
     s = evaluate_rules(deduped_entries(spark, d), fx.rules(spark), order=["log_id", "shift"], with_state=True)
@@ -113,6 +127,17 @@ def q_search_hot(spark, d):
                        us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
 
 
+def q_search_cold(spark, d):
+    """The flagship request against the cold tier: archive written, read back (tenant pruned), searched."""
+    spark = _spark(spark)
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/cold-{uuid.uuid4().hex}"
+    archive(deduped_entries(spark, d), path, ARCHIVE_WRITE_TIME)
+    page, _ = search(read_archive(spark, path, tenant="tenant-0"), _flagship_request())
+    return page.select("log_id", "tenant_id", "service", "level", "message",
+                       us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
+
+
 def _routed(spark, d):
     return route_tier(fx.daily_requests(spark, d), SEARCH_NOW)
 
@@ -263,8 +288,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_ttl": q_dedup_ttl,
     "evaluate_rules": q_evaluate_rules,
     "rule_windows": q_rule_windows,
+    "alerts_first": q_alerts_first,
+    "alerts_aligned": q_alerts_aligned,
     "search_one": q_search_one,
     "search_hot": q_search_hot,
+    "search_cold": q_search_cold,
     "route_tier": q_route_tier,
     "search_pages": q_search_pages,
     "search_totals": q_search_totals,

@@ -114,6 +114,21 @@ cnt AS (
   SELECT lab.*, row_number() OVER (PARTITION BY name, tenant_id, anchor
       ORDER BY ingest_us, log_id, shift, rule_pos) AS count FROM lab)"""
 
+# epoch-aligned tumbling windows of each rule's width (the optional aligned mode)
+ALIGNED = f"""
+rules(name, rtenant, rlevel, needle, threshold, wsec, webhook, rule_pos) AS (VALUES {RULES}),
+m AS (
+  SELECT d.*, r.* FROM dd d JOIN rules r
+    ON (r.rtenant = '*' OR r.rtenant = d.tenant_id)
+   AND (r.rlevel = '' OR (length(r.rlevel) = length(d.level)
+        AND (lower(r.rlevel) = lower(d.level) OR upper(r.rlevel) = upper(d.level))))
+   AND contains(lower(d.message), lower(r.needle))),
+acnt AS (
+  SELECT m.*, ingest_us - (ingest_us % (wsec::BIGINT * {US})) AS wstart,
+    row_number() OVER (PARTITION BY name, tenant_id, ingest_us - (ingest_us % (wsec::BIGINT * {US}))
+                       ORDER BY ingest_us, log_id, shift, rule_pos) AS count
+  FROM m)"""
+
 NOW_US = "epoch_us(TIMESTAMPTZ '2024-01-30 00:00:00+00')"
 
 
@@ -229,6 +244,14 @@ SELECT name AS rule, tenant_id, service, count::BIGINT AS count, ingest_us AS fi
        webhook, log_id, anchor AS window_start_us
 FROM cnt WHERE count >= threshold""",
 
+    "alerts_first": BASE + "," + ALERTS + """
+SELECT name AS rule, tenant_id, log_id, count::BIGINT AS count, ingest_us AS fired_us, anchor AS window_start_us
+FROM cnt WHERE count >= threshold AND count = greatest(threshold, 1)""",
+
+    "alerts_aligned": BASE + "," + ALIGNED + """
+SELECT name AS rule, tenant_id, log_id, count::BIGINT AS count, ingest_us AS fired_us, wstart AS window_start_us
+FROM acnt WHERE count >= threshold""",
+
     "rule_windows": BASE + "," + ALERTS + """
 SELECT name AS rule, tenant_id, anchor AS window_start_us, count(*)::BIGINT AS matches, max(count)::BIGINT AS max_count
 FROM cnt GROUP BY name, tenant_id, anchor""",
@@ -238,6 +261,13 @@ SELECT log_id, tenant_id, service, level, message, event_us, ingest_us FROM dd
 WHERE tenant_id = 'tenant-0' AND service = 'error' AND level = 'ERROR'
   AND event_us >= epoch_us(TIMESTAMPTZ '2024-01-01 00:00:00+00') AND event_us <= epoch_us(TIMESTAMPTZ '2024-01-31 00:00:00+00')
 ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host
+LIMIT 100 OFFSET 0""",
+
+    "search_cold": BASE + """
+SELECT log_id, tenant_id, service, level, message, event_us, ingest_us FROM dd
+WHERE tenant_id = 'tenant-0' AND service = 'error' AND level = 'ERROR'
+  AND event_us >= epoch_us(TIMESTAMPTZ '2024-01-01 00:00:00+00') AND event_us <= epoch_us(TIMESTAMPTZ '2024-01-31 00:00:00+00')
+ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host
 LIMIT 100 OFFSET 0""",
 
     "search_hot": BASE + """
