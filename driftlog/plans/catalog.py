@@ -265,6 +265,15 @@ def q_tail_fanout(spark, d):
                     F.col("shift").cast("long").alias("shift"))
 
 
+def q_tail_frames(spark, d):
+    """Delivered event-stream frames (the JSON encoding of each entry) for every subscriber."""
+    spark = _spark(spark)
+    e = deduped_entries(spark, d).withColumn("round", F.date_trunc("minute", "ingest_timestamp"))
+    t = tail_fanout(e, fx.subscriptions(spark), cap=TAIL_CAP, round_col="round",
+                    order=["ingest_timestamp", "log_id", "shift"])
+    return t.select("subscriber_id", "log_id", F.col("shift").cast("long").alias("shift"), "frame")
+
+
 def q_archive_roundtrip(spark, d):
     spark = _spark(spark)
     base = ensure_checkpoint_dir(spark)
@@ -308,6 +317,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_counter": q_session_counter,
     "running_counter": q_running_counter,
     "tail_fanout": q_tail_fanout,
+    "tail_frames": q_tail_frames,
     "archive_roundtrip": q_archive_roundtrip,
     "pipeline": q_pipeline,
 }

@@ -56,12 +56,13 @@ log_entries AS (
     CASE WHEN e.event_id % 13 = 0 THEN NULL ELSE epoch_us(e.ts) END AS event_us0,
     epoch_us(e.ts) + ((e.event_id % 30) + r.shift) * {US} AS ingest_us,
     r.shift::BIGINT AS shift,
-    e.event_id
+    e.event_id,
+    json_extract_string(e.props, '$.k') AS k
   FROM events e JOIN replays r ON e.event_id % r.m = 0),
 nv AS (
   SELECT log_id, tenant_id, service, host,
     CASE WHEN {_trim('level')} = '' THEN 'INFO' ELSE upper({_trim('level')}) END AS level,
-    message, coalesce(event_us0, ingest_us) AS event_us, ingest_us, shift, event_id
+    message, coalesce(event_us0, ingest_us) AS event_us, ingest_us, shift, event_id, k
   FROM log_entries WHERE tenant_id <> '' AND message <> '')"""
 
 DEDUP = f"""
@@ -399,6 +400,23 @@ j AS (
 SELECT subscriber_id, log_id, tenant_id, service, level, shift FROM j
 WHERE slot <= {cat.TAIL_CAP} AND (s_service = '' OR service = s_service) AND (s_level = '' OR level = s_level)"""
 
+# one entry as JSON text: key order of the record, empty optional strings left out, times as
+# RFC 3339 with trimmed fraction, the fields map last
+TAIL_ENTRY_JSON = ("'{\"log_id\":' || to_json(log_id) || ',\"tenant_id\":' || to_json(tenant_id) || "
+                   "',\"service\":' || to_json(service) || ',\"host\":' || to_json(host) || "
+                   "',\"environment\":' || to_json('test') || ',\"level\":' || to_json(level) || "
+                   "',\"message\":' || to_json(message) || ',\"event_timestamp\":' || " + _ts_json("event_us") +
+                   " || ',\"ingest_timestamp\":' || " + _ts_json("ingest_us") +
+                   " || ',\"fields\":{\"k\":' || to_json(k) || '}}'")
+ORACLES["tail_frames"] = BASE + f""",
+subs(subscriber_id, s_tenant, s_service, s_level) AS (VALUES {SUBS}),
+j AS (
+  SELECT s.*, d.*, row_number() OVER (PARTITION BY s.subscriber_id, d.ingest_us // 60000000
+      ORDER BY d.ingest_us, d.log_id, d.shift) AS slot
+  FROM dd d JOIN subs s ON d.tenant_id = s.s_tenant)
+SELECT subscriber_id, log_id, shift, ('data: ' || {TAIL_ENTRY_JSON} || chr(10) || chr(10))::VARCHAR AS frame FROM j
+WHERE slot <= {cat.TAIL_CAP} AND (s_service = '' OR service = s_service) AND (s_level = '' OR level = s_level)"""
+
 ORACLES["archive_roundtrip"] = BASE + """
 SELECT log_id, tenant_id, service, level, message, event_us, ingest_us,
   epoch_us(TIMESTAMPTZ '2024-02-01 10:00:00+00') AS archived_hour_us
