@@ -234,6 +234,12 @@ def q_authorize(spark, d):
     return admitted.select("request_id", "tenant_id")
 
 
+def q_authorize_rejected(spark, d):
+    spark = _spark(spark)
+    _, rejected = authorize(fx.requests(spark, d), fx.api_keys(spark))
+    return rejected.select("request_id", "tenant_id", "api_key")
+
+
 def q_throttle(spark, d):
     spark = _spark(spark)
     t = throttle(fx.requests(spark, d), THROTTLE_RPS, order=["request_id"])
@@ -313,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_batches": q_decode_batches,
     "dead_letter": q_dead_letter,
     "authorize": q_authorize,
+    "authorize_rejected": q_authorize_rejected,
     "throttle": q_throttle,
     "session_counter": q_session_counter,
     "running_counter": q_running_counter,

@@ -347,6 +347,15 @@ SELECT request_id, tenant_id FROM reqs r
 WHERE tenant_id <> '' AND EXISTS (SELECT 1 FROM keys k WHERE k.tenant_id = r.tenant_id AND k.api_key = r.api_key)""",
 }
 
+ORACLES["authorize_rejected"] = """
+WITH reqs AS (
+  SELECT 'r' || event_id::VARCHAR AS request_id, 'tenant-' || (user_id % 4)::VARCHAR AS tenant_id,
+    CASE WHEN event_id % 10 = 0 THEN 'wrong' ELSE 'k' || (user_id % 4)::VARCHAR END AS api_key
+  FROM events),
+keys(tenant_id, api_key) AS (VALUES """ + ", ".join(f"({_q(t)}, {_q(k)})" for t, k in fx.API_KEYS) + """)
+SELECT request_id, tenant_id, api_key FROM reqs r
+WHERE NOT (tenant_id <> '' AND EXISTS (SELECT 1 FROM keys k WHERE k.tenant_id = r.tenant_id AND k.api_key = r.api_key))"""
+
 _RPS = f"{float(cat.THROTTLE_RPS)}::DOUBLE"
 _REFILL = (f"least(b.tokens + ((((q.ts_us - b.ts_us) * 1000) // 1000000000)::DOUBLE "
            f"+ (((q.ts_us - b.ts_us) * 1000) % 1000000000)::DOUBLE / 1e9) * {_RPS}, {_RPS})")
