@@ -96,3 +96,10 @@ def test_search_many_matches_single_searches(spark, hot):
         assert single["total"] == t[row.request_id], row.request_id
         got = [r.log_id for r in page.filter(F.col("search_id") == row.request_id).orderBy("rank").collect()]
         assert got == [e["log_id"] for e in single["entries"]], row.request_id
+
+
+def test_batch_search_prunes_hot_partitions_at_run_time(spark, hot):
+    page, _ = search_many(hot, route_tier(fx.search_requests(spark), NOW))
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    scan = [line for line in plan.split("\n") if "FileScan" in line][0]
+    assert "dynamicpruningexpression" in scan.split("PartitionFilters")[1]
