@@ -25,6 +25,9 @@ MAX_PAGE_SIZE = 1000
 DEFAULT_SPAN = timedelta(hours=1)
 DEFAULT_HOT_DAYS = 30
 
+# Deepest row one request can address (Spark's offset/limit are 32-bit).
+MAX_OFFSET = (1 << 31) - 1
+
 # Request batches are broadcast only up to this many rows; beyond, a shuffle join.
 MAX_BROADCAST_REQUESTS = 100_000
 
@@ -123,10 +126,26 @@ def search(table: DataFrame, req: SearchRequest) -> tuple[DataFrame, Observation
     has_terms = "message_terms" in table.columns
     filtered = table.filter(request_predicate(req, has_date, has_terms)).observe(obs, F.count(F.lit(1)).alias("total"))
     offset = (req.page - 1) * req.page_size
+    if offset + req.page_size > MAX_OFFSET:
+        # deeper than Spark's offset can address: the page is empty, the total is counted
+        # (an empty plan would drop the observation)
+        unobserved = table.filter(request_predicate(req, has_date, has_terms))
+        return unobserved.limit(0), _CountedTotal(unobserved)
     page = filtered.orderBy(*order_columns()).offset(offset).limit(req.page_size)
     return page, obs
 
 
+class _CountedTotal:
+    """Observation stand-in for pages too deep to address: ``get`` counts the matches."""
+
+    def __init__(self, df: DataFrame):
+        self._df = df
+
+    @property
+    def get(self) -> dict:
+        return {"total": self._df.count()}
+
+
 def run_search(table: DataFrame, req: SearchRequest) -> dict:
     """Execute one request: {'total', 'page', 'page_size', 'entries'} (entries are at most one page)."""
     page_df, obs = search(table, req)
@@ -179,7 +198,9 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
     ).filter(F.col("lo_ts") <= F.col("hi_ts"))
     r = r.withColumn("r_day", F.explode(F.sequence(F.to_date("lo_ts"), F.to_date("hi_ts"))))
     # one small job: the size check before any broadcast, and the deepest row any request needs
-    stats = r.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("page_no") * F.col("size")).alias("k")).first()
+    # try_multiply: a page past the 64-bit range has no rows (it must not fail the batch)
+    deepest = F.try_multiply(F.col("page_no"), F.col("size"))
+    stats = r.agg(F.count(F.lit(1)).alias("n"), F.max(deepest).alias("k")).first()
     small = stats["n"] <= MAX_BROADCAST_REQUESTS
     kmax = stats["k"] or 0
     if small:
@@ -196,8 +217,8 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
     w = Window.partitionBy("search_id").orderBy(*order_columns())
     ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(kmax)))
     ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
-    lo = (F.col("page_no") - 1) * F.col("size")
-    page = ranked.filter((F.col("rank") > lo) & (F.col("rank") <= lo + F.col("size")))
+    lo = F.try_multiply(F.col("page_no") - 1, F.col("size"))
+    page = ranked.filter(lo.isNotNull() & (F.col("rank") > lo) & (F.col("rank") - F.col("size") <= lo))
     counts = hits.groupBy("search_id").agg(F.count(F.lit(1)).alias("total"))
     counts = F.broadcast(counts) if small else counts  # one row per request at most
     totals = routed.select(F.col("request_id").alias("search_id"), "page_no", "size", "tier") \

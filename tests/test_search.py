@@ -103,3 +103,19 @@ def test_batch_search_prunes_hot_partitions_at_run_time(spark, hot):
     plan = page._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.split("\n") if "FileScan" in line][0]
     assert "dynamicpruningexpression" in scan.split("PartitionFilters")[1]
+
+
+def test_pages_beyond_addressable_depth(spark, hot):
+    base = {"from": "2024-01-01T00:00:00Z", "to": "2024-01-31T00:00:00Z"}
+    normal = run_search(hot, SearchRequest.parse("tenant-1", {**base, "page_size": "10"}, NOW))
+    deep = run_search(hot, SearchRequest.parse("tenant-1", {**base, "page": "9223372036854775807",
+                                                            "page_size": "1000"}, NOW))
+    assert deep["entries"] == [] and deep["total"] == normal["total"] > 0
+    reqs = spark.createDataFrame(
+        [("deep", "tenant-1", "", "", "", base["from"], base["to"], "9223372036854775807", "1000"),
+         ("first", "tenant-1", "", "", "", base["from"], base["to"], "1", "10")],
+        "request_id string, tenant_id string, service string, level string, q string, `from` string, `to` string, "
+        "page string, page_size string")
+    page, totals = search_many(hot, route_tier(reqs, NOW))
+    assert {r.search_id for r in page.collect()} == {"first"}
+    assert {r.search_id: r.total for r in totals.collect()} == {"deep": normal["total"], "first": normal["total"]}
