@@ -292,7 +292,7 @@ def q_archive_roundtrip(spark, d):
 
 def q_pipeline(spark, d):
     spark = _spark(spark)
-    out = process(fx.raw_batches(spark, d))
+    out = process(fx.raw_batches(spark, d), parsed_once=True)  # as ``run`` does: raw JSON parsed once
     n = out.normalized.select(F.lit("normalized").alias("output"), F.col("key").alias("detail"))
     dl = out.dead.select(F.lit("dead_letter").alias("output"), F.split("reason", ":")[0].alias("detail"))
     return n.unionByName(dl).groupBy("output", "detail").agg(F.count(F.lit(1)).cast("long").alias("n"))
