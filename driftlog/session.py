@@ -55,23 +55,27 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names in ``spark.checkpoint.dir`` (None when unset)."""
-    d = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if d.isDefined():
-        return d.get()
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return conf
+    if conf:
+        return conf
+    d = spark.sparkContext._jsc.sc().getCheckpointDir()
+    return d.get() if d.isDefined() else None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the configured checkpoint folder; only when none is set (local tests) make one."""
+    """The folder for checkpoints and intermediate tables; set once per context.
+
+    ``setCheckpointDir`` makes a subfolder of what it is given, so it is called only while the
+    context has none: calling it with its own last answer would nest folders without end.
+    """
+    sc = spark.sparkContext
     d = checkpoint_dir(spark)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return d
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-    d = tempfile.mkdtemp(prefix="driftlog-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(d)
+    if d is None:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="driftlog-ckpt-", dir="/tmp")
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -114,15 +118,14 @@ def estimated_bytes(df) -> int:
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        known, unknown = 0, False
+        known = 0
         for i in range(leaves.size()):
             v = leaves.apply(i).stats().sizeInBytes()
             v = int(v if isinstance(v, int) else v.toString())
-            if v >= (1 << 63) - 1:  # no statistics (e.g. an RDD-backed leaf)
-                unknown = True
-            else:
-                known += v
-        return known if known or not unknown else 1 << 62
+            if v >= (1 << 63) - 1:  # no statistics (e.g. an RDD-backed leaf): assume large
+                return 1 << 62
+            known += v
+        return known
     except Exception:  # noqa: BLE001 - statistics unavailable: assume large
         return 1 << 62
 
