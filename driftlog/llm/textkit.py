@@ -16,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
+CHUNK_TEXTS = 1 << 19
 U64 = np.uint64
 
 
@@ -73,7 +74,7 @@ def chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
     lo = 0
     while lo < len(texts):
         hi = int(np.searchsorted(offsets, offsets[lo] + size, "right")) - 1
-        hi = min(max(hi, lo + 1), len(texts))
+        hi = min(max(hi, lo + 1), len(texts), lo + CHUNK_TEXTS)
         yield Chunk(lo, hi - lo, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
         lo = hi
 
