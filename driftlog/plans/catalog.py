@@ -326,5 +326,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tail_fanout": q_tail_fanout,
     "tail_frames": q_tail_frames,
     "archive_roundtrip": q_archive_roundtrip,
-    "pipeline": q_pipeline,
+    "log_pipeline": q_pipeline,
 }

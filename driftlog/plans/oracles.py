@@ -431,7 +431,7 @@ SELECT log_id, tenant_id, service, level, message, event_us, ingest_us,
   epoch_us(TIMESTAMPTZ '2024-02-01 10:00:00+00') AS archived_hour_us
 FROM dd"""
 
-ORACLES["pipeline"] = "WITH " + DECODED + f""",
+ORACLES["log_pipeline"] = "WITH " + DECODED + f""",
 edges(batch_id) AS (VALUES {", ".join("(" + _q(i) + ")" for i in _EDGE_BAD)}),
 valid AS (SELECT * FROM dec WHERE tenant_id <> '' AND message <> '')
 SELECT 'normalized' AS output, tenant_id || '|' || service AS detail, count(*)::BIGINT AS n FROM valid GROUP BY 1, 2
