@@ -10,10 +10,11 @@ weighs the full 2.
    for two texts with the probability of their weighted Jaccard similarity.
 2. Classes that agree on a whole band share a bucket. Each is compared with the bucket's smallest
    member on the exact weighted Jaccard similarity of the texts; pairs of ``THRESHOLD`` or more link.
-3. Buckets whose members are then still in several components are compared in full, in tiles of
-   signatures: pairs from different components whose signatures agree enough (5 standard deviations
-   below the threshold) are compared on their texts as well. A bucket that is one component already
-   costs nothing more, so a large group of copies never turns into all its pairs.
+3. Buckets whose members are then still in several components are compared in full, in tiles: first
+   the signatures tell which members have a partner in another component that agrees in enough samples
+   (4 standard deviations below the threshold), then the texts of those members are compared. A pair
+   that shares several buckets belongs to the first. A tile gives the edges of a spanning forest of its
+   links, never its pairs, and a bucket that is one component already costs nothing more.
 4. Components of the links are the groups; the row of the smallest doc_id stays.
 
 Defined results: null texts, empty texts and texts without words link with nothing and stay. A row
@@ -42,10 +43,10 @@ SEED = 4
 #: Count-min sketch: two rows of 2**17 counters; shares below RARE weigh alike.
 SKETCH_BITS = 17
 RARE = 1 / 256
-#: Wanted texts are found by a broadcast join up to this many rows (under 100 bytes each), else by shuffle.
-MAX_BROADCAST = 20_000
-#: Members compared with one leader in one task; signatures in one side of a tile.
-PER_LEADER, TILE = 512, 1_024
+#: Members compared with one leader in one task; signatures, and texts, in one side of a tile.
+PER_LEADER, TILE, TEXT_TILE = 512, 1_024, 256
+#: Bits of the Bloom filter that keeps texts nobody wants out of the shuffle; 8 MB, whatever the corpus.
+BLOOM_BITS, BLOOM_PROBES = 26, 3
 #: A shingle is 44 bits of its hash; the rest of the word holds the text's number in its chunk.
 _ID_BITS = 44
 _ID_MASK = tk.U64((1 << _ID_BITS) - 1)
@@ -180,37 +181,78 @@ def signed(docs: DataFrame, idf, text: str = "text") -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text).alias("text_key"), sign(F.col(text)).alias("_s")).select("doc_id", "text_key", "_s.*")
 
 
-def _verified(idf, threshold: float):
-    """Exact weighted Jaccard similarity of each member of a group with the group's leader."""
+def _similar(a, b, threshold: float) -> bool:
+    """Is the weighted Jaccard similarity of (shingles, weights, total) a and b the threshold or more?"""
+    if len(a[0]) > len(b[0]):
+        a, b = b, a
+    if min(a[2], b[2]) < threshold * max(a[2], b[2]):
+        return False
+    place = np.minimum(np.searchsorted(b[0], a[0]), len(b[0]) - 1)
+    hit = b[0][place] == a[0]
+    least = np.minimum(a[1][hit], b[1][place[hit]]).sum()
+    return bool(least >= threshold * (a[2] + b[2] - least))
+
+
+def _described(texts: pa.Array, idf: np.ndarray) -> list:
+    """(shingles, weights, total weight) of each text."""
+    out = []
+    for c in tk.chunks(texts):
+        doc, shingle, count, _, _ = shingles(c)
+        weight = weights(shingle, count, idf)
+        edge = np.searchsorted(doc, np.arange(c.n + 1))
+        out += [(shingle[i:j], weight[i:j], float(weight[i:j].sum())) for i, j in zip(edge[:-1], edge[1:], strict=True)]
+    return out
+
+
+def _once(table: pa.Table) -> pa.Table:
+    """One row for each class: repeated rows of ``documents`` bring a text more than once."""
+    _, first = np.unique(np.array(table.column("fp").to_pylist(), "S16"), return_index=True)
+    return table.take(pa.array(np.sort(first)))
+
+
+def _edges(pairs: list) -> pa.Table:
+    a, b = zip(*pairs, strict=True) if pairs else ((), ())
+    return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+
+def _with_leader(idf, threshold: float):
+    """Links of a leader with the members of its group."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = _once(table)
         leads = np.asarray(table.column("leads"))
         names = table.column("fp").to_pylist()
+        sets = _described(table.column("text").combine_chunks(), idf.value)
         at = int(np.flatnonzero(leads)[0])
-        _, once = np.unique(np.array(names, "S16"), return_index=True)  # repeated rows come more than once
-        order = np.concatenate(([at], [k for k in sorted(once.tolist()) if names[k] != names[at]])).astype(np.int64)
-        texts = table.column("text").combine_chunks().take(pa.array(order))
-        own = None
-        good = []
-        for c in tk.chunks(texts):
-            doc, shingle, count, _, _ = shingles(c)
-            weight = weights(shingle, count, idf.value)
-            edge = np.searchsorted(doc, np.arange(c.n + 1))
-            for k in range(c.n):
-                s, x = shingle[edge[k] : edge[k + 1]], weight[edge[k] : edge[k + 1]]
-                if own is None:
-                    own = (s, x, x.sum())
-                    continue
-                place = np.minimum(np.searchsorted(own[0], s), len(own[0]) - 1)
-                hit = own[0][place] == s
-                least, total = np.minimum(x[hit], own[1][place[hit]]).sum(), x.sum() + own[2]
-                if least >= threshold * (total - least):
-                    good.append(names[order[c.first + k]])
-        return pa.table({"a": pa.array([names[at]] * len(good), pa.binary()), "b": pa.array(good, pa.binary())})
+        return _edges([(names[at], names[k]) for k in range(len(names)) if k != at and _similar(sets[at], sets[k], threshold)])
 
     return run
 
 
+def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """``wanted`` (with _id and _key of a row) with the row's text. A Bloom filter of bounded size keeps other
+    texts out of the shuffle; past its size it lets more of them in, and the join still drops them."""
+    key = F.xxhash64("_id", "_key")
+    spots = F.explode(F.array(*(F.pmod(F.xxhash64(key, F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in range(BLOOM_PROBES))))
+    words = wanted.select(spots.alias("spot")).groupBy(F.shiftright("spot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 31 as int))")).alias("bits")).toArrow()
+    bloom = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
+    bloom[np.asarray(words["word"])] = np.asarray(words["bits"]).astype(np.uint32)
+    held = docs.sparkSession.sparkContext.broadcast(bloom)
+
+    @F.arrow_udf("boolean")
+    def maybe(*spots: pa.Array) -> pa.Array:
+        hit = np.ones(len(spots[0]), bool)
+        for x in spots:
+            x = np.asarray(x)
+            hit &= (held.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1
+        return pa.array(hit)
+
+    own = F.xxhash64("doc_id", "text_key")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    rows = rows.where(maybe(*(F.pmod(F.xxhash64(own, F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in range(BLOOM_PROBES))))
+    return rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).drop("doc_id", "text_key", "_id", "_key")
+
+
 def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, idf, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) of class names whose texts are similar enough. A leader's members are dealt to groups of
     about PER_LEADER; texts travel once for each group that needs them."""
@@ -219,48 +261,92 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, idf, threshold
     leaders = groups.select(F.col("a").alias("fp"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), F.lit(True).alias("leads"))
     where = classes.select("fp", F.col("lead.doc_id").alias("_id"), F.col("lead.text_key").alias("_key"))
     wanted = cut(members.unionByName(leaders).join(where, "fp"))
-    few = wanted.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    texts = docs.select("doc_id", "text").join(
-        F.broadcast(wanted) if few else wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    )
-    return texts.select("leader", "part", "fp", "leads", "text").groupBy("leader", "part").applyInArrow(_verified(idf, threshold), "a binary, b binary")
+    return _texts(wanted, docs).groupBy("leader", "part").applyInArrow(_with_leader(idf, threshold), "a binary, b binary")
+
+
+def _partners(x: np.ndarray, side: np.ndarray, root: np.ndarray, across: bool, band: int, least: int):
+    """For each member i of a tile's first side: (i, partners): in another component, agreeing in ``least``
+    samples or more, and on this band before any other; those that agree most first."""
+    for i in np.flatnonzero(side == 0):
+        j = np.flatnonzero(side == 1) if across else np.arange(i + 1, len(x))
+        j = j[root[j] != root[i]]
+        same = x[j] == x[i]
+        agree = same.sum(axis=1)
+        keep = (agree >= least) & (same.reshape(len(j), BANDS, ROWS).all(axis=2).argmax(axis=1) == band)
+        yield i, j[keep][np.argsort(-agree[keep], kind="stable")]
 
 
-def _near_tile(least: int):
-    """Pairs of a tile from different components whose signatures agree in ``least`` samples or more."""
+def _tile_columns(key: tuple[pa.Scalar, ...], table: pa.Table):
+    roots = table.column("root").to_pylist()
+    number = {r: k for k, r in enumerate(sorted(set(roots)))}
+    x = np.frombuffer(b"".join(table.column("samples").to_pylist()), "<u4").reshape(table.num_rows, -1)
+    return x, np.asarray(table.column("side")), np.array([number[r] for r in roots]), key[2].as_py() != key[3].as_py(), key[1].as_py()
+
+
+def _flag_tile(least: int):
+    """The members of a tile that have a partner."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        side = np.asarray(table.column("side"))
-        names, roots = table.column("fp").to_pylist(), table.column("root").to_pylist()
-        number = {r: k for k, r in enumerate(sorted(set(roots)))}
-        root = np.array([number[r] for r in roots])
-        x = np.frombuffer(b"".join(table.column("samples").to_pylist()), "<u4").reshape(len(names), -1)
-        across = key[1].as_py() != key[2].as_py()
-        left = np.flatnonzero(side == 0)
-        a, b = [], []
-        for i in left:
-            j = np.flatnonzero(side == 1) if across else np.arange(i + 1, len(names))
-            j = j[root[j] != root[i]]
-            for k in j[(x[j] == x[i]).sum(axis=1) >= least]:
-                p, q = sorted((names[i], names[k]))
-                a.append(p)
-                b.append(q)
-        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+        flag = np.zeros(table.num_rows, bool)
+        for i, j in _partners(*_tile_columns(key, table), least):
+            flag[j] = True
+            flag[i] |= len(j) > 0
+        names = table.column("fp").take(pa.array(np.flatnonzero(flag)))
+        return pa.table({"band": pa.array([key[0].as_py()] * len(names), pa.int64()), "fp": names.cast(pa.binary())})
 
     return run
 
 
-def _left_over(classes: DataFrame, buckets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Candidate pairs (a, b) in buckets that still hold several components."""
-    samples = BANDS * ROWS
-    least = int(samples * threshold - 5 * sqrt(samples * threshold * (1 - threshold)))
-    rows = buckets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    open_ = rows.groupBy("band").agg(F.ceil(F.count("*") / TILE).alias("groups"), F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
-    rows = rows.join(open_.select("band", "groups"), "band").withColumn("own", F.pmod(F.xxhash64("fp", "band"), F.col("groups")))
+def _text_tile(idf, threshold: float, least: int):
+    """Edges of a spanning forest of the links between components in a tile."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        # a member is on one side of a tile only, so one row for each class is one for each member
+        table = _once(table)
+        columns = _tile_columns(key, table)
+        names = table.column("fp").to_pylist()
+        sets = _described(table.column("text").combine_chunks(), idf.value)
+        top = np.arange(int(columns[2].max()) + 1)  # the members' components, joined as links are found
+
+        def find(k: int) -> int:
+            while top[k] != k:
+                top[k] = top[top[k]]
+                k = top[k]
+            return k
+
+        edges = []
+        for i, partners in _partners(*columns, least):
+            for j in partners.tolist():
+                p, q = find(columns[2][i]), find(columns[2][j])
+                if p != q and _similar(sets[i], sets[j], threshold):
+                    top[p] = q
+                    edges.append((names[i], names[j]))
+        return _edges(edges)
+
+    return run
+
+
+def _tiled(rows: DataFrame, size: int) -> DataFrame:
+    """Members of buckets dealt to pairs of groups of about ``size``: band, b, i, j, side and the other columns."""
+    groups = rows.groupBy("band").agg(F.ceil(F.count("*") / size).alias("groups"))
+    rows = rows.join(groups, "band").withColumn("own", F.pmod(F.xxhash64("fp", "band"), F.col("groups")))
     others = F.transform(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1), lambda g: F.struct(
         F.least(g, F.col("own")).alias("i"), F.greatest(g, F.col("own")).alias("j"), F.when(g < F.col("own"), 1).otherwise(0).alias("side")))
-    tiles = rows.withColumn("tile", F.explode(others)).join(classes.select("fp", "samples"), "fp").select("band", "tile.i", "tile.j", "tile.side", "fp", "root", "samples")
-    return tiles.groupBy("band", "i", "j").applyInArrow(_near_tile(least), "a binary, b binary").distinct()
+    return rows.withColumn("tile", F.explode(others)).drop("own", "groups").select("*", "tile.*").drop("tile")
+
+
+def _left_over(classes: DataFrame, buckets: DataFrame, roots: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+    """Links (a, b) in buckets that still hold several components."""
+    samples = BANDS * ROWS
+    least = int(samples * threshold - 4 * sqrt(samples * threshold * (1 - threshold)))
+    rows = buckets.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    mixed = rows.groupBy("band").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("band")
+    rows = cut(rows.join(mixed, "band").join(classes.select("fp", "samples"), "fp"))
+    tile = ["band", "b", "i", "j"]
+    flagged = _tiled(rows, TILE).groupBy(tile).applyInArrow(_flag_tile(least), "band long, fp binary").distinct()
+    where = classes.select("fp", F.col("lead.doc_id").alias("_id"), F.col("lead.text_key").alias("_key"))
+    wanted = cut(_tiled(rows.join(flagged, ["band", "fp"]), TEXT_TILE).join(where, "fp"))
+    return _texts(wanted, docs).groupBy(tile).applyInArrow(_text_tile(idf, threshold, least), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -272,16 +358,14 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = cut(rows.where("fp is not null").groupBy("fp").agg(F.min(lead).alias("lead"), F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.count("*").alias("n")))
 
-    members = classes.select("fp", F.explode("bands").alias("band"))
+    members = classes.select("fp", F.posexplode("bands").alias("b", "band"))
     shared = members.groupBy("band").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
     buckets = cut(members.join(shared, "band"))
     pairs = buckets.where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
     links = cut(verify(pairs, classes, docs, idf, threshold))
     roots = cut(components(links))
-    more = cut(_left_over(classes, buckets.select("band", "fp"), roots, threshold))
-    if more.limit(1).count():
-        links = links.unionByName(verify(more, classes, docs, idf, threshold))
-        roots = cut(components(links))
+    more = cut(_left_over(classes, buckets.select("band", "b", "fp"), roots, docs, idf, threshold))
+    roots = cut(components(links.unionByName(more)))
 
     named = classes.select("fp", "lead", "n").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     best = named.groupBy("root").agg(F.min("lead").alias("best"), F.sum("n").alias("cluster_size"))
