@@ -35,7 +35,7 @@ from driftlog.llm.common import ready
 MODEL = "piece_bpe_32k.model"
 SPACE = 0x2581
 #: Distinct segments whose ids a worker keeps between batches, and pairs whose stability it keeps.
-CACHE_SEGMENTS, CACHE_PAIRS = 1_000_000, 1_000_000
+CACHE_SEGMENTS, CACHE_PAIRS = 600_000, 600_000
 _BASE = tk.U64(0x9E3779B97F4A7C15)
 _NEVER, _ALWAYS = -np.inf, np.inf
 
@@ -235,7 +235,7 @@ class Encoder:
                 places.append(one)
                 flats.append(known[known >= 0])
                 continue
-            most = max(1, 4_000_000 // int(n))  # rows of one search: bounded memory
+            most = max(1, 1_000_000 // int(n))  # rows of one search: bounded memory
             for lo in range(0, len(rows), most):
                 some = rows[lo : lo + most]
                 count, flat = self.viterbi(codes[start[some][:, None] + np.arange(n)])

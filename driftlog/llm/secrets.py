@@ -128,7 +128,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
 
     ``labelled``: findings with FEATURES and ``label`` from reviews; by default derived by form.
     """
-    found = cut(described(findings(docs, path)))  # a few rows a document at most, with 64 characters of context
+    found = cut(findings(docs, path))  # texts are searched once; a few rows a document, with 64 characters of context
+    found = cut(described(found))
     model = forest(labelled_by_form(found) if labelled is None else labelled)
     out = scored(found, model)
     return out.select(
