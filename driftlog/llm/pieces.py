@@ -285,25 +285,35 @@ def encode_batch(texts: pa.Array, encoder: Encoder) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
 
+#: Ids that are turned into bytes at a time.
+DECODE_IDS = 400_000
+
+
+def raw_bytes(ids: np.ndarray, count: np.ndarray, v: Vocabulary):
+    """The bytes of each of consecutive id lists, the leading space left out; ids outside the vocabulary add none."""
+    ends = np.cumsum(count)
+    lo = 0
+    while lo < len(count):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + DECODE_IDS, "right")))
+        values = ids[done : ends[hi - 1]]
+        known = (values >= 0) & (values < v.size)
+        values = np.where(known, values, 0)
+        size = np.where(known, v.raw_size[values], 0)
+        data = tk.gather(v.raw, v.raw_begin[values], size).tobytes()
+        edge = np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], ends[lo:hi] - done))].tolist()
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            yield data[a + 1 : b] if data[a : a + 1] == b" " and b > a else data[a:b]
+        lo = hi
+
+
 def decode_batch(ids: pa.Array, v: Vocabulary) -> pa.Array:
-    """Texts of a batch of id lists; ids outside the vocabulary and null ids add nothing, damaged byte runs become U+FFFD."""
+    """Texts of a batch of id lists; null ids and ids outside the vocabulary add nothing, damaged byte runs become U+FFFD."""
     if isinstance(ids, pa.ChunkedArray):
         ids = ids.combine_chunks()
-    flat = pc.list_flatten(ids)
-    owner = np.asarray(pc.list_parent_indices(ids), dtype=np.int64)
-    values = np.asarray(pc.fill_null(flat, -1), dtype=np.int64)
-    ok = (values >= 0) & (values < v.size)
-    values, owner = values[ok], owner[ok]
-    size = v.raw_size[values]
-    data = tk.gather(v.raw, v.raw_begin[values], size).tobytes()
-    total = np.bincount(owner, size, minlength=len(ids)).astype(np.int64)
-    ends = np.cumsum(total).tolist()
-    out, lo = [], 0
-    for hi in ends:
-        piece = data[lo:hi]
-        out.append((piece[1:] if piece[:1] == b" " else piece).decode("utf-8", "replace"))
-        lo = hi
-    return pa.array(out, pa.string())
+    count = np.asarray(pc.fill_null(pc.list_value_length(ids), 0), dtype=np.int64)
+    values = np.asarray(pc.fill_null(pc.list_flatten(ids), -1), dtype=np.int32)
+    return pa.array([x.decode("utf-8", "replace") for x in raw_bytes(values, count, v)], pa.string())
 
 
 _SHARED: dict[str, Vocabulary] = {}
@@ -351,11 +361,19 @@ def encode_checked(docs: DataFrame, text: str = "text", model: str = MODEL) -> D
     def checked(x: pa.Array) -> pa.Array:
         if not encoders:
             encoders.append(Encoder(held.value))
-        ids = encode_batch(x, encoders[0])
-        offsets, flat = np.asarray(ids.offsets), np.asarray(ids.values).astype("<u4").tobytes()
-        crc = [zlib.crc32(flat[4 * a : 4 * b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-        same = pc.equal(decode_batch(ids, held.value), pc.fill_null(x.cast(pa.string()), ""))
-        return pa.StructArray.from_arrays([ids, pa.array(np.diff(offsets).astype(np.int64)), pa.array(crc, pa.int64()), same], ["ids", "n_pieces", "ids_crc32", "lossless"])
+        flats, counts, crc, same = [], [], [], []
+        for c in tk.chunks(x):
+            flat, count = encoders[0].encode(c)
+            raw, edge = flat.astype("<u4").tobytes(), np.concatenate(([0], 4 * np.cumsum(count))).tolist()
+            crc += [zlib.crc32(raw[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            texts, place = c.data.tobytes(), c.offsets.tolist()
+            same += [r == texts[a:b] for r, a, b in zip(raw_bytes(flat, count, held.value), place[:-1], place[1:], strict=True)]
+            flats.append(flat)
+            counts.append(count)
+        n = np.concatenate(counts) if counts else np.empty(0, np.int64)
+        offsets = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(flats).astype(np.int32) if flats else np.empty(0, np.int32)))
+        return pa.StructArray.from_arrays([ids, pa.array(n), pa.array(crc, pa.int64()), pa.array(same, pa.bool_())], ["ids", "n_pieces", "ids_crc32", "lossless"])
 
     new = ("ids", "n_pieces", "ids_crc32", "lossless")
     keep = [c for c in docs.columns if c not in new]
