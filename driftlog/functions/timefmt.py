@@ -27,6 +27,11 @@ def parse_rfc3339(c: Column) -> Column:
     return F.when(F.unix_micros(ts) != ZERO_TIME_MICROS, ts)
 
 
+def unless_zero(ts: Column) -> Column:
+    """The time, NULL for the zero instant, which stands for a missing one."""
+    return F.when(F.unix_micros(ts) != ZERO_TIME_MICROS, ts)
+
+
 def format_rfc3339(ts: Column) -> Column:
     """Second-precision UTC text, e.g. 2024-01-01T00:00:07Z."""
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")

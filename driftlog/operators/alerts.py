@@ -41,7 +41,7 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("threshold").cast("long").alias("rule_threshold"),
         F.col("window_seconds").cast("long").alias("rule_window_s"),
         F.col("webhook").alias("rule_webhook"), F.col("rule_pos").cast("long").alias("rule_pos"),
-    ).cache()
+    )
     counts = rules.agg(F.count(F.lit(1)).alias("n"),
                        F.sum((F.col("rule_tenant") == "*").cast("long")).alias("w")).first()
     n, n_wild = counts["n"], counts["w"] or 0  # size check before any broadcast

@@ -71,9 +71,11 @@ def _decode_reason(p: str) -> str:
 
 
 def cap_body(v: Column, max_bytes: int = MAX_BODY_BYTES) -> Column:
-    """Cut a body at ``max_bytes`` UTF-8 bytes, as a size-limited reader would."""
+    """Cut a body at ``max_bytes`` UTF-8 bytes, as a size-limited reader would; a character cut in two
+    becomes U+FFFD."""
     b = F.encode(v, "UTF-8")
-    return F.when(F.octet_length(v) > max_bytes, F.decode(F.substring(b, 1, max_bytes), "UTF-8")).otherwise(v)
+    cut = F.make_valid_utf8(F.substring(b, 1, max_bytes).cast("string"))
+    return F.when(F.octet_length(v) > max_bytes, cut).otherwise(v)
 
 
 def _entry_struct(e: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,9 +62,11 @@ def _dedup_repeated_only(entries, ttl_seconds, keys, arrival, order, num_partiti
     n = repeated.count()
     if n > MAX_BROADCAST_REPEATED_IDS:
         return None  # too many to broadcast: fold everything
-    tagged = entries.join(F.broadcast(repeated.withColumn("__rep", F.lit(True))), keys, "left")
-    tagged = tagged.select(*entries.columns, F.coalesce(F.col("__rep"), F.lit(False)) & foldable).toDF(
-        *entries.columns, "__rep")
+    # null-safe: a key column may be null, and nulls are one key in the fold
+    named = repeated.select(*[F.col(k).alias(f"__rep_{i}") for i, k in enumerate(keys)], F.lit(True).alias("__rep"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__rep_{i}")) for i, k in enumerate(keys)])
+    tagged = entries.join(F.broadcast(named), same, "left")
+    tagged = tagged.withColumn("__rep", F.coalesce(F.col("__rep"), F.lit(False)) & foldable).select(*entries.columns, "__rep")
     single = tagged.filter(~F.col("__rep")).drop("__rep")
     multi = tagged.filter(F.col("__rep")).drop("__rep")
     marked = anchored_windows(multi, keys, arrival, ttl_seconds, boundary="at_or_after", order=order,

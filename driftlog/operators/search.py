@@ -94,9 +94,11 @@ def _floor_s(ts: datetime) -> datetime:
 
 
 def order_columns() -> list[Column]:
-    """Event time desc, ingest time desc, then id and content: a total order."""
+    """Event time desc, ingest time desc, then id and all other columns: rows that still tie are equal."""
     return [F.col("event_timestamp").desc(), F.col("ingest_timestamp").desc(), F.col("log_id").asc(),
-            F.col("service").asc(), F.col("level").asc(), F.col("message").asc(), F.col("host").asc()]
+            F.col("service").asc(), F.col("level").asc(), F.col("message").asc(), F.col("host").asc(),
+            F.col("container").asc(), F.col("environment").asc(), F.col("trace_id").asc(), F.col("request_id").asc(),
+            F.to_json("fields").asc()]
 
 
 def request_predicate(req: SearchRequest, has_date: bool = True, has_terms: bool = False) -> Column:

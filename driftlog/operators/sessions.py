@@ -17,6 +17,7 @@ is bounded by its time span / gap, not by its rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +36,13 @@ def _bucket_sessions(events: DataFrame, keys: list[str], ts: str, gap_us: int) -
     return starts.withColumn("__sid", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """Inner equi-join in which a null key equals a null key; the right side's key columns go."""
+    renamed = right.withColumnsRenamed({c: f"__r_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in on])
+    return left.join(renamed, same).drop(*[f"__r_{c}" for c in on])
+
+
 def session_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds: int) -> DataFrame:
     """One row per (key, session): session_start, session_end (last event + gap), count."""
     keys = list(keys)
@@ -59,8 +67,8 @@ def running_counter(events: DataFrame, keys: Sequence[str], ts: str, gap_seconds
     gap_us = int(gap_seconds) * 1_000_000
     sid = _bucket_sessions(events, keys, ts, gap_us)
     starts = sid.groupBy(*keys, "__sid").agg(F.min("__first").alias("__s"))
-    bucket_to_session = sid.join(starts, [*keys, "__sid"]).select(*keys, "__b", "__s")
+    bucket_to_session = _join_null_safe(sid, starts, [*keys, "__sid"]).select(*keys, "__b", "__s")
     x = events.withColumn("__us", F.unix_micros(F.col(ts).cast("timestamp"))).filter(F.col("__us").isNotNull())
-    x = x.withColumn("__b", F.floor(F.col("__us") / F.lit(gap_us))).join(bucket_to_session, [*keys, "__b"])
+    x = _join_null_safe(x.withColumn("__b", F.floor(F.col("__us") / F.lit(gap_us))), bucket_to_session, [*keys, "__b"])
     n = number_within(x, [*keys, "__s"], ["__us", *order], out="counter")
     return n.withColumn("session_start", F.timestamp_micros(F.col("__s"))).drop("__us", "__b", "__s")

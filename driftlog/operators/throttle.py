@@ -84,7 +84,17 @@ def throttle(requests: DataFrame, rps: float, tenant_col: str = "tenant_id", ts_
     """
     from driftlog.session import fold_mode  # noqa: PLC0415
 
-    if fold_mode(requests, mode) == "range":
+    resolved = fold_mode(requests, mode)
+    # a request without a time cannot be measured: it is admitted, takes no token and has no tokens_left
+    timed = F.col(ts_col).cast("timestamp").isNotNull()
+    untimed = requests.filter(~timed).withColumns({"admitted": F.lit(True), "tokens_left": F.lit(None).cast("double")})
+    folded = _throttle_timed(requests.filter(timed), rps, tenant_col, ts_col, order, num_partitions, resolved)
+    return folded.unionByName(untimed)
+
+
+def _throttle_timed(requests: DataFrame, rps: float, tenant_col: str, ts_col: str, order: Sequence[str | Column],
+                    num_partitions: int | None, mode: str) -> DataFrame:
+    if mode == "range":
         return throttle_range(requests, rps, tenant_col, ts_col, order, num_partitions)
     ship_package(requests.sparkSession)
     base = requests.columns

@@ -11,6 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftlog.functions.timefmt import unless_zero
 from driftlog.operators.decode import encode_entry
 from driftlog.schemas import ENTRY_COLUMNS, LOG_ENTRY
 
@@ -40,7 +41,10 @@ def archive(entries: DataFrame, path: str, write_time: datetime | Column, mode:
 
 
 def read_archive(spark: SparkSession, path: str, tenant: str | None = None) -> DataFrame:
-    """Entries back from the archive (tenant filter prunes directories), with the write hour."""
+    """Entries back from the archive (tenant filter prunes directories), with the write hour.
+
+    A missing time is written as the zero time (year 1) and comes back missing.
+    """
     # explicit schema: partition values stay strings (a tenant "007" is not the number 7)
     schema = "value string, " + ", ".join(f"{c} string" for c in ARCHIVE_PARTITIONS)
     raw = spark.read.schema(schema).option("basePath", path).text(path)
@@ -50,7 +54,7 @@ def read_archive(spark: SparkSession, path: str, tenant: str | None = None) -> D
                         "tenant", "yyyy", "mm", "dd", "hh")
     out = parsed.select(
         *[F.coalesce(F.col(f"e.{c}"), F.lit("")).alias(c) if c not in ("event_timestamp", "ingest_timestamp", "fields")
-          else F.col(f"e.{c}").alias(c) for c in ENTRY_COLUMNS],
+          else (F.col(f"e.{c}") if c == "fields" else unless_zero(F.col(f"e.{c}"))).alias(c) for c in ENTRY_COLUMNS],
         F.make_timestamp(F.col("yyyy").cast("int"), F.col("mm").cast("int"), F.col("dd").cast("int"),
                          F.col("hh").cast("int"), F.lit(0), F.lit(0)).alias("archived_hour"),
     )

@@ -26,7 +26,7 @@ from driftlog.sources.hot import upsert_hot
 from driftlog.streaming.stateful import dedup_stream
 
 
-def tagged_stream(raw: DataFrame, ttl_seconds: float = 300, watermark: str = "1 hour") -> DataFrame:
+def tagged_stream(raw: DataFrame, ttl_seconds: float = 300, watermark: str | None = None) -> DataFrame:
     """One stream of rows tagged kind = entry | rejected | bad, from one read and one parse.
 
     Payloads are built before normalisation (a rejected entry is re-encoded as it
@@ -71,9 +71,13 @@ def write_outputs(batch: DataFrame, batch_id: int, out_dir: str) -> None:
 
 
 def stream_pipeline(raw: DataFrame, out_dir: str, checkpoint: str, ttl_seconds: float = 300,
-                    watermark: str = "1 hour", available_now: bool = False,
+                    watermark: str | None = None, available_now: bool = False,
                     processing_time: str | None = None) -> StreamingQuery:
-    """Start the streaming pipeline; returns the running query."""
+    """Start the streaming pipeline; returns the running query.
+
+    Without a ``watermark`` every message ends in ``normalized``, in ``dead_letter`` or is a
+    repeat of an entry seen within the TTL, however late it comes.
+    """
     w = tagged_stream(raw, ttl_seconds, watermark).writeStream.option("checkpointLocation", checkpoint) \
         .foreachBatch(lambda df, bid: write_outputs(df, bid, out_dir))
     if available_now:

@@ -1,12 +1,15 @@
 """Streaming dedup and alert windows: keyed state with ``applyInPandasWithState``.
 
 The per-key step is the same anchored fold as the batch operator
-(``fold_anchored``); the state is the open window (start, end, count). Time is
-the arrival column (event time), so a replay of a stream gives the same
-answer as the batch operator. State for a key is dropped once the watermark
-passes its window end (event-time timeout). Each call sees one key's rows of
-one micro-batch, which the trigger bounds (maxFilesPerTrigger /
-maxOffsetsPerTrigger).
+(``fold_anchored``); the state is the open window (start, end, count), and
+windows are measured on the arrival column. Each call sees one key's rows of one
+micro-batch, which the trigger bounds (maxFilesPerTrigger / maxOffsetsPerTrigger).
+
+By default no row is ever late: the watermark is on the time of the micro-batch that
+reads a row, a row that comes after newer ones is folded into its key's open window,
+and a key's state is dropped ``retention_seconds`` of wall clock after its last row (at
+least the window's length). With ``watermark`` state follows event time instead, and
+Spark drops rows behind the watermark; only for sources that promise no later rows.
 """
 
 from __future__ import annotations
@@ -29,9 +32,22 @@ _T = "__st_t"
 _W = "__st_w"
 _P = "__st_pass"
 _K = "__st_key"
+_READ = "__st_read"
 
 
-def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | None = None):
+#: Wall-clock time that a key's state outlives its last row by, at least.
+RETENTION_SECONDS = 3600
+
+
+def _clocked(x: DataFrame, arrival: str, watermark: str | None) -> DataFrame:
+    """The stream with its state clock: event time, or the time of the micro-batch (which no row is behind)."""
+    if watermark is not None:
+        return x.withColumn(_READ, F.col(arrival)).withWatermark(_READ, watermark)
+    return x.withColumn(_READ, F.current_timestamp()).withWatermark(_READ, "0 seconds")
+
+
+def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | None = None,
+             watermark: str | None = None, retention_seconds: float = RETENTION_SECONDS):
     order = list(order)
 
     def fn(key, pdfs, state):
@@ -52,9 +68,13 @@ def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | Non
         ks[0] = carry is None
         anchor, ordinal, new = fold_anchored(t, w, ks, after, carry)
         state.update(new)
-        # drop the state once event time passes the window end
-        end_ms = new[1] // 1000 + 1
-        state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
+        if watermark is None:
+            length_ms = int(w.max()) // 1000 + 1
+            now_ms = max(state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs() + 1)
+            state.setTimeoutTimestamp(now_ms + max(length_ms, int(retention_seconds * 1000)))
+        else:  # drop the state once event time passes the window end
+            end_ms = new[1] // 1000 + 1
+            state.setTimeoutTimestamp(max(end_ms, state.getCurrentWatermarkMs() + 1))
         out = emit(pdf, anchor, ordinal)
         if len(out):
             yield out
@@ -63,7 +83,8 @@ def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | Non
 
 def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[str] = ("log_id",),
                  arrival: str = "ingest_timestamp", order: Sequence[str] = ("log_id",),
-                 watermark: str = "1 hour", passthrough: Column | None = None) -> DataFrame:
+                 watermark: str | None = None, passthrough: Column | None = None,
+                 retention_seconds: float = RETENTION_SECONDS) -> DataFrame:
     """Streaming ``dedup_ttl``: first sight per id wins for ``ttl_seconds`` of arrival time.
 
     Every row goes through one stateful operator (so the source is read once):
@@ -81,7 +102,7 @@ def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[st
     content = [c for c in x.columns]
     key = F.when(pas, F.concat(F.lit("p"), F.sha2(F.to_json(F.struct(*content)), 256))).otherwise(
         F.concat(F.lit("k"), F.to_json(F.struct(*[F.col(k) for k in keys]))))
-    keyed = (x.withColumn(_P, pas).withColumn(_K, key).withWatermark(arrival, watermark)
+    keyed = (_clocked(x.withColumn(_P, pas).withColumn(_K, key), arrival, watermark)
              .withColumn(_T, F.coalesce(F.unix_micros(F.col(arrival)), F.lit(0)))
              .withColumn(_W, F.lit(int(ttl_seconds * MICROS))))
     schema = keyed.schema
@@ -90,25 +111,27 @@ def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[st
         return pdf[ordinal == 1]
 
     kept = keyed.groupBy(_K).applyInPandasWithState(
-        _handler(order, False, emit, passthrough_col=_P), schema, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
-    out = kept.drop(_T, _W, _P, _K)
+        _handler(order, False, emit, passthrough_col=_P, watermark=watermark, retention_seconds=retention_seconds),
+        schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    out = kept.drop(_T, _W, _P, _K, _READ)
     if has_fields:
         out = out.withColumn("fields", F.from_json("fields", T.MapType(T.StringType(), T.StringType())))
     return out
 
 
 def alerts_stream(entries: DataFrame, rules: DataFrame, arrival: str = "ingest_timestamp",
-                  order: Sequence[str] = ("log_id",), watermark: str = "1 hour") -> DataFrame:
+                  order: Sequence[str] = ("log_id",), watermark: str | None = None,
+                  retention_seconds: float = RETENTION_SECONDS) -> DataFrame:
     """Streaming ``evaluate_rules``: rules join the stream (broadcast, static side), the window
     state per (rule, tenant) lives in the state store, and every match with count >= threshold
     is emitted."""
     ship_package(entries.sparkSession)
     x = entries.drop("fields") if "fields" in entries.columns else entries
-    m = match_rules(x.filter(F.col(arrival).isNotNull()).withWatermark(arrival, watermark), rules)
+    x = x.filter(F.col(arrival).isNotNull())
+    m = match_rules(_clocked(x, arrival, watermark), rules)
     m = m.withColumn(_T, F.unix_micros(F.col(arrival))).withColumn(_W, F.col("rule_window_s") * MICROS)
     cols = ["rule", "tenant_id", "service", "message", "log_id", arrival, "rule_threshold", "rule_webhook",
-            "rule_pos", _T, _W] + [o for o in order if o not in ("log_id",)]
+            "rule_pos", _T, _W, _READ] + [o for o in order if o not in ("log_id",)]
     m = m.select(*dict.fromkeys(cols))
     out_schema = T.StructType([
         T.StructField("rule", T.StringType()), T.StructField("tenant_id", T.StringType()),
@@ -129,5 +152,5 @@ def alerts_stream(entries: DataFrame, rules: DataFrame, arrival: str = "ingest_t
         })
 
     return m.groupBy("rule", "tenant_id").applyInPandasWithState(
-        _handler(list(order) + ["rule_pos"], True, emit), out_schema, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+        _handler(list(order) + ["rule_pos"], True, emit, watermark=watermark, retention_seconds=retention_seconds),
+        out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
