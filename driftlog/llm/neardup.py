@@ -234,7 +234,7 @@ def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     texts out of the shuffle; past its size it lets more of them in, and the join still drops them."""
     key = F.xxhash64("_id", "_key")
     spots = F.explode(F.array(*(F.pmod(F.xxhash64(key, F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in range(BLOOM_PROBES))))
-    words = wanted.select(spots.alias("spot")).groupBy(F.shiftright("spot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 31 as int))")).alias("bits")).toArrow()
+    words = wanted.select("_id", "_key").distinct().select(spots.alias("spot")).groupBy(F.shiftright("spot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 31 as int))")).alias("bits")).toArrow()
     bloom = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
     bloom[np.asarray(words["word"])] = np.asarray(words["bits"]).astype(np.uint32)
     held = docs.sparkSession.sparkContext.broadcast(bloom)
