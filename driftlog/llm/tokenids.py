@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftlog.llm import textkit as tk
@@ -304,12 +304,13 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
     ``ids`` (array<long>), or with ``digest`` their ``ids_crc32`` instead."""
     ready(spark)
     shards, dictionaries = _load(spark, path)
-    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    # one row for each range partition and one for each shard: prefix sums in two steps
-    from pyspark.sql import Window
-
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_part_start"))
+    # prefix sums in two steps: over range partitions (one number each comes to the driver), then over a partition's shards
+    totals = sorted(shards.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect())
+    begin, at = [], 0
+    for part, n in totals:
+        begin.append((part, at))
+        at += n
+    parts = F.broadcast(spark.createDataFrame(begin, "part int, _part_start long"))
     within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = shards.select("part", "shard", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)).alias("_shard_start"))
     starts = starts.join(parts, "part").select("part", "shard", (F.col("_part_start") + F.col("_shard_start")).alias("_start"))
