@@ -133,6 +133,20 @@ def test_lm_scores(documents, awkward, monkeypatch, split):
             assert math.isclose(g["base_score"], w[5], rel_tol=1e-9) and abs(g["score"] - w[6]) < 0.35 * w[2] + 0.5
 
 
+@pytest.mark.parametrize("max_exact", [10, langmodel.MAX_EXACT])
+def test_lm_counts_do_not_fade_with_the_vocabulary(spark, monkeypatch, max_exact):
+    monkeypatch.setattr(langmodel, "ONE_BITS", langmodel.SEGMENT_BITS, raising=False)  # the bound there was
+    per, held = 25_000, next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2)
+    learn = [i for i in range(60) if zlib.crc32(str(i).encode()) % 7 != 2][:40]
+    texts = [(i, " ".join(f"w{i}x{k}" for k in range(per))) for i in learn] + [(held, " ".join(f"new{k}" for k in range(2_000)))]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r for r in langmodel.lm_scores(docs, max_exact=max_exact).collect()}[held]
+    n, v, lam = len(learn) * (per + 1), len(learn) * per + 1, langmodel.LAMBDA
+    unknown = math.log10((1 - lam) / (n + v + 1))
+    assert got["train_tokens"] == n and got["n_known"] == 1 and got["n_tokens"] == 2_001
+    assert abs(got["score"] - 2_000 * unknown) < 25  # 2,000 tokens without a count, of about -6.5 each
+
+
 def test_lm_on_empty(nothing):
     assert langmodel.lm_scores(nothing).count() == 0
 
