@@ -107,6 +107,32 @@ def test_url_verdicts(spark):
     assert urls.url_filter(pages.where("page_id = 99")).count() == 0
 
 
+def test_small_seeds_of_large_tables_keep_a_score(spark):
+    out = 31
+    edges = [("seed", f"h{k}", 1) for k in range(out)] + [("h0", f"g{k}", 1) for k in range(out)] + [("bad", f"b{k}", 1) for k in range(out)]
+    edges += [("x", "b0", 1), ("x", "h0", 1), ("x", "h1", 1), ("x", "h2", 1)]
+    edges = spark.createDataFrame(edges, "src string, dst string, n long")
+    seeds = spark.createDataFrame([("big", 0, 10**7), ("seed", 0, 1), ("big", 1, 10**9), ("b0", 1, 1)], "host string, kind int, n long")
+    got = {r["host"]: r for r in urls.spread(edges, seeds).collect()}
+    mass = urls.WIDE_MASS
+    assert math.isclose(got["h1"]["trust"], mass / (10**7 + 1) * 0.15 * 0.85 / out, rel_tol=1e-9)
+    assert math.isclose(got["g3"]["trust"], mass / (10**7 + 1) * 0.15 * (0.85 / out) ** 2, rel_tol=1e-9)
+    assert got["bad"]["distrust"] > 0 and got["x"]["distrust"] > got["x"]["trust"] == 0
+
+
+def test_wide_scores_give_the_narrow_verdicts(spark, monkeypatch):
+    given = spark.read.parquet(f"{SF}/pages.parquet")
+    narrow = urls.url_filter(given)
+    monkeypatch.setattr(urls, "NARROW", 0)
+    wide = urls.url_filter(given)
+    assert wide.schema == narrow.schema
+    wide = {r["page_id"]: r for r in wide.collect()}
+    for r in narrow.collect():
+        w = wide[r["page_id"]]
+        assert w["verdict"] == r["verdict"]
+        assert all(math.isclose(w[k] / urls.WIDE_REPORTED, r[k] / urls.MASS, abs_tol=1e-6) for k in ("trust", "distrust"))
+
+
 def lm_truth(docs):
     texts = [(r["doc_id"], [w.translate(FOLD) for w in words(r["text"])] + [None]) for r in docs]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
