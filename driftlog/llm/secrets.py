@@ -1,9 +1,10 @@
 """Secret scans: candidates by pattern, a random forest to sort out the false ones. DataFrame operations only.
 
 A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9_+/=.~-]`` with a digit in it.
-Each distinct candidate of a document is one finding, described by its length, its character
+Each place of a candidate in a document is one finding, described by its length, its character
 transitions and shares, how much of it dictionary words cover, its path (the document's source) and
-the words beside its first place. The dictionary is the ``DICTIONARY_WORDS`` most frequent runs of
+the words beside that place. Every place has its own score; a value is a secret at all its places in a
+document if it is one at any of them. The dictionary is the ``DICTIONARY_WORDS`` most frequent runs of
 letters in and beside all findings. A random forest trained on labelled findings gives each finding
 the probability of being a secret.
 
@@ -12,8 +13,7 @@ themselves for corpora without reviewed findings: a value assigned to a credenti
 the host of a mail address, a dotted host name, or a plain number is not; all others stay unlabelled
 and are left to the forest, which sees neither rule.
 
-Defined results: null and empty texts have no findings. A document that repeats a candidate has one
-finding, placed at the first. Rows with a null id and repeated rows have findings like any other
+Defined results: null and empty texts have no findings. Rows with a null id and repeated rows have findings like any other
 (repeated rows: the same ones). Without labelled findings of both kinds nothing is sorted out: every
 finding has score 1.0. Without findings there are no rows. Other columns are ignored by ``findings``
 and kept by ``redact``, which changes the text alone.
@@ -21,7 +21,7 @@ and kept by ``redact``, which changes the text alone.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlog.llm.common import cut
@@ -41,16 +41,31 @@ FEATURES = (
 )
 
 
+def places(pattern: str) -> Column:
+    """Every match of ``pattern`` in ``text``, in order, as array<struct(value, start)>; start is 0-based, in code points."""
+    # parts between the matches: one more than there are matches
+    both = F.arrays_zip(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("value"), F.split("text", pattern, -1).alias("part"))
+    none = F.array().cast("array<struct<value: string, start: bigint>>")
+
+    def add(done: Column, x: Column) -> Column:
+        start = done["end"] + F.length(x["part"])
+        place = F.array(F.struct(x["value"].alias("value"), start.alias("start")))
+        return F.struct(
+            (start + F.coalesce(F.length(x["value"]), F.lit(0))).alias("end"), F.when(x["value"].isNull(), done["found"]).otherwise(F.concat(done["found"], place)).alias("found")
+        )
+
+    return F.aggregate(both, F.struct(F.lit(0).cast("long").alias("end"), none.alias("found")), add, lambda done: done["found"])
+
+
 def findings(docs: DataFrame, path: str = "source") -> DataFrame:
-    """One row for each document and distinct candidate: doc_id, text_key, path, value, start (0-based, code points), before, after."""
-    values = F.array_distinct(F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)))
-    rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), "text", F.explode(values).alias("value"))
-    at = F.instr(F.col("text"), F.col("value"))
-    rows = rows.withColumn("at", at)
-    size = F.least(F.col("at") - 1, F.lit(CONTEXT))
+    """One row for each place of a candidate in a document: doc_id, text_key, path, value, start (0-based, code points), before, after."""
+    rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), "text", F.explode(places(CANDIDATE)).alias("_place"))
+    rows = rows.select("doc_id", "path", "text", "_place.value", "_place.start")
+    at = (F.col("start") + 1).cast("int")
+    size = F.least(at - 1, F.lit(CONTEXT))
     return rows.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), "path", "value", (F.col("at") - 1).cast("long").alias("start"),
-        F.substr("text", F.col("at") - size, size).alias("before"), F.substr("text", F.col("at") + F.length("value"), F.lit(CONTEXT)).alias("after"),
+        "doc_id", F.xxhash64("text").alias("text_key"), "path", "value", "start",
+        F.substr("text", at - size, size).alias("before"), F.substr("text", at + F.length("value"), F.lit(CONTEXT)).alias("after"),
     )
 
 
@@ -123,8 +138,8 @@ def scored(features: DataFrame, model) -> DataFrame:
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source") -> DataFrame:
-    """All findings of ``docs`` with ``score`` and ``secret`` (score of ``THRESHOLD`` or more): doc_id,
-    text_key, path, value, start, length, score, secret.
+    """All findings of ``docs`` with ``score`` and ``secret`` (the value scores ``THRESHOLD`` or more at this
+    or another of its places in the document): doc_id, text_key, path, value, start, length, score, secret.
 
     ``labelled``: findings with FEATURES and ``label`` from reviews; by default derived by form.
     """
@@ -132,8 +147,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, path: str = "source
     found = cut(described(found))
     model = forest(labelled_by_form(found) if labelled is None else labelled)
     out = scored(found, model)
+    highest = F.max("score").over(Window.partitionBy("doc_id", "text_key", "value"))
     return out.select(
-        "doc_id", "text_key", "path", "value", "start", F.col("length").cast("long").alias("length"), "score", (F.col("score") >= THRESHOLD).alias("secret")
+        "doc_id", "text_key", "path", "value", "start", F.col("length").cast("long").alias("length"), "score", (highest >= THRESHOLD).alias("secret")
     )
 
 

@@ -204,6 +204,20 @@ def test_secrets(spark, awkward, nothing, documents):
     assert secrets.redact(awkward).count() == 12
 
 
+def test_secrets_are_judged_at_every_place(spark, documents):
+    key = "00a1b2c3d4e5f60718293a4b5c6d7e8f90123456"
+    text = f'éé see http://host7.example.org/{key}/x {key}x and https://y.example.org {key} then token = "{key}" end {key}'
+    more = spark.createDataFrame([(-1, text, "en", "s1", len(text))], documents.schema)
+    rows = [r for r in secrets.scan(documents.unionByName(more)).collect() if r["doc_id"] == -1]
+    assert all(text[r["start"] : r["start"] + r["length"]] == r["value"] for r in rows)
+    mine = sorted((r for r in rows if r["value"] == key), key=lambda r: r["start"])
+    first = text.index(f" {key} then") + 1  # not the one inside a longer run
+    assert [r["start"] for r in mine] == [first, text.index(f'"{key}"') + 1, text.rindex(key)]
+    assert all(r["secret"] for r in mine) and mine[1]["score"] >= secrets.THRESHOLD
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(documents.unionByName(more)).collect()}[-1]
+    assert key not in clean
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
