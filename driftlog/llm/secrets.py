@@ -1,6 +1,10 @@
 """Secret scans: candidates by pattern, a random forest to sort out the false ones. DataFrame operations only.
 
-A candidate is a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9_+/=.~-]`` with a digit in it.
+Candidates have two forms. ``RUN``: a run of at least ``MIN_LENGTH`` characters ``[A-Za-z0-9_+/=.~-]``
+with a letter or digit in it; four marks or more in front (a ruler) do not belong to it. ``ASSIGNED``: a value of at least ``MIN_ASSIGNED`` characters behind a
+credential name and ``=``, ``:``, ``=>`` or ``:=``; quoted, all up to the closing quote on its line, else
+all up to a space or quote, without closing punctuation. A run at the place of an assigned value is no
+candidate of its own; one that begins before it is.
 Each place of a candidate in a document is one finding, described by its length, its character
 transitions and shares, how much of it dictionary words cover, its path (the document's source) and
 the words beside that place. Every place has its own score; a value is a secret at all its places in a
@@ -9,8 +13,9 @@ letters in and beside all findings. A random forest trained on labelled findings
 the probability of being a secret.
 
 Labelled findings come from the caller. ``labelled_by_form`` derives them from the findings
-themselves for corpora without reviewed findings: a value assigned to a credential name is a secret,
-the host of a mail address, a dotted host name, or a plain number is not; all others stay unlabelled
+themselves for corpora without reviewed findings: a value assigned to a credential name is a secret if it
+has a digit, a capital behind a small letter or a mark in it; the host of a mail address, a dotted host
+name, a plain number or a plain word that is assigned to nothing is not; all others stay unlabelled
 and are left to the forest, which sees neither rule.
 
 Defined results: null and empty texts have no findings. Rows with a null id and repeated rows have findings like any other
@@ -26,9 +31,15 @@ from pyspark.sql import functions as F
 
 from driftlog.llm.common import cut
 
-MIN_LENGTH = 16
-CANDIDATE = r"(?<![A-Za-z0-9_+/=.~-])(?=[A-Za-z_+/=.~-]{0,4096}[0-9])[A-Za-z0-9_+/=.~-]{%d,}" % MIN_LENGTH
-CREDENTIAL = r"""(?i)(key|token|secret|passw|pwd|credential|auth)[\w-]{0,32}["']?\s{0,3}(=|:|=>|:=)\s{0,3}["']?$"""
+MIN_LENGTH, MIN_ASSIGNED = 16, 6
+_NAME = r"""(?:key|token|secret|passw|pwd|credential|auth)[\w-]{0,32}["']?\s{0,3}(?:=>|:=|=|:)\s{0,3}"""
+CREDENTIAL = r"""(?i)%s["']?$""" % _NAME
+# the short lookbehinds before the long one keep most places from it
+_AFTER_NAME = r"""(?<=[=:>]\s{0,3}["']{0,1})(?<=(?i:%s["']{0,1}))""" % _NAME
+RUN = r"""(?:(?<![A-Za-z0-9_+/=.~-])(?![_+/=.~-]{4})(?=[_+/=.~-]*+[A-Za-z0-9])|(?<=[_+/=.~-]{4})(?=[A-Za-z0-9]))(?!%s)[A-Za-z0-9_+/=.~-]{%d,}+""" % (_AFTER_NAME, MIN_LENGTH)
+ASSIGNED = r"""(?<=["'\s=:>])%s(?:(?<=")[^"\r\n]{%d,}+(?=")|(?<=')[^'\r\n]{%d,}+(?=')|[^\s"'=:>][^\s"']{%d,}(?<![,;:.)\]}]))""" % (
+    _AFTER_NAME, MIN_ASSIGNED, MIN_ASSIGNED, MIN_ASSIGNED - 1,
+)
 CONTEXT = 64
 DICTIONARY_WORDS = 2_000
 #: Labelled findings of each kind that the forest is trained on, at most (by ascending hash).
@@ -59,7 +70,7 @@ def places(pattern: str) -> Column:
 
 def findings(docs: DataFrame, path: str = "source") -> DataFrame:
     """One row for each place of a candidate in a document: doc_id, text_key, path, value, start (0-based, code points), before, after."""
-    rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), "text", F.explode(places(CANDIDATE)).alias("_place"))
+    rows = docs.select("doc_id", F.col(path).cast("string").alias("path"), "text", F.explode(F.concat(places(RUN), places(ASSIGNED))).alias("_place"))
     rows = rows.select("doc_id", "path", "text", "_place.value", "_place.start")
     at = (F.col("start") + 1).cast("int")
     size = F.least(at - 1, F.lit(CONTEXT))
@@ -101,9 +112,11 @@ def described(found: DataFrame) -> DataFrame:
 
 
 def labelled_by_form(found: DataFrame) -> DataFrame:
-    """``found`` with ``label``: 1.0 for a value assigned to a credential name, 0.0 for hosts and numbers, else null."""
-    secret = F.rlike("before", F.lit(CREDENTIAL))
-    other = F.endswith("before", F.lit("@")) | F.rlike("value", F.lit(r"^[0-9.+-]+$|^[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,12}$"))
+    """``found`` with ``label``: 1.0 for a value assigned to a credential name, 0.0 for hosts, numbers and words, else null."""
+    assigned = F.rlike("before", F.lit(CREDENTIAL))
+    secret = assigned & F.rlike("value", F.lit(r"[0-9]|[a-z][A-Z]|[^\sA-Za-z0-9]"))
+    word = ~assigned & F.rlike("value", F.lit(r"^[A-Za-z]?[a-z]+$"))
+    other = word | F.endswith("before", F.lit("@")) | F.rlike("value", F.lit(r"^[0-9.+-]+$|^[a-z0-9-]+(\.[a-z0-9-]+)*\.[a-z]{2,12}$"))
     return found.withColumn("label", F.when(secret, 1.0).when(other, 0.0))
 
 

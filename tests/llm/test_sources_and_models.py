@@ -218,6 +218,24 @@ def test_secrets_are_judged_at_every_place(spark, documents):
     assert key not in clean
 
 
+def test_short_and_unusual_secrets_are_candidates(spark, documents):
+    letters = "QwErTyUiOpAsDfGhJkLzXcVbNmqWeRtYuIoPaSdF"
+    key = "0a1b2c3d4e5f60718293a4b5c6d7e8f901234567"
+    cases = {
+        -1: ('so password = "hunter2x" it is', "hunter2x"), -2: (f'and token = "{letters}" here', letters), -3: ("pwd: P@ss!w0rd?x, then", "P@ss!w0rd?x"),
+        -4: (f"see {'-' * 5_000}{key} end", key), -5: ("api_key='my 4 word pass phrase' ok", "my 4 word pass phrase"), -6: (f"bare {letters} end", letters),
+    }
+    prose = "wonderful instruments, and internationalization matters ---------------------- much"
+    rows = [(i, t, "en", "s1", len(t)) for i, (t, _) in cases.items()] + [(-9, prose, "en", "s1", len(prose))]
+    more = spark.createDataFrame(rows, documents.schema)
+    found = {(r["doc_id"], r["value"]) for r in secrets.findings(more).collect()}
+    assert {(i, v) for i, (_, v) in cases.items()} <= found
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(documents.unionByName(more)).collect()}
+    for i in (-1, -2, -3, -5):
+        assert clean[i] == cases[i][0].replace(cases[i][1], "[SECRET]")
+    assert clean[-9] == prose
+
+
 def test_pipeline(spark):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     docs = spark.read.parquet(f"{SF}/documents.parquet")
