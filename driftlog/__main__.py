@@ -56,9 +56,9 @@ def main(argv: list[str] | None = None) -> int:
     now = datetime.now(timezone.utc)
     if args.cmd == "pipeline":
         from driftlog.plans.pipeline import run
-        from driftlog.sources.files import read_batch_files
+        from driftlog.sources.files import read_spool
 
-        counts = run(read_batch_files(spark, args.raw), args.out, now, args.batch_id, args.ttl)
+        counts = run(read_spool(spark, args.raw), args.out, now, args.batch_id, args.ttl)
         print(json.dumps(counts))
     elif args.cmd == "stream":
         from pyspark.sql import functions as F

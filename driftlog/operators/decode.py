@@ -21,7 +21,9 @@ from driftlog.schemas import ENTRY_STRING_FIELDS, ENTRY_TIME_FIELDS, OPTIONAL_ST
 # Fixed values (must equal the reference): dead-letter reasons (compared by prefix).
 REASON_UNMARSHAL = "unmarshal error: "
 REASON_NORMALISE = "normalise failed"
-# Fixed value: inflated request bodies are cut at 10 MiB (a cut body no longer parses).
+# A source's column with the detail of why a message is rejected unread, NULL for others.
+REJECTED = "rejected"
+# Fixed value: inflated request bodies above 10 MiB are rejected.
 MAX_BODY_BYTES = 10 << 20
 
 
@@ -93,11 +95,16 @@ def _entry_struct(e: Column) -> Column:
     return F.struct(*[s(f) for f in ENTRY_STRING_FIELDS], *[t(f) for f in ENTRY_TIME_FIELDS], fields)
 
 
+def carried_columns(raw: DataFrame, value_col: str) -> list[str]:
+    return [c for c in raw.columns if c not in (value_col, REJECTED)]
+
+
 def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """One frame from one parse: a row per decoded entry (``kind = 'entry'``, with ``position``
     and the entry columns) and a row per rejected message (``kind = 'bad'``, with ``reason``
-    and the raw ``value``). Other input columns are carried along."""
-    carried = [c for c in raw.columns if c != value_col]
+    and the raw ``value``). A ``rejected`` column (sources.files) that is not NULL rejects the
+    message with that detail. Other input columns are carried along."""
+    carried = carried_columns(raw, value_col)
     x = raw.withColumn("__v", F.col(value_col).cast("string"))
     # two parses decide "exactly one JSON value"; the array wrapper's only element is the value
     arr = F.try_parse_json(F.concat(F.lit("["), F.col("__v"), F.lit("]")))
@@ -105,6 +112,8 @@ def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
     x = x.withColumn("__p", F.when(arr.isNotNull() & obj_ok, F.variant_get(arr, "$[0]", "variant")))
     x = x.withColumn("__why", F.when(F.col("__p").isNull(), F.lit("invalid JSON text")).otherwise(
         F.expr(_decode_reason("__p"))))
+    if REJECTED in raw.columns:
+        x = x.withColumn("__why", F.coalesce(REJECTED, "__why"))
     is_bad = F.col("__why").isNotNull()
     arr = F.coalesce(F.try_variant_get(F.col("__p"), "$.entries", "array<variant>"), F.array().cast("array<variant>"))
     # a bad message keeps exactly one row (a NULL element); a good one a row per entry
@@ -134,7 +143,7 @@ def decode_batches(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame,
     """(entries, bad): one row per decoded entry with its position, and one row per rejected
     message with ``reason`` and the raw ``value``. Other input columns are carried along.
     Both come from one ``decode_all`` frame (persist or checkpoint it to parse once)."""
-    carried = [c for c in raw.columns if c != value_col]
+    carried = carried_columns(raw, value_col)
     return split_decoded(decode_all(raw, value_col), carried)
 
 

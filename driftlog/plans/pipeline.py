@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftlog.functions.keys import partition_key
-from driftlog.operators.decode import dead_letter, decode_all, encode_entry, split_decoded
+from driftlog.operators.decode import carried_columns, dead_letter, decode_all, encode_entry, split_decoded
 from driftlog.operators.dedup import dedup_ttl
 from driftlog.operators.normalise import is_valid, normalised
 from driftlog.schemas import ENTRY_COLUMNS
@@ -38,7 +38,7 @@ def process(raw: DataFrame, ttl_seconds: float = 300, value_col: str = "value",
     ``parsed_once``: checkpoint the decoded frame so the raw JSON is parsed once for
     both the entries and the dead letters (what ``run`` does).
     """
-    carried = [c for c in raw.columns if c != value_col]
+    carried = carried_columns(raw, value_col)
     all_rows = decode_all(raw, value_col)
     if parsed_once:
         all_rows = all_rows.checkpoint(eager=True)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.operators.decode import MAX_BODY_BYTES, cap_body
+from driftlog.operators.decode import MAX_BODY_BYTES, REJECTED
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -25,9 +25,21 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int = 10
             .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("line")))
 
 
-def read_batch_files(spark: SparkSession, path: str, max_bytes: int = MAX_BODY_BYTES) -> DataFrame:
-    """One row per file: ``source_file`` and ``value`` = its whole (inflated) text, cut at
-    ``max_bytes``. Feed to ``decode_batches``; an unreadable or invalid file becomes a dead letter
-    instead of failing the job, which is how a spool of failed batches is replayed."""
-    raw = spark.read.option("wholetext", "true").text(path)
-    return raw.select(F.col("_metadata.file_path").alias("source_file"), cap_body(F.col("value"), max_bytes).alias("value"))
+def read_batch_files(spark: SparkSession, path: str, max_bytes: int | None = MAX_BODY_BYTES) -> DataFrame:
+    """One row per file: ``source_file``, ``value`` = its whole (inflated) text, and ``rejected`` = why
+    it is not to be decoded, or NULL. Feed to ``decode_batches``: an invalid file, one above
+    ``max_bytes`` and one that cannot be inflated become dead letters that keep all of it (the last
+    one's bytes in base64) instead of failing the job."""
+    text = spark.read.option("wholetext", "true").option("ignoreCorruptFiles", "true").text(path)
+    text = text.select(F.col("_metadata.file_path").alias("source_file"), "value")
+    long = F.lit(False) if max_bytes is None else F.octet_length("value") > max_bytes
+    read = text.withColumn(REJECTED, F.when(long, F.lit(f"body of more than {max_bytes} bytes")))
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    damaged = files.select(F.col("_metadata.file_path").alias("source_file"), "content").join(text.select("source_file"), "source_file", "left_anti")
+    return read.unionByName(damaged.select(
+        "source_file", F.base64("content").alias("value"), F.lit("file cannot be read (payload: its bytes in base64)").alias(REJECTED)))
+
+
+def read_spool(spark: SparkSession, path: str) -> DataFrame:
+    """``read_batch_files`` without a limit: a spool of failed batches is replayed whole."""
+    return read_batch_files(spark, path, max_bytes=None)

@@ -1,3 +1,4 @@
+import base64
 import gzip
 import json
 
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from driftlog.operators.decode import decode_batches
 from driftlog.operators.ingest import parse_lines
-from driftlog.sources.files import read_batch_files, read_lines
+from driftlog.sources.files import read_batch_files, read_lines, read_spool
 
 
 def _batch(n):
@@ -34,6 +35,28 @@ def test_body_cap_makes_large_body_invalid(spark, tmp_path):
     assert ents.count() == 0 and bad.count() == 1
 
 
+def test_rejected_files_keep_all_of_their_payload(spark, tmp_path):
+    d = tmp_path / "spool"
+    d.mkdir()
+    (d / "big.json").write_text(_batch(50))
+    (d / "small file.json").write_text(_batch(1))
+    whole = gzip.compress(_batch(50).encode())
+    (d / "damaged.json.gz").write_bytes(whole[: len(whole) // 2])
+    ents, bad = decode_batches(read_batch_files(spark, str(d), max_bytes=100))
+    got = {r.source_file.rsplit("/", 1)[1]: r for r in bad.collect()}
+    assert ents.count() == 1 and set(got) == {"big.json", "damaged.json.gz"}
+    assert got["big.json"].value == _batch(50) and got["big.json"].reason.endswith("body of more than 100 bytes")
+    assert base64.b64decode(got["damaged.json.gz"].value) == whole[: len(whole) // 2]
+
+
+def test_spool_files_are_replayed_whole(spark, tmp_path):
+    d = tmp_path / "spool"
+    d.mkdir()
+    (d / "big.json").write_text(json.dumps({**json.loads(_batch(3)), "pad": "x" * (11 << 20)}))
+    ents, bad = decode_batches(read_spool(spark, str(d)))
+    assert ents.count() == 3 and bad.count() == 0
+
+
 def test_lines_to_entries(spark, tmp_path):
     (tmp_path / "app.log").write_text("[ERROR] boom\nall good\n")
     lines = read_lines(spark, str(tmp_path / "app.log")).withColumn("agent_id", F.lit("a1")).withColumn(
