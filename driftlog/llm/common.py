@@ -36,6 +36,26 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Scratch:
+    """Intermediate tables as Parquet in the shared folder (smaller there than checkpoints), removed together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, what: str) -> DataFrame:
+        path = shared_path(self.spark, what)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self) -> None:
+        """Delete the tables; frames that read them must be cut before."""
+        for path in self.paths:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = []
+
+
 def doc_mod(doc_id, modulus: int):
     """crc32 of the id's decimal text, modulo ``modulus`` (null for a null id)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % modulus

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from driftlog.llm import importance, langmodel, lloyd, mixing, neardup, pieces, quality, secrets, tokenids, toxicity, urls, vectors
+from driftlog.llm import importance, langmodel, lloyd, mixing, neardup, pieces, quality, secrets, suffixes, tokenids, toxicity, urls, vectors
 from driftlog.llm.common import doc_mod, shared_path, table
 
 
@@ -60,6 +60,10 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lloyd.cluster(table(spark, sf_dir, "embeddings"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -69,6 +73,6 @@ QUERIES = {
     for f in (
         op1_quality_rules, op2_sentencepiece, op3_url_filters, op4_minhash_neardup, op5_mixing,
         op6_token_ids, op7_lm_scores, op8_secret_scan, op9_toxicity, op10_embedding_neardup,
-        op11_centroid_clustering, op13_importance_resampling,
+        op11_centroid_clustering, op12_suffix_dedup, op13_importance_resampling,
     )
 }
