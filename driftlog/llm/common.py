@@ -36,6 +36,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Held:
+    """Broadcast variables that are given back, in the driver and the executors, once what uses them is cut."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.all = spark, []
+
+    def broadcast(self, value):
+        self.all.append(self.spark.sparkContext.broadcast(value))
+        return self.all[-1]
+
+    def release(self) -> None:
+        for b in self.all:
+            b.destroy()
+        self.all = []
+
+
 class Scratch:
     """Intermediate tables as Parquet in the shared folder (smaller there than checkpoints), removed together."""
 

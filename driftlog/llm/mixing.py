@@ -196,20 +196,20 @@ def mixed_documents(docs: DataFrame, seed: str = SEED) -> DataFrame:
     part = F.struct("from_word", "to_word", "times")
     each = parts.groupBy(*keys, "size").agg(F.sort_array(F.collect_list(part)).alias("_parts"), F.max("times").alias("_passes"))  # a document's own parts
     each = each.where("_passes > 0").select(*(F.col(k).alias(f"_{k}") for k in keys), "_parts", "_passes", F.col("size").alias("_size"))
-    numbered = docs.withColumn("_key", F.xxhash64("text"))
-    numbered = numbered.withColumn("_row", F.row_number().over(Window.partitionBy("doc_id", "source", "_key").orderBy(F.lit(0))))
+    numbered = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64("text").alias("_key"))  # no column of docs can clash
+    numbered = numbered.withColumn("_nth", F.row_number().over(Window.partitionBy("_row.doc_id", "_row.source", "_key").orderBy(F.lit(0))))
     match = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & F.col("_key").eqNullSafe(F.col("_text_key")) & (F.col("_row") == F.col("_same"))
+        F.col("_row.doc_id").eqNullSafe(F.col("_doc_id")) & F.col("_row.source").eqNullSafe(F.col("_source"))
+        & F.col("_key").eqNullSafe(F.col("_text_key")) & (F.col("_nth") == F.col("_same"))
     )
     rows = numbered.join(each, match).withColumn("_pass", F.explode(F.sequence(F.lit(1).cast("long"), "_passes")))
     rows = rows.withColumn("_in", F.filter("_parts", lambda p: p["times"] >= F.col("_pass")))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    words = F.regexp_extract_all("_row.text", F.lit(WORD), F.lit(0))
     kept = F.aggregate("_in", F.lit(0).cast("long"), lambda n, p: n + p["to_word"] - p["from_word"])
     cuts = F.transform("_in", lambda p: F.array_join(F.slice(F.col("_words"), (p["from_word"] + 1).cast("int"), (p["to_word"] - p["from_word"]).cast("int")), " "))
     rows = rows.withColumn("_words", F.when(kept < F.col("_size"), words))
-    text = F.when(F.col("_words").isNull(), F.col("text")).otherwise(F.array_join(cuts, " "))
-    rows = rows.withColumn("text", text)
+    rows = rows.withColumn("_text", F.when(F.col("_words").isNull(), F.col("_row.text")).otherwise(F.array_join(cuts, " ")))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+        new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))

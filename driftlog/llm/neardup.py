@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from driftlog.llm import textkit as tk
-from driftlog.llm.common import cut, ready
+from driftlog.llm.common import Held, cut, ready
 from driftlog.llm.components import components
 
 WIDTH = 5
@@ -47,6 +47,8 @@ RARE = 1 / 256
 PER_LEADER, TILE, TEXT_TILE = 512, 1_024, 256
 #: Bits of the Bloom filter that keeps texts nobody wants out of the shuffle; 8 MB, whatever the corpus.
 BLOOM_BITS, BLOOM_PROBES = 26, 3
+#: Bits of one packed segment of it, as tasks build them.
+SEGMENT_BITS = 15
 #: A shingle is 44 bits of its hash; the rest of the word holds the text's number in its chunk.
 _ID_BITS = 44
 _ID_MASK = tk.U64((1 << _ID_BITS) - 1)
@@ -229,22 +231,31 @@ def _with_leader(idf, threshold: float):
     return run
 
 
-def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+def _packed_segment(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    """The set bits of one segment of the Bloom filter, packed."""
+    bits = np.zeros(1 << SEGMENT_BITS, bool)
+    bits[np.asarray(table["spot"]) & ((1 << SEGMENT_BITS) - 1)] = True
+    return pa.table({"segment": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def _texts(wanted: DataFrame, docs: DataFrame, hold: Held) -> DataFrame:
     """``wanted`` (with _id and _key of a row) with the row's text. A Bloom filter of bounded size keeps other
     texts out of the shuffle; past its size it lets more of them in, and the join still drops them."""
     key = F.xxhash64("_id", "_key")
     spots = F.explode(F.array(*(F.pmod(F.xxhash64(key, F.lit(k)), F.lit(1 << BLOOM_BITS)) for k in range(BLOOM_PROBES))))
-    words = wanted.select("_id", "_key").distinct().select(spots.alias("spot")).groupBy(F.shiftright("spot", 5).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(spot & 31 as int))")).alias("bits")).toArrow()
-    bloom = np.zeros(1 << (BLOOM_BITS - 5), np.uint32)
-    bloom[np.asarray(words["word"])] = np.asarray(words["bits"]).astype(np.uint32)
-    held = docs.sparkSession.sparkContext.broadcast(bloom)
+    spots = wanted.select("_id", "_key").distinct().select(spots.alias("spot")).distinct()
+    packed = spots.groupBy(F.shiftright("spot", SEGMENT_BITS).alias("segment")).applyInArrow(_packed_segment, "segment long, bits binary").toArrow()
+    bloom = np.zeros((1 << (BLOOM_BITS - SEGMENT_BITS), (1 << SEGMENT_BITS) // 8), np.uint8)
+    for segment, bits in zip(packed["segment"].to_pylist(), packed["bits"], strict=True):
+        bloom[segment] = np.frombuffer(bits.as_buffer(), np.uint8)
+    held = hold.broadcast(bloom.ravel())
 
     @F.arrow_udf("boolean")
     def maybe(*spots: pa.Array) -> pa.Array:
         hit = np.ones(len(spots[0]), bool)
         for x in spots:
             x = np.asarray(x)
-            hit &= (held.value[x >> 5] >> (x & 31).astype(np.uint32)) & 1 == 1
+            hit &= (held.value[x >> 3] >> (x & 7).astype(np.uint8)) & 1 == 1
         return pa.array(hit)
 
     own = F.xxhash64("doc_id", "text_key")
@@ -253,7 +264,7 @@ def _texts(wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))).drop("doc_id", "text_key", "_id", "_key")
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, idf, threshold: float = THRESHOLD) -> DataFrame:
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, idf, hold: Held, threshold: float = THRESHOLD) -> DataFrame:
     """The pairs (a, b) of class names whose texts are similar enough. A leader's members are dealt to groups of
     about PER_LEADER; texts travel once for each group that needs them."""
     groups = pairs.groupBy("a").agg(F.ceil(F.count("*") / PER_LEADER).alias("groups"))
@@ -261,7 +272,7 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, idf, threshold
     leaders = groups.select(F.col("a").alias("fp"), F.col("a").alias("leader"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("part"), F.lit(True).alias("leads"))
     where = classes.select("fp", F.col("lead.doc_id").alias("_id"), F.col("lead.text_key").alias("_key"))
     wanted = cut(members.unionByName(leaders).join(where, "fp"))
-    return _texts(wanted, docs).groupBy("leader", "part").applyInArrow(_with_leader(idf, threshold), "a binary, b binary")
+    return _texts(wanted, docs, hold).groupBy("leader", "part").applyInArrow(_with_leader(idf, threshold), "a binary, b binary")
 
 
 def _partners(x: np.ndarray, side: np.ndarray, root: np.ndarray, across: bool, band: int, least: int):
@@ -335,7 +346,7 @@ def _tiled(rows: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("tile", F.explode(others)).drop("own", "groups").select("*", "tile.*").drop("tile")
 
 
-def _left_over(classes: DataFrame, buckets: DataFrame, roots: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+def _left_over(classes: DataFrame, buckets: DataFrame, roots: DataFrame, docs: DataFrame, idf, hold: Held, threshold: float) -> DataFrame:
     """Links (a, b) in buckets that still hold several components."""
     samples = BANDS * ROWS
     least = int(samples * threshold - 4 * sqrt(samples * threshold * (1 - threshold)))
@@ -346,14 +357,15 @@ def _left_over(classes: DataFrame, buckets: DataFrame, roots: DataFrame, docs: D
     flagged = _tiled(rows, TILE).groupBy(tile).applyInArrow(_flag_tile(least), "band long, fp binary").distinct()
     where = classes.select("fp", F.col("lead.doc_id").alias("_id"), F.col("lead.text_key").alias("_key"))
     wanted = cut(_tiled(rows.join(flagged, ["band", "fp"]), TEXT_TILE).join(where, "fp"))
-    return _texts(wanted, docs).groupBy(tile).applyInArrow(_text_tile(idf, threshold, least), "a binary, b binary")
+    return _texts(wanted, docs, hold).groupBy(tile).applyInArrow(_text_tile(idf, threshold, least), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Every row: doc_id, text_key, cluster_id (smallest doc_id of its group), cluster_size (rows), kept."""
     docs = docs.select("doc_id", "text")
     spark = ready(docs.sparkSession)
-    idf = spark.sparkContext.broadcast(document_frequencies(docs))  # 1 MB
+    hold = Held(spark)
+    idf = hold.broadcast(document_frequencies(docs))  # 1 MB
     rows = cut(signed(docs, idf))
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = cut(rows.where("fp is not null").groupBy("fp").agg(F.min(lead).alias("lead"), F.first("samples").alias("samples"), F.first("bands").alias("bands"), F.count("*").alias("n")))
@@ -362,9 +374,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     shared = members.groupBy("band").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("band", "a")
     buckets = cut(members.join(shared, "band"))
     pairs = buckets.where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
-    links = cut(verify(pairs, classes, docs, idf, threshold))
+    links = cut(verify(pairs, classes, docs, idf, hold, threshold))
     roots = cut(components(links))
-    more = cut(_left_over(classes, buckets.select("band", "b", "fp"), roots, docs, idf, threshold))
+    more = cut(_left_over(classes, buckets.select("band", "b", "fp"), roots, docs, idf, hold, threshold))
+    hold.release()  # all that follows reads checkpoints
     roots = cut(components(links.unionByName(more)))
 
     named = classes.select("fp", "lead", "n").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -381,9 +394,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without near-duplicates: one row of each group, with all its columns."""
     keep = near_duplicates(docs, threshold).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "cluster_size").distinct()
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    rows = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
-    alike = Window.partitionBy("doc_id", "_text_key").orderBy(F.lit(0))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.xxhash64("text").alias("_text_key"))
+    rows = rows.join(keep.select("_id", "_key"), F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")))
+    alike = Window.partitionBy("_id", "_text_key").orderBy(F.lit(0))
     # repeated rows of a kept text: one stays, unless the text has no words and so no group
     rows = rows.withColumn("_nth", F.row_number().over(alike))
-    return rows.where((F.col("_nth") == 1) | ~F.rlike(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]"))).select(docs.columns)
+    rows = rows.where((F.col("_nth") == 1) | ~F.rlike(F.coalesce("_row.text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]")))
+    return rows.select(*(F.col("_row")[c].alias(c) for c in docs.columns))

@@ -76,18 +76,19 @@ n AS MATERIALIZED (SELECT DISTINCT unnest(CASE WHEN contains(host, '.') THEN lis
 p AS (SELECT host AS src, regexp_extract(host, '^[^.]*\\.(.*)$', 1) AS dst FROM n WHERE contains(regexp_extract(host, '^[^.]*\\.(.*)$', 1), '.')),
 e AS MATERIALIZED (SELECT src, dst, sum(n)::BIGINT AS n FROM (SELECT * FROM l UNION ALL SELECT src, dst, 1 FROM p UNION ALL SELECT dst, src, 1 FROM p) GROUP BY ALL),
 b AS (SELECT 0 AS kind, src, dst, n FROM e UNION ALL SELECT 1, dst, src, n FROM e),
-sh AS MATERIALIZED (SELECT kind, src, dst, ({u.MASS} * n) // (sum(n) OVER (PARTITION BY kind, src))::BIGINT AS share FROM b),
+sh AS MATERIALIZED (SELECT kind, src, dst, n, (sum(n) OVER (PARTITION BY kind, src))::HUGEINT AS out FROM b),
 sd AS (SELECT CASE WHEN ruled = 'allow' THEN 0 ELSE 1 END AS kind, host, count(*) AS n FROM j WHERE ruled IS NOT NULL AND host <> '' GROUP BY ALL),
-r0 AS MATERIALIZED (SELECT kind, host, (({u.MASS}::HUGEINT * n) // (sum(n) OVER (PARTITION BY kind))::HUGEINT)::BIGINT AS mass FROM sd),
+r0 AS MATERIALIZED (SELECT kind, host, ('{u.MASS}'::HUGEINT * n) // (sum(n) OVER (PARTITION BY kind))::HUGEINT AS mass FROM sd),
 re AS MATERIALIZED (SELECT kind, host, (mass * {100 - u.DAMPING}) // 100 AS mass FROM r0)"""
     for k in range(1, u.STEPS + 1):
         sql += f""",
-r{k} AS MATERIALIZED (SELECT kind, host, sum(mass)::BIGINT AS mass FROM (SELECT sh.kind, dst AS host, ((mass * share // {u.MASS}) * {u.DAMPING}) // 100 AS mass
+r{k} AS MATERIALIZED (SELECT kind, host, sum(mass)::HUGEINT AS mass FROM (SELECT sh.kind, dst AS host, ((mass * n // out) * {u.DAMPING}) // 100 AS mass
   FROM r{k - 1} r JOIN sh ON r.kind = sh.kind AND r.host = sh.src UNION ALL SELECT * FROM re) GROUP BY ALL)"""
+    step = u.MASS // u.REPORTED
     return f"""{sql},
-sc AS (SELECT host, coalesce(sum(mass) FILTER (kind = 0), 0)::BIGINT AS trust, coalesce(sum(mass) FILTER (kind = 1), 0)::BIGINT AS distrust FROM r{u.STEPS} GROUP BY host)
+sc AS (SELECT host, coalesce(sum(mass) FILTER (kind = 0), 0)::HUGEINT AS trust, coalesce(sum(mass) FILTER (kind = 1), 0)::HUGEINT AS distrust FROM r{u.STEPS} GROUP BY host)
 SELECT page_id, j.host, path, rule, coalesce(ruled, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict,
-  coalesce(trust, 0) AS trust, coalesce(distrust, 0) AS distrust FROM j LEFT JOIN sc ON j.host = sc.host"""
+  ((coalesce(trust, 0) + {step - 1}) // {step})::BIGINT AS trust, ((coalesce(distrust, 0) + {step - 1}) // {step})::BIGINT AS distrust FROM j LEFT JOIN sc ON j.host = sc.host"""
 
 
 OP3 = _op3()

@@ -316,14 +316,15 @@ def decode_batch(ids: pa.Array, v: Vocabulary) -> pa.Array:
     return pa.array([x.decode("utf-8", "replace") for x in raw_bytes(values, count, v)], pa.string())
 
 
-_SHARED: dict[str, Vocabulary] = {}
+_SHARED: dict = {}
 
 
 def _vocabulary(spark, model: str):
-    """The vocabulary, sent to the workers once: a few MB, whatever the corpus."""
-    if model not in _SHARED:
-        _SHARED[model] = Vocabulary(model)
-    return ready(spark).sparkContext.broadcast(_SHARED[model])
+    """The vocabulary, sent to the workers once for each application: a few MB, whatever the corpus."""
+    key = ready(spark).sparkContext.applicationId, model
+    if key not in _SHARED:
+        _SHARED[key] = spark.sparkContext.broadcast(Vocabulary(model))
+    return _SHARED[key]
 
 
 def encode(docs: DataFrame, text: str = "text", out: str = "ids", model: str = MODEL) -> DataFrame:

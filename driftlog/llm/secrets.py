@@ -135,7 +135,10 @@ def forest(labelled: DataFrame, max_labelled: int = MAX_LABELLED):
     if {r["label"] for r in sample.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
     assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="_features").transform(sample)
-    return RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(assembled)
+    model = RandomForestClassifier(featuresCol="_features", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(assembled)
+    # the training summary holds the session, which tasks cannot carry once anything in it has observed a query
+    model._java_obj.setSummary(sample.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def scored(features: DataFrame, model) -> DataFrame:
@@ -172,10 +175,12 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, mark: str = "[SEC
     # longest first: a secret inside another is not cut out of it
     per = F.array_distinct(F.transform(F.sort_array(F.collect_set(F.struct((-F.col("length")).alias("n"), "value"))), lambda s: s["value"]))
     found = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(per.alias("_values"))
-    rows = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key")), "left")
-    clean = F.aggregate("_values", F.col("text"), lambda t, v: F.replace(t, v, F.lit(mark)))
-    rows = rows.withColumn("text", F.when(F.col("_values").isNull(), F.col("text")).otherwise(clean))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"))  # whatever their names, the columns of docs clash with none of these
+    rows = rows.join(found, F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("_row.text") == F.col("_key")), "left")
+    clean = F.aggregate("_values", F.col("_row.text"), lambda t, v: F.replace(t, v, F.lit(mark)))
+    rows = rows.select("_row", F.when(F.col("_values").isNull(), F.col("_row.text")).otherwise(clean).alias("_text"), F.col("_values").isNotNull().alias("_changed"))
+    new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(changed))
-    return rows.select(docs.columns)
+        changed = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("_changed"), changed).otherwise(F.col("_row.n_chars"))
+    return rows.select(*(new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns))

@@ -294,7 +294,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     scratch = Scratch(spark)
     every = scratch.table(docs.mapInArrow(_all_units, _UNIT), "units")
-    again = every.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key")
+    again = cut(every.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key"))  # by itself, so that Spark can split a hot key's join
     found = scratch.table(every.join(again, "key"), "repeated-units")
     place = F.struct("doc_id", "text_key", "at", "n", "t_lo")
     reps = found.groupBy("key", "digest").agg(F.count("*").alias("w"), F.min(place).alias("p")).select("key", "digest", "w", "p.*")

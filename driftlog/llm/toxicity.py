@@ -28,6 +28,8 @@ from driftlog.llm.common import doc_mod, ready
 
 #: Labelled documents of each kind that the weights are trained on, at most (by ascending hash of the id).
 MAX_TOXIC, MAX_CLEAN = 1_500, 3_000
+#: Longer texts are scored like any other, but not sampled for training; of rows with one id, one is.
+MAX_SAMPLED_BYTES = 1 << 20
 FOLDS, HELD_OUT_FOLD = 3, 1
 THRESHOLD = 0.7
 #: Hashed word weights: 2**20 four-byte floats.
@@ -142,8 +144,8 @@ def fit(bags: list[bytes], toxic: np.ndarray, rounds: int = 150, rate: float = 0
     return Model(weights, float(b))
 
 
-def training_bags(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN):
-    """Bags and labels of the sampled training documents, in a fixed order."""
+def training_bags(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
+    """_id, _toxic and bag of the sampled training documents: one row for each sampled id."""
 
     @F.arrow_udf("binary")
     def bags(x: pa.Array) -> pa.Array:
@@ -156,20 +158,27 @@ def training_bags(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC
     )
     some = lambda kind, n: marked.where(F.col("_toxic") == kind).orderBy(F.xxhash64("_id"), "_id").limit(n)
     sample = some(1, max_toxic).unionByName(some(0, max_clean))
-    rows = (
-        docs.select("doc_id", "text")
-        .join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-        .select("_id", "_toxic", bags("text").alias("bag"))
-        .collect()
-    )
-    rows.sort(key=lambda r: (r["_id"], bytes(r["bag"])))
-    return [bytes(r["bag"]) for r in rows], np.array([r["_toxic"] == 1 for r in rows], bool)
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).where(F.octet_length("text") <= MAX_SAMPLED_BYTES)
+    return rows.select("_id", "_toxic", bags("text").alias("bag")).groupBy("_id", "_toxic").agg(F.min("bag").alias("bag"))
+
+
+def _fit_task(batches):
+    """The model of all rows of a partition."""
+    rows = sorted((r for b in batches for r in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1).to_pylist(), strict=True)), key=lambda r: r[:2])
+    m = fit([r[1] for r in rows], np.array([r[2] == 1 for r in rows], bool))
+    yield pa.RecordBatch.from_arrays([pa.array([m.weights.tobytes()], pa.binary()), pa.array([m.bias])], ["weights", "bias"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> Model:
-    """Weights learned from the labelled documents of the training folds."""
+    """Weights learned from the labelled documents of the training folds.
+
+    The sample (its size has a bound) goes to one task, which fits the model; the driver gets the weights alone.
+    """
     ready(docs.sparkSession)
-    return fit(*training_bags(docs, labels, max_toxic, max_clean))
+    fitted = training_bags(docs, labels, max_toxic, max_clean).repartition(1).mapInArrow(_fit_task, "weights binary, bias double").toArrow()
+    if not fitted.num_rows:  # no task had anything to say
+        return fit([], np.empty(0, bool))
+    return Model(np.frombuffer(fitted["weights"][0].as_buffer(), np.float32), fitted["bias"][0].as_py())
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

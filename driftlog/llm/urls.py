@@ -7,12 +7,10 @@ personalised PageRanks run together: trust starts at hosts whose pages the rules
 links; distrust starts at hosts whose pages the rules block and follows them backwards (who links to a
 blocked host is suspect). A host is blocked if its distrust is more than its trust.
 
-Scores are whole numbers and every step divides downwards, but never below 1, so the result does not
-depend on the order of the additions, reruns agree, and every host that a seed reaches in ``STEPS`` steps
-has a score. While seeded pages times hosts are at most ``NARROW``, all of a kind's mass is ``MASS``;
-beyond, it is ``WIDE_MASS`` in decimals, so that a seed's part stays large however many seeds there are.
-The verdict compares the scores as they are; ``trust`` and ``distrust`` report them in parts of ``MASS``
-or, of wide scores, of ``WIDE_REPORTED``, rounded up.
+Scores are whole parts of ``MASS``, 10^26, and every step divides downwards, so the result does not depend
+on the order of the additions and reruns agree; no step adds mass. A host whose share of all mass falls under
+10^-26 has none: with ten million seeds that is one behind nine links of a hundred each. The verdict compares the
+scores as they are; ``trust`` and ``distrust`` report them in parts of ``REPORTED``, rounded up.
 
 Defined results: a null url, or one without ``://``, has empty host and path, no rule and verdict
 ``allow``; so has a host that no trust or distrust reaches, or as much of both. A null html has no
@@ -25,20 +23,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
-
 from driftlog.llm.common import cut
 
 #: (host, path, verdict)
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 STEPS = 10
 DAMPING = 85  # hundredths
-MASS = 10**9
-#: Seeded pages times hosts up to which MASS is enough.
-NARROW = 250_000
 #: Room in 38 digits for a mass times the links between two hosts (under 10**12).
-WIDE_MASS = 10**26
-WIDE_REPORTED = 10**18
+MASS = 10**26
+REPORTED = 10**18
 LINK = r"""(?:href|src|HREF|SRC)\s*=\s*["']?(?:[a-zA-Z]+:)?//([^/?#"'\s>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -90,46 +83,41 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(tree).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: int = DAMPING) -> DataFrame:
-    """(host, trust, distrust) after ``steps`` steps from ``seeds`` (host, kind, n); kind 1 runs against the edges.
+def _whole(a: str, b: str) -> str:
+    """a divided by b, downwards, for decimals without fraction (``div`` would give 64 bits, ``/`` alone rounds)."""
+    return f"cast(({a} - {a} % {b}) / {b} as decimal(28, 0))"
 
-    Scores are bigint parts of MASS or, past NARROW, decimal parts of WIDE_MASS.
-    """
+
+def spread(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: int = DAMPING) -> DataFrame:
+    """(host, trust, distrust), parts of MASS as decimal, after ``steps`` steps from ``seeds`` (host, kind, n); kind 1
+    runs against the edges."""
     edges, seeds = cut(edges), cut(seeds)
-    pages = seeds.agg(F.coalesce(F.sum("n"), F.lit(0))).collect()[0][0]
-    wide = pages * edges.select("src").distinct().count() > NARROW
-    if wide:
-        share, kept = ("cast(n as decimal(12, 0)) as n", "cast(out as decimal(18, 0)) as out"), "cast({} as decimal(28, 0))"
-        first = f"floor(cast({WIDE_MASS} as decimal(27, 0)) * n / all)"
-        rested, passed = f"floor(mass * {100 - damping} / 100)", f"floor(floor(mass * n / out) * {damping} / 100)"
-    else:
-        share, kept = (f"{MASS}L * n div out as share",), "cast({} as bigint)"
-        first = f"cast({MASS} as decimal(38, 0)) * n div all"
-        rested, passed = f"mass * {100 - damping} div 100", f"(mass * share div {MASS}) * {damping} div 100"
-    at_least_one = lambda x: F.expr(kept.format(f"greatest({x}, 1)")).alias("mass")
     both = edges.withColumn("kind", F.lit(0)).unionByName(
         edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n", F.lit(1).alias("kind"))
     )
     total = both.groupBy("kind", "src").agg(F.sum("n").alias("out"))
-    shares = cut(both.join(total, ["kind", "src"]).selectExpr("kind", "src", "dst", *share))
-    all_seeds = seeds.groupBy("kind").agg(F.sum("n").alias("all"))
-    start = cut(seeds.join(F.broadcast(all_seeds), "kind").select("kind", "host", at_least_one(first)))
-    rest = start.select("kind", "host", at_least_one(rested))
+    shares = cut(both.join(total, ["kind", "src"]).selectExpr("kind", "src", "dst", "cast(n as decimal(12, 0)) as n", "cast(out as decimal(18, 0)) as out"))
+    all_seeds = seeds.groupBy("kind").agg(F.sum("n").cast("decimal(18, 0)").alias("all"))
+    first = _whole(f"(cast({MASS} as decimal(27, 0)) * cast(n as decimal(12, 0)))", "all")
+    start = cut(seeds.join(F.broadcast(all_seeds), "kind").selectExpr("kind", "host", f"{first} as mass"))
+    part = lambda x, share: _whole(f"({x} * cast({share} as decimal(3, 0)))", "cast(100 as decimal(3, 0))")
+    rest = start.selectExpr("kind", "host", f"{part('mass', 100 - damping)} as mass")
     rank = start
     for step in range(1, steps + 1):
-        moved = rank.withColumnRenamed("host", "src").join(shares, ["kind", "src"]).select("kind", F.col("dst").alias("host"), at_least_one(passed))
-        rank = moved.unionByName(rest).groupBy("kind", "host").agg(F.expr(kept.format("sum(mass)")).alias("mass"))
+        moved = rank.withColumnRenamed("host", "src").join(shares, ["kind", "src"]).selectExpr("kind", "dst as host", f"{_whole('(mass * n)', 'out')} as mass")
+        moved = moved.selectExpr("kind", "host", f"{part('mass', damping)} as mass")
+        rank = moved.unionByName(rest).groupBy("kind", "host").agg(F.sum("mass").cast("decimal(28, 0)").alias("mass"))
         if step % 5 == 0 or step == steps:
             rank = cut(rank)  # a lost executor costs a few steps at most
-    pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("mass"))), F.lit(0)).alias("trust" if kind == 0 else "distrust")
+    none = F.lit(0).cast("decimal(28, 0)")
+    pick = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("mass"))), none).cast("decimal(28, 0)").alias("trust" if kind == 0 else "distrust")
     return rank.groupBy("host").agg(pick(0), pick(1))
 
 
-def reported(scores: DataFrame, name: str) -> Column:
-    """A score of ``spread`` as bigint."""
-    if isinstance(scores.schema[name].dataType, DecimalType):
-        return F.ceil(F.col(name) / F.lit(WIDE_MASS // WIDE_REPORTED)).cast("long").alias(name)
-    return F.col(name)
+def reported(name: str) -> Column:
+    """A score of ``spread`` in parts of REPORTED, as bigint."""
+    step = MASS // REPORTED
+    return F.expr(_whole(f"({name} + cast({step - 1} as decimal(18, 0)))", f"cast({step} as decimal(18, 0))")).cast("long").alias(name)
 
 
 def url_filter(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
@@ -138,6 +126,7 @@ def url_filter(pages: DataFrame, rules=RULES, steps: int = STEPS) -> DataFrame:
     kind = F.when(F.col("ruled") == "allow", 0).otherwise(1)
     seeds = judged.where("ruled is not null and host <> ''").groupBy("host", kind.alias("kind")).agg(F.count("*").alias("n"))
     scores = spread(host_edges(pages), seeds, steps)
-    out = judged.join(scores, "host", "left").fillna(0, ["trust", "distrust"])
+    none = F.lit(0).cast("decimal(28, 0)")
+    out = judged.join(scores, "host", "left").withColumns({c: F.coalesce(c, none) for c in ("trust", "distrust")})
     own = F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), reported(scores, "trust"), reported(scores, "distrust"))
+    return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), reported("trust"), reported("distrust"))
