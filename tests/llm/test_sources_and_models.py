@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from driftlog.llm import langmodel, mixing, oracles, secrets, urls
+from tests.conftest import SF01
 from tests.llm.conftest import SF, words
 
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -114,23 +115,43 @@ def test_small_seeds_of_large_tables_keep_a_score(spark):
     edges = spark.createDataFrame(edges, "src string, dst string, n long")
     seeds = spark.createDataFrame([("big", 0, 10**7), ("seed", 0, 1), ("big", 1, 10**9), ("b0", 1, 1)], "host string, kind int, n long")
     got = {r["host"]: r for r in urls.spread(edges, seeds).collect()}
-    mass = urls.WIDE_MASS
-    assert math.isclose(got["h1"]["trust"], mass / (10**7 + 1) * 0.15 * 0.85 / out, rel_tol=1e-9)
-    assert math.isclose(got["g3"]["trust"], mass / (10**7 + 1) * 0.15 * (0.85 / out) ** 2, rel_tol=1e-9)
+    assert math.isclose(got["h1"]["trust"], urls.MASS / (10**7 + 1) * 0.15 * 0.85 / out, rel_tol=1e-9)
+    assert math.isclose(got["g3"]["trust"], urls.MASS / (10**7 + 1) * 0.15 * (0.85 / out) ** 2, rel_tol=1e-9)
     assert got["bad"]["distrust"] > 0 and got["x"]["distrust"] > got["x"]["trust"] == 0
-
-
-def test_wide_scores_give_the_narrow_verdicts(spark, monkeypatch):
-    given = spark.read.parquet(f"{SF}/pages.parquet")
-    narrow = urls.url_filter(given)
-    monkeypatch.setattr(urls, "NARROW", 0)
-    wide = urls.url_filter(given)
-    assert wide.schema == narrow.schema
-    wide = {r["page_id"]: r for r in wide.collect()}
-    for r in narrow.collect():
-        w = wide[r["page_id"]]
-        assert w["verdict"] == r["verdict"]
-        assert all(math.isclose(w[k] / urls.WIDE_REPORTED, r[k] / urls.MASS, abs_tol=1e-6) for k in ("trust", "distrust"))
+    assert {h: (int(r["trust"]), int(r["distrust"])) for h, r in got.items()} == spread_in_python(edges.collect(), seeds.collect())
+
+
+def spread_in_python(edges, seeds):
+    score = {}
+    for kind in (0, 1):
+        links = collections.Counter()
+        for e in edges:
+            links[(e["src"], e["dst"]) if kind == 0 else (e["dst"], e["src"])] += e["n"]
+        out, total = collections.Counter(), sum(s["n"] for s in seeds if s["kind"] == kind)
+        for (src, _), n in links.items():
+            out[src] += n
+        rank = {s["host"]: urls.MASS * s["n"] // total for s in seeds if s["kind"] == kind}
+        rest = {h: m * (100 - urls.DAMPING) // 100 for h, m in rank.items()}
+        for _ in range(urls.STEPS):
+            new = collections.Counter(rest)
+            for (src, dst), n in links.items():
+                if src in rank:
+                    new[dst] += rank[src] * n // out[src] * urls.DAMPING // 100
+            rank = dict(new)
+        for h, m in rank.items():
+            score.setdefault(h, [0, 0])[kind] = m
+    return {h: tuple(m) for h, m in score.items()}
+
+
+def test_deep_weak_links_equal_sql(spark):
+    """Many seeded pages, and four hops over hosts with 60 to 100 links each."""
+    far = [f"h{k}.far.io" for k in range(100)]
+    link = lambda hosts: "".join(f'<a href="//{h}/x">' for h in hosts)
+    pages = [(k, f"http://s{k % 7}.org/fr/{k}", link(far[:60])) for k in range(200)] + [(300 + k, f"http://b{k % 5}.net/{k}", link(far[40:])) for k in range(200)]
+    pages += [(600 + k, f"http://{h}/p", link(f"g{j}.deep.io" for j in range(k % 40, k % 40 + 60))) for k, h in enumerate(far)]
+    pages += [(800 + k, f"http://g{k}.deep.io/p", link(f"e{j}.end.io" for j in range(80))) for k in range(100)] + [(999, "http://e5.end.io/q", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    same_as_sql(urls.url_filter(df), oracles.OP3, pages=df)
 
 
 def lm_truth(docs):
@@ -255,9 +276,48 @@ def test_pipeline(spark):
     assert last.count() == given.count() and last.where("not lossless").count() == 0
 
 
+@pytest.fixture(scope="module")
+def searched(spark):
+    """A session in which a query has been observed: from then on its objects cannot be sent to tasks."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    seen = Observation("seen")
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get["n"] == 3
+    from driftlog.plans.catalog import q_search_one
+
+    q_search_one(spark, SF01).collect()
+    return spark
+
+
+def test_secrets_and_pipeline_after_a_search(searched):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    from driftlog.llm import queries
+
+    assert queries.op8_secret_scan(searched, SF01).count() > 0
+    assert corpus_pipeline.run(searched, SF01).count() > 0
+
+
+CLASHES = ["'a' as _id", "'b' as _key", "1 as _row", "2 as _size", "3 as cluster_size", "'c' as _values", "4 as _nth", "'d' as _text", "5 as _same", "'e' as _text_key", "'f' as _doc_id", "'g' as _parts"]
+
+
+def test_stages_keep_columns_that_are_named_like_their_own(awkward, nothing):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    spark = awkward.sparkSession
+    for given in (awkward.selectExpr("*", *CLASHES), nothing.selectExpr("*", *CLASHES)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, given, SF)
+            assert out.columns == given.columns
+            rows = out.select("_id", "_key", "_row", "_size", "cluster_size", "_values").distinct().collect()
+            assert [tuple(r) for r in rows] in ([("a", "b", 1, 2, 3, "c")], [])
+            given = spark.createDataFrame(out.toArrow(), out.schema) if not out.isEmpty() else spark.createDataFrame([], out.schema)
+        assert corpus_pipeline.STAGES[-1][1](spark, given, SF).count() == given.count()
+
+
 def test_entry_registers_the_queries():
     import __spark_entry__ as e
 
     names = list(e.queries())
-    assert [x for x in names if x.startswith("op")] == [x for x in names if x.startswith("op")] and {f"op{n}_" for n in range(1, 11)} == {x.split("_")[0] + "_" for x in names if x.startswith("op")}
+    assert [x for x in names if x.startswith("op")] == [x for x in names if x.startswith("op")] and {f"op{n}_" for n in range(1, 14)} == {x.split("_")[0] + "_" for x in names if x.startswith("op")}
     assert "pipeline" in names and "log_pipeline" in names
