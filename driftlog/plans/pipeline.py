@@ -61,7 +61,7 @@ def run(raw: DataFrame, out_dir: str, write_time: datetime | Column, batch_id: i
     """Process and write the four outputs under ``out_dir``; idempotent per ``batch_id``.
 
     normalized/ and dead_letter/ get a batch_id=<n> directory overwritten as a
-    whole; hot/ is upserted (dynamic partition overwrite); cold/ gets this
+    whole; hot/ takes the batch as a generation, once; cold/ gets this
     batch's objects under batch_id=<n> as well.
     """
     out = process(raw, ttl_seconds, parsed_once=True)
@@ -73,7 +73,7 @@ def run(raw: DataFrame, out_dir: str, write_time: datetime | Column, batch_id: i
     bus.sortWithinPartitions("key", "timestamp", "log_id").drop("log_id").write.mode("overwrite") \
         .parquet(f"{out_dir}/normalized/batch_id={batch_id}")
     out.dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
-    upsert_hot(entries.select(*ENTRY_COLUMNS), f"{out_dir}/hot")
+    upsert_hot(entries.select(*ENTRY_COLUMNS), f"{out_dir}/hot", batch_id=batch_id)
     archive(entries, f"{out_dir}/cold/batch_id={batch_id}", write_time, mode="overwrite")
     spark = raw.sparkSession
     return {

@@ -13,6 +13,50 @@ from pyspark.sql import functions as F
 from driftlog.operators.decode import MAX_BODY_BYTES, REJECTED
 
 
+class Folder:
+    """Small files (manifests, commit records) under a path of any file system that Spark writes to."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self._jvm = spark.sparkContext._jvm
+        self._root = path.rstrip("/")
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self._root}/{name}" if name else self._root)
+
+    def names(self, name: str) -> list[str]:
+        """Names of the entries of a folder, without hidden ones; none if it is not there."""
+        if not self.exists(name):
+            return []
+        found = [s.getPath().getName() for s in self._fs.listStatus(self._path(name))]
+        return [n for n in found if not n.startswith((".", "_"))]
+
+    def exists(self, name: str) -> bool:
+        return self._fs.exists(self._path(name))
+
+    def text(self, name: str) -> str:
+        stream = self._fs.open(self._path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def create(self, name: str, text: str = "") -> None:
+        """A new file: written under a hidden name, then renamed, so that it is never seen half written."""
+        folder, _, leaf = name.rpartition("/")
+        if self.exists(name):
+            raise FileExistsError(f"{self._root}/{name}")
+        hidden = f"{folder}/.{leaf}"
+        stream = self._fs.create(self._path(hidden), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        if not self._fs.rename(self._path(hidden), self._path(name)):
+            raise OSError(f"could not create {self._root}/{name}")
+
+    def delete(self, name: str) -> None:
+        self._fs.delete(self._path(name), True)
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """One row per line: ``source_file`` and ``line`` (files are read whole, never cut)."""
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("source_file"),

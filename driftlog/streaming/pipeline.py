@@ -3,14 +3,18 @@
 One streaming query. Decoding and validation are stateless; dedup is the
 stateful ``dedup_stream``; the micro-batch is then split by kind and written
 by ``foreachBatch``. Every write is idempotent per batch id (batch-id
-directories are overwritten; the hot upsert is last-write-wins), so a retried
-micro-batch after a lost executor or a restart writes the same result. The
+directories are overwritten; the hot table takes a batch id once), and a ledger
+holds a commit record per output and batch, so a retried micro-batch after a
+lost executor or a restart writes what is missing and nothing else. The
 checkpoint folder must be on shared storage.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,6 +26,7 @@ from driftlog.operators.normalise import is_valid
 from driftlog.schemas import ENTRY_COLUMNS
 from driftlog.sources.bus import file_source, kafka_source  # noqa: F401  (re-exported)
 from driftlog.sources.archive import archive
+from driftlog.sources.files import Folder
 from driftlog.sources.hot import upsert_hot
 from driftlog.streaming.stateful import dedup_stream
 
@@ -51,23 +56,78 @@ def tagged_stream(raw: DataFrame, ttl_seconds: float = 300, watermark: str | Non
     return deduped.withColumn("payload", F.when(F.col("kind") == "entry", encode_entry()).otherwise(F.col("payload")))
 
 
-def write_outputs(batch: DataFrame, batch_id: int, out_dir: str) -> None:
-    """foreachBatch body: four outputs, each idempotent for ``batch_id``."""
-    batch = batch.persist()
+def write_normalized(entries: DataFrame, out_dir: str, batch_id: int, writer: str) -> None:
+    """Bus rows, in order of arrival per key inside every file (the bus keys by tenant|service)."""
+    bus = entries.select(partition_key(F.col("tenant_id"), F.col("service")).alias("key"),
+                         encode_entry().alias("value"), F.col("ingest_timestamp").alias("timestamp"), "log_id")
+    bus.sortWithinPartitions("key", "timestamp", "log_id").drop("log_id").write.mode("overwrite") \
+        .parquet(f"{out_dir}/normalized/batch_id={batch_id}")
+
+
+def write_hot(entries: DataFrame, out_dir: str, batch_id: int, writer: str) -> None:
+    upsert_hot(entries, f"{out_dir}/hot", batch_id=batch_id, writer=writer)
+
+
+def write_cold(entries: DataFrame, out_dir: str, batch_id: int, writer: str) -> None:
+    # the flush hour is a function of the batch (its latest arrival), so a retry lands in place
+    hour = entries.agg(F.max("ingest_timestamp").alias("h")).first()["h"]
+    archive(entries, f"{out_dir}/cold/batch_id={batch_id}", F.lit(hour).cast("timestamp"), mode="overwrite")
+
+
+def write_dead_letter(dead: DataFrame, out_dir: str, batch_id: int, writer: str) -> None:
+    dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
+
+
+class Ledger:
+    """Commit records, one for each output and batch id: an output that has one is not written again."""
+
+    #: Batches whose records are kept; a query retries none but its last.
+    KEEP = 100
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.folder = Folder(spark, path)
+
+    def done(self, output: str, batch_id: int) -> bool:
+        return self.folder.exists(f"{output}/{batch_id:020d}")
+
+    def commit(self, output: str, batch_id: int) -> None:
+        self.folder.create(f"{output}/{batch_id:020d}")
+        if batch_id % self.KEEP == 0:
+            for name in sorted(self.folder.names(output)):
+                if int(name) < batch_id - self.KEEP:
+                    self.folder.delete(f"{output}/{name}")
+
+
+def write_outputs(batch: DataFrame, batch_id: int, out_dir: str, writer: str = "query") -> None:
+    """foreachBatch body: four outputs, each committed by itself.
+
+    ``writer``: whose batch ids these are. An output that fails does not keep the others from being written; the batch then fails, and its retry
+    writes the outputs without a commit record alone.
+    """
+    ledger = Ledger(batch.sparkSession, f"{out_dir}/ledger/{writer}")
+    outputs = {"normalized": write_normalized, "hot": write_hot, "cold": write_cold, "dead_letter": write_dead_letter}
+    left = [name for name in outputs if not ledger.done(name, batch_id)]
+    if not left:
+        return
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    failed = {}
     try:
         entries = batch.filter(F.col("kind") == "entry").select(*ENTRY_COLUMNS)
-        bus = entries.select(partition_key(F.col("tenant_id"), F.col("service")).alias("key"),
-                             encode_entry().alias("value"), F.col("ingest_timestamp").alias("timestamp"))
-        bus.write.mode("overwrite").parquet(f"{out_dir}/normalized/batch_id={batch_id}")
         dead = batch.filter(F.col("kind") != "entry").select("reason", "payload")
-        dead.write.mode("overwrite").parquet(f"{out_dir}/dead_letter/batch_id={batch_id}")
-        if not entries.isEmpty():
-            upsert_hot(entries, f"{out_dir}/hot")
-            # the flush hour is a function of the batch (its latest arrival), so a retry lands in place
-            hour = entries.agg(F.max("ingest_timestamp").alias("h")).first()["h"]
-            archive(entries, f"{out_dir}/cold/batch_id={batch_id}", F.lit(hour).cast("timestamp"), mode="overwrite")
+        some = not entries.isEmpty()
+        for name in left:
+            try:
+                if name == "dead_letter":
+                    outputs[name](dead, out_dir, batch_id, writer)
+                elif some or name == "normalized":
+                    outputs[name](entries, out_dir, batch_id, writer)
+                ledger.commit(name, batch_id)
+            except Exception as e:  # noqa: BLE001 - the other outputs are written first, then it is raised
+                failed[name] = e
     finally:
         batch.unpersist()
+    if failed:
+        raise RuntimeError(f"batch {batch_id}: {', '.join(failed)} not written") from next(iter(failed.values()))
 
 
 def stream_pipeline(raw: DataFrame, out_dir: str, checkpoint: str, ttl_seconds: float = 300,
@@ -78,8 +138,12 @@ def stream_pipeline(raw: DataFrame, out_dir: str, checkpoint: str, ttl_seconds:
     Without a ``watermark`` every message ends in ``normalized``, in ``dead_letter`` or is a
     repeat of an entry seen within the TTL, however late it comes.
     """
-    w = tagged_stream(raw, ttl_seconds, watermark).writeStream.option("checkpointLocation", checkpoint) \
-        .foreachBatch(lambda df, bid: write_outputs(df, bid, out_dir))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # the id that the query keeps over restarts: a query with a new checkpoint counts its batches anew
+        query = json.loads(Folder(batch.sparkSession, checkpoint).text("metadata"))["id"]
+        write_outputs(batch, batch_id, out_dir, query)
+
+    w = tagged_stream(raw, ttl_seconds, watermark).writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     if available_now:
         w = w.trigger(availableNow=True)
     elif processing_time:
