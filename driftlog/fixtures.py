@@ -104,6 +104,20 @@ def rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(RULES, RULE)
 
 
+def many_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One rule per order: needle ``K=<key>`` (few keys occur in messages), every fifth for all tenants, levels in turn."""
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    key = F.col("o_orderkey")
+    return o.select(
+        F.concat(F.lit("o"), key.cast("string")).alias("name"),
+        F.when(key % 5 == 0, F.lit("*")).otherwise(F.concat(F.lit("tenant-"), (F.col("o_custkey") % 4).cast("string"))).alias("tenant_id"),
+        F.when(key % 3 == 0, F.lit("error")).when(key % 3 == 1, F.lit("Info")).otherwise(F.lit("")).alias("level"),
+        F.concat(F.lit(" K="), key.cast("string")).alias("message_contains"),
+        F.lit(1).alias("threshold"), F.lit(600).alias("window_seconds"), F.lit("").alias("webhook"),
+        key.cast("long").alias("rule_pos"),
+    )
+
+
 def api_keys(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(API_KEYS, API_KEY)
 

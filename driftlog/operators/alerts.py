@@ -12,28 +12,32 @@ from driftlog.operators.anchored import anchored_windows
 
 _HELPERS = ("__rl_lo", "__rl_up", "__rn_lo", "__lv_lo", "__lv_up", "__msg_lo")
 
-# Rules are a configuration table; this many go into one broadcast, more are sliced.
+# Rules are a configuration table; this many are sent to every task as they are.
 MAX_BROADCAST_RULES = 5_000
+# Past this many, an entry's needles are found by one automaton and not rule by rule.
+FEW_RULES = 64
 
 
 def _with_positions(rules: DataFrame) -> DataFrame:
+    """Rules with ``rule_pos``, their row order; a bounded number of them becomes a local table, read once."""
     if "rule_pos" in rules.columns:
         return rules
-    # rule order is the row order of the rules table (zipWithIndex keeps it, and works as the
-    # static side of a streaming join)
     schema = T.StructType(list(rules.schema.fields) + [T.StructField("rule_pos", T.LongType(), False)])
-    return rules.sparkSession.createDataFrame(rules.rdd.zipWithIndex().map(lambda p: (*p[0], p[1])), schema)
+    spark = rules.sparkSession
+    some = rules.limit(MAX_BROADCAST_RULES + 1).collect()
+    if len(some) <= MAX_BROADCAST_RULES:
+        return spark.createDataFrame([(*r, k) for k, r in enumerate(some)], schema)
+    # zipWithIndex keeps the row order, and works as the static side of a streaming join
+    return spark.createDataFrame(rules.rdd.zipWithIndex().map(lambda p: (*p[0], p[1])), schema)
 
 
 def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per (entry, matching rule), with the rule's columns prefixed ``rule_``.
 
-    Every entry probes two keys, its tenant and ``*``, in one broadcast hash join on
-    the rule tenant: an entry meets only its own tenant's rules and the wildcard
-    rules, never the whole rule table, and the entries are read once. The rules
-    are broadcast after a size check; past the bound, tenant rules join on tenant
-    by shuffle and only the wildcard rules are broadcast (sliced if they alone
-    pass the bound).
+    Every entry meets only its own tenant's rules and those of ``*``, and is read once. Few rules: a
+    broadcast hash join on the rule tenant, with level and needle as residual. Many: the needles that a
+    message holds come from one automaton for each tenant (``patterns``), whatever the number of rules, and an
+    entry is joined by hash with the rules of those needles alone.
     """
     rules = _with_positions(rules).select(
         F.col("name").alias("rule"), F.col("tenant_id").alias("rule_tenant"),
@@ -42,9 +46,7 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
         F.col("window_seconds").cast("long").alias("rule_window_s"),
         F.col("webhook").alias("rule_webhook"), F.col("rule_pos").cast("long").alias("rule_pos"),
     )
-    counts = rules.agg(F.count(F.lit(1)).alias("n"),
-                       F.sum((F.col("rule_tenant") == "*").cast("long")).alias("w")).first()
-    n, n_wild = counts["n"], counts["w"] or 0  # size check before any broadcast
+    n = rules.limit(MAX_BROADCAST_RULES + 1).count()  # size check before any broadcast
     # the case-folded equality and the case-insensitive containment of functions.text, with the
     # folding done once per entry and once per rule, not once per (entry, rule) pair
     rules = rules.withColumn("__rl_lo", F.lower(F.coalesce("rule_level", F.lit("")))) \
@@ -55,22 +57,20 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
     rest = ((F.col("__rl_lo") == "") | ((F.length("rule_level") == F.length("level"))
                                          & ((F.col("__rl_lo") == F.col("__lv_lo")) | (F.col("__rl_up") == F.col("__lv_up"))))) \
         & F.contains(F.col("__msg_lo"), F.col("__rn_lo"))
-    if n <= MAX_BROADCAST_RULES:
+    if n <= FEW_RULES:
         probes = entries.withColumn("__probe",
                                     F.explode(F.array_distinct(F.array(F.col("tenant_id"), F.lit("*")))))
         return probes.join(F.broadcast(rules), (F.col("__probe") == F.col("rule_tenant")) & rest,
                            "inner").drop("__probe", *_HELPERS)
-    # many rules: tenant rules join on tenant by shuffle (AQE splits a hot tenant), wildcard rules
-    # stay broadcast, sliced only if they alone pass the bound
-    by_tenant = entries.join(rules.filter(F.col("rule_tenant") != "*"),
-                             (F.col("tenant_id") == F.col("rule_tenant")) & rest, "inner")
-    out = by_tenant
-    wild = rules.filter(F.col("rule_tenant") == "*")
-    n_slices = max(1, (n_wild + MAX_BROADCAST_RULES - 1) // MAX_BROADCAST_RULES)
-    for i in range(n_slices if n_wild else 0):
-        r = wild if n_slices == 1 else wild.filter((F.col("rule_pos") % n_slices) == i)
-        out = out.unionByName(entries.join(F.broadcast(r), rest, "inner"))
-    return out.drop(*_HELPERS)
+    from driftlog.operators.patterns import found_needles, needle_id  # noqa: PLC0415
+
+    rules = rules.withColumn("__id", needle_id(F.col("rule_tenant"), F.col("__rn_lo")))
+    needles = rules.select(F.col("__id").alias("id"), F.col("rule_tenant").alias("tenant"), F.col("__rn_lo").alias("needle"))
+    found = found_needles(entries, needles, "tenant_id", "__msg_lo", "__found")
+    # the id is a hash: tenant and needle are checked again
+    own = (F.col("rule_tenant") == F.col("tenant_id")) | (F.col("rule_tenant") == "*")
+    side = F.broadcast(rules) if n <= MAX_BROADCAST_RULES else rules
+    return found.join(side, (F.col("__found") == F.col("__id")) & own & rest, "inner").drop("__found", "__id", *_HELPERS)
 
 
 def evaluate_rules(
