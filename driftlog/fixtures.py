@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftlog.functions.jsonx import json_quote
 from driftlog.schemas import API_KEY, RULE, SEARCH_REQUEST, SUBSCRIPTION
 
 # Fixed values (FIXTURES.md B1): replays as (shift seconds, every m-th event).
@@ -228,6 +229,45 @@ def raw_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.unionByName(edges)
 
 
+def damaged_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches damaged in ways that depend on the row: one conversation turn in ten, by (7 conv_id + turn) % 40:
+    0 cut off, 1 a bad time, 2 a number for a string, 3 no tenant (decodes, but is rejected as an entry)."""
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    kind = (F.col("conv_id") * 7 + F.col("turn")) % 40
+    text = json_quote(F.col("text"))
+    name = F.concat(F.lit("d"), F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    body = (
+        F.when(kind == 0, F.concat(F.lit('{"entries":[{"message":'), text))
+        .when(kind == 1, F.concat(F.lit('{"entries":[{"message":'), text, F.lit(',"event_timestamp":"yesterday"}]}')))
+        .when(kind == 2, F.concat(F.lit('{"entries":[{"tenant_id":7,"message":'), text, F.lit("}]}")))
+        .otherwise(F.concat(F.lit('{"entries":[{"log_id":"'), name, F.lit('","message":'), text, F.lit("}]}")))
+    )
+    return conv.where(kind < 4).select(name.alias("batch_id"), body.alias("value"))
+
+
+def gateway_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``requests`` with a body: one entry, every 12th two, every 11th cut off; the tenant in it is forged."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("event_type").alias("type"))
+    entry = F.concat(F.lit('{"log_id":"e'), F.col("event_id").cast("string"), F.lit('","tenant_id":"forged","service":"'),
+                     F.col("type"), F.lit('","message":"'), F.col("type"), F.lit('"}'))
+    one = F.concat(F.lit('{"agent_id":"a","entries":['), entry)
+    body = F.when(F.col("event_id") % 11 == 0, one).when(
+        F.col("event_id") % 12 == 0, F.concat(one, F.lit(","), entry, F.lit("]}"))).otherwise(F.concat(one, F.lit("]}")))
+    return requests(spark, sf_dir).join(ev.select("event_id", body.alias("body")), "event_id")
+
+
+def spool_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole batches for files: all turns of the conversations of one remainder modulo 61, in order."""
+    conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    entry = F.struct(
+        F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("log_id"),
+        F.concat(F.lit("tenant-"), (F.col("conv_id") % 4).cast("string")).alias("tenant_id"),
+        F.col("role").alias("service"), F.col("text").alias("message"))
+    items = F.sort_array(F.collect_list(F.struct("conv_id", "turn", entry.alias("e"))))
+    per = conv.groupBy((F.col("conv_id") % 61).alias("part")).agg(items.alias("items"))
+    return per.select("part", F.to_json(F.struct(F.lit("spool").alias("agent_id"), F.transform("items", lambda x: x["e"]).alias("entries"))).alias("value"))
+
+
 def daily_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One search request per (tenant, UTC day) present in events; the day of month picks
     the variant (level / service / text / page 2 / oversized page / bad times)."""

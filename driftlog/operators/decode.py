@@ -95,6 +95,19 @@ def _entry_struct(e: Column) -> Column:
     return F.struct(*[s(f) for f in ENTRY_STRING_FIELDS], *[t(f) for f in ENTRY_TIME_FIELDS], fields)
 
 
+def parsed_body(v: Column) -> Column:
+    """The one JSON value that a text is, as variant; NULL if it is none or several."""
+    # two parses decide "exactly one JSON value"; the array wrapper's only element is the value
+    arr = F.try_parse_json(F.concat(F.lit("["), v, F.lit("]")))
+    obj_ok = F.try_parse_json(F.concat(F.lit('{"a":'), v, F.lit("}"))).isNotNull()
+    return F.when(arr.isNotNull() & obj_ok, F.variant_get(arr, "$[0]", "variant"))
+
+
+def refused(parsed: str) -> Column:
+    """Why a parsed message (a variant column) is no batch, or NULL."""
+    return F.when(F.col(parsed).isNull(), F.lit("invalid JSON text")).otherwise(F.expr(_decode_reason(parsed)))
+
+
 def carried_columns(raw: DataFrame, value_col: str) -> list[str]:
     return [c for c in raw.columns if c not in (value_col, REJECTED)]
 
@@ -106,12 +119,7 @@ def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
     message with that detail. Other input columns are carried along."""
     carried = carried_columns(raw, value_col)
     x = raw.withColumn("__v", F.col(value_col).cast("string"))
-    # two parses decide "exactly one JSON value"; the array wrapper's only element is the value
-    arr = F.try_parse_json(F.concat(F.lit("["), F.col("__v"), F.lit("]")))
-    obj_ok = F.try_parse_json(F.concat(F.lit('{"a":'), F.col("__v"), F.lit("}"))).isNotNull()
-    x = x.withColumn("__p", F.when(arr.isNotNull() & obj_ok, F.variant_get(arr, "$[0]", "variant")))
-    x = x.withColumn("__why", F.when(F.col("__p").isNull(), F.lit("invalid JSON text")).otherwise(
-        F.expr(_decode_reason("__p"))))
+    x = x.withColumn("__p", parsed_body(F.col("__v"))).withColumn("__why", refused("__p"))
     if REJECTED in raw.columns:
         x = x.withColumn("__why", F.coalesce(REJECTED, "__why"))
     is_bad = F.col("__why").isNotNull()

@@ -61,6 +61,18 @@ class Finder:
         return pa.array(out, pa.list_(pa.int64()))
 
 
+def _find(held):
+    finder: list[Finder] = []  # one for each Python worker
+
+    @F.arrow_udf("array<long>")
+    def find(tenants: pa.Array, messages: pa.Array) -> pa.Array:
+        if not finder:
+            finder.append(Finder(held.value))
+        return finder[0].batch(tenants, messages)
+
+    return find
+
+
 def found_needles(entries: DataFrame, needles: DataFrame, tenant: str, message: str, out: str) -> DataFrame:
     """``entries`` with the ids of the needles (id, tenant, needle) of their tenant and of ``*`` in their folded
     message, one row for each. Entries are read once for every MAX_NEEDLE_CHARS of needles."""
@@ -75,15 +87,7 @@ def found_needles(entries: DataFrame, needles: DataFrame, tenant: str, message:
         by_tenant: dict[str, list[tuple[str, int]]] = {}
         for r in part.collect():  # bounded: one slice
             by_tenant.setdefault(r["tenant"], []).append((r["needle"], r["id"]))
-        held = spark.sparkContext.broadcast(by_tenant)
-        finder: list[Finder] = []
-
-        @F.arrow_udf("array<long>")
-        def find(tenants: pa.Array, messages: pa.Array, held=held, finder=finder) -> pa.Array:
-            if not finder:
-                finder.append(Finder(held.value))
-            return finder[0].batch(tenants, messages)
-
+        find = _find(spark.sparkContext.broadcast(by_tenant))
         rows = entries.withColumn(out, F.explode(find(F.col(tenant), F.col(message))))
         result = rows if result is None else result.unionByName(rows)
     return result

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from driftlog.functions.text import query_terms, text_match, tokens
 from driftlog.functions.timefmt import floor_second, parse_rfc3339
+from driftlog.operators.paging import page_at
 
 # Fixed values (must equal the reference): paging defaults and limits.
 DEFAULT_PAGE_SIZE = 100
@@ -25,8 +26,8 @@ MAX_PAGE_SIZE = 1000
 DEFAULT_SPAN = timedelta(hours=1)
 DEFAULT_HOT_DAYS = 30
 
-# Deepest row one request can address (Spark's offset/limit are 32-bit).
-MAX_OFFSET = (1 << 31) - 1
+# Rows before and in a page that one top-k holds, at most; deeper pages are selected by key range.
+DEEP_ROWS = 100_000
 
 # Request batches are broadcast only up to this many rows; beyond, a shuffle join.
 MAX_BROADCAST_REQUESTS = 100_000
@@ -126,19 +127,19 @@ def search(table: DataFrame, req: SearchRequest) -> tuple[DataFrame, Observation
     obs = Observation(f"search-{uuid.uuid4().hex}")
     has_date = "event_date" in table.columns
     has_terms = "message_terms" in table.columns
-    filtered = table.filter(request_predicate(req, has_date, has_terms)).observe(obs, F.count(F.lit(1)).alias("total"))
     offset = (req.page - 1) * req.page_size
-    if offset + req.page_size > MAX_OFFSET:
-        # deeper than Spark's offset can address: the page is empty, the total is counted
-        # (an empty plan would drop the observation)
-        unobserved = table.filter(request_predicate(req, has_date, has_terms))
-        return unobserved.limit(0), _CountedTotal(unobserved)
+    found = table.filter(request_predicate(req, has_date, has_terms))
+    if offset + req.page_size > DEEP_ROWS:
+        # a top-k would hold all rows before the page: the part of the time range that holds it is found first
+        keys = [F.unix_micros("event_timestamp"), F.unix_micros("ingest_timestamp")]
+        return page_at(found, keys, order_columns(), offset, req.page_size), _CountedTotal(found)
+    filtered = found.observe(obs, F.count(F.lit(1)).alias("total"))
     page = filtered.orderBy(*order_columns()).offset(offset).limit(req.page_size)
     return page, obs
 
 
 class _CountedTotal:
-    """Observation stand-in for pages too deep to address: ``get`` counts the matches."""
+    """Observation stand-in for deep pages: ``get`` counts the matches."""
 
     def __init__(self, df: DataFrame):
         self._df = df
@@ -179,6 +180,15 @@ def route_tier(requests: DataFrame, now: datetime, hot_days: int = DEFAULT_HOT_D
     )
 
 
+def search_tiers(hot: DataFrame, cold: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``search_many`` with each request against the tier it is routed to (the whole request goes to one)."""
+    (hot_page, hot_total), (cold_page, cold_total) = (
+        search_many(table, routed.where(F.col("tier") == tier)) for table, tier in ((hot, "hot"), (cold, "cold")))
+    shared = [c for c in cold_page.columns if c in hot_page.columns]  # each tier keeps what it prunes by
+    label = lambda page, tier: page.select(*shared, F.lit(tier).alias("tier"))
+    return label(hot_page, "hot").unionByName(label(cold_page, "cold")), hot_total.unionByName(cold_total)
+
+
 def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Answer a batch of routed requests at once: (page rows, totals per request), keyed by
     ``search_id`` (the request's ``request_id``; entries have a column of that name).
@@ -191,7 +201,9 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
     shuffle (window group limit); the total is a count per request.
     """
     day = F.col("event_date") if "event_date" in table.columns else F.to_date(F.col("event_timestamp"))
+    # terms are made once for each entry, not for each pair of an entry and a request
     terms = F.col("message_terms") if "message_terms" in table.columns else tokens(F.col("message"))
+    entries, terms = table.withColumn("__terms", terms), F.col("__terms")
     r = routed.select(
         F.col("request_id").alias("search_id"), F.col("tenant_id").alias("r_tenant"),
         F.col("service").alias("r_service"), F.col("level").alias("r_level"),
@@ -214,7 +226,7 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
         & ((F.col("r_level") == "") | (F.col("level") == F.col("r_level")))
         & ((F.col("r_q") == "") | F.arrays_overlap(terms, F.col("r_terms")))
     )
-    hits = table.join(r, cond, "inner")
+    hits = entries.join(r, cond, "inner").drop("__terms")
     # a constant bound on the rank enables the map-side top-k (WindowGroupLimit)
     w = Window.partitionBy("search_id").orderBy(*order_columns())
     ranked = hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= F.lit(int(kmax)))

@@ -10,25 +10,36 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlog import fixtures as fx
-from driftlog.operators.alerts import evaluate_rules
+from driftlog.functions.levels import extract_level
+from driftlog.operators.alerts import evaluate_rules, match_rules
+from driftlog.operators.bucketmaps import throttle_exact
 from driftlog.operators.decode import dead_letter, decode_batches
 from driftlog.operators.dedup import dedup_ttl
+from driftlog.operators.gateway import gateway
 from driftlog.operators.ingest import assemble_batches, authorize, parse_lines, stamp_ingest
 from driftlog.operators.normalise import normalise
+from driftlog.operators.numbering import number_within
+from driftlog.operators.paging import page_at
 from driftlog.operators.routing import route_keys
-from driftlog.operators.search import SearchRequest, route_tier, search, search_many
+from driftlog.operators.search import SearchRequest, order_columns, route_tier, search, search_many, search_tiers
+from driftlog.operators.seen import SeenIds
 from driftlog.operators.sessions import running_counter, session_counter
 from driftlog.operators.tail import tail_fanout
 from driftlog.operators.throttle import throttle
 from driftlog.plans.pipeline import process
 from driftlog.session import apply_conf, ensure_checkpoint_dir
-from driftlog.sources.archive import archive, read_archive
-from driftlog.sources.hot import last_write_wins, read_hot, upsert_hot
+from driftlog.schemas import BUS_MESSAGE
+from driftlog.sources.archive import archive, index_archive, read_archive
+from driftlog.sources.bus import file_source, normalized_rows
+from driftlog.sources.files import Folder, read_batch_files, read_lines, read_spool
+from driftlog.sources.hot import HotTable, last_write_wins, read_hot, upsert_hot
+from driftlog.streaming.pipeline import stream_pipeline
 
 # Parameters of the registered queries.
 DEDUP_TTL_S = 300
@@ -40,6 +51,7 @@ ARCHIVE_WRITE_TIME = datetime(2024, 2, 1, 10, 0, tzinfo=timezone.utc)
 ARCHIVE_PART = 7
 STAMP_TIME = datetime(2024, 3, 1, tzinfo=timezone.utc)
 SEARCH_NOW = datetime(2024, 1, 30, tzinfo=timezone.utc)
+COLD_HOURS = (datetime(2024, 1, 15, 22, 30, tzinfo=timezone.utc), datetime(2024, 1, 16, 1, 30, tzinfo=timezone.utc))
 FLAGSHIP_REQUEST = {"level": "ERROR", "service": "error", "from": "2024-01-01T00:00:00Z",
                     "to": "2024-01-31T00:00:00Z", "page": "1", "page_size": "100"}
 
@@ -222,7 +234,7 @@ def q_decode_batches(spark, d):
 
 def q_dead_letter(spark, d):
     spark = _spark(spark)
-    e, bad = decode_batches(fx.raw_batches(spark, d))
+    e, bad = decode_batches(fx.raw_batches(spark, d).unionByName(fx.damaged_batches(spark, d)))
     _, rejected = normalise(e)
     dl = dead_letter(bad, rejected)
     return dl.select(F.split("reason", ":")[0].alias("reason_kind"), "payload")
@@ -298,6 +310,145 @@ def q_pipeline(spark, d):
     return n.unionByName(dl).groupBy("output", "detail").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+def _scratch(spark, what: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def q_hot_generations(spark, d):
+    """Two overlapping generations, each written twice under its batch id, merged on read."""
+    spark = _spark(spark)
+    table = HotTable(spark, _scratch(spark, "generations"))
+    rows = normalised_entries(spark, d)
+    for _ in range(2):
+        table.append(rows.where("shift < 300"), batch_id=0)
+        table.append(rows.where("shift >= 300 or event_id % 5 = 0"), batch_id=1)
+    return table.read().select("tenant_id", F.date_format("event_date", "yyyy-MM-dd").alias("event_date"), "log_id", "message",
+                               us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
+
+
+def q_match_many(spark, d):
+    """A rule for every order against all entries: one automaton for each tenant's needles."""
+    spark = _spark(spark)
+    m = match_rules(normalised_entries(spark, d), fx.many_rules(spark, d))
+    return m.select("rule", "log_id", F.col("shift").cast("long").alias("shift"), "event_id")
+
+
+def q_throttle_overload(spark, d):
+    """One tenant with five times the requests it may make, spread over all partitions."""
+    spark = _spark(spark)
+    requests = fx.requests(spark, d).withColumn("tenant_id", F.lit("tenant-all"))
+    t = throttle_exact(requests, THROTTLE_RPS, order=["event_id"])
+    return t.select("request_id", F.col("admitted").cast("int").alias("admitted"), F.round(F.col("tokens_left") * 1_000_000).cast("long").alias("micro_tokens"))
+
+
+def q_dedup_batches(spark, d):
+    """The entries in three batches by arrival, each a run of its own that remembers the ids of those before."""
+    spark = _spark(spark)
+    seen = SeenIds(spark, _scratch(spark, "seen"), DEDUP_TTL_S)
+    rows = normalised_entries(spark, d)
+    # cuts of the arrival time; repeats fall on both sides of them
+    lo, hi = rows.agg(F.min(us("ingest_timestamp")), F.max(us("ingest_timestamp"))).first()
+    part = F.least(F.floor((us("ingest_timestamp") - lo) * 3 / F.lit(hi - lo + 1)), F.lit(2))
+    out = None
+    for k in range(3):
+        kept = seen.dedup(rows.where(part == k), k, order=["log_id", "shift"])
+        out = kept if out is None else out.unionByName(kept)
+    return out.select("log_id", "tenant_id", F.col("shift").cast("long").alias("shift"), "event_id", us("ingest_timestamp").alias("ingest_us"))
+
+
+def q_gateway(spark, d):
+    """Authorize, throttle, decode and stamp: a row for each entry of an accepted batch and each refused request."""
+    spark = _spark(spark)
+    responses, messages = gateway(fx.gateway_requests(spark, d), fx.api_keys(spark), THROTTLE_RPS)
+    no = F.lit(None)
+    refused = responses.where(F.col("status") != 202).select(
+        "request_id", "status", no.cast("string").alias("key"), no.cast("long").alias("position"), no.cast("string").alias("log_id"),
+        "tenant_id", no.cast("long").alias("ingest_us"))
+    return refused.unionByName(messages.select(
+        F.col("call_id").alias("request_id"), F.lit(202).alias("status"), "key", F.col("position").cast("long").alias("position"), "log_id", "tenant_id",
+        us("ingest_timestamp").alias("ingest_us")))
+
+
+def q_search_tiers(spark, d):
+    """The daily requests, each against its tier: the hot table or the archive."""
+    spark = _spark(spark)
+    rows = deduped_entries(spark, d).checkpoint(eager=True)
+    hot, cold = _scratch(spark, "tier-hot"), _scratch(spark, "tier-cold")
+    upsert_hot(rows, hot)
+    archive(rows, cold, ARCHIVE_WRITE_TIME)
+    page, _ = search_tiers(read_hot(spark, hot), read_archive(spark, cold), _routed(spark, d))
+    return page.select(F.col("search_id").alias("request_id"), "tier", "rank", "log_id", us("event_timestamp").alias("event_us"))
+
+
+def q_search_deep(spark, d):
+    """A page behind three quarters of a tenant's entries, found by selection and not by a top-k."""
+    spark = _spark(spark)
+    rows = deduped_entries(spark, d).where("tenant_id = 'tenant-1'").checkpoint(eager=True)
+    keys = [us("event_timestamp"), us("ingest_timestamp")]
+    page = page_at(rows, keys, order_columns(), rows.count() * 3 // 4, 100, most=200)
+    return page.select("log_id", "service", us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
+
+
+def q_cold_hours(spark, d):
+    """Three hours of event time from an archive by write day; the zone map tells which objects to open."""
+    spark = _spark(spark)
+    path = _scratch(spark, "zones")
+    archive(deduped_entries(spark, d), path, F.date_trunc("day", "ingest_timestamp"))
+    index_archive(spark, path)
+    rows = read_archive(spark, path, None, *COLD_HOURS).where(F.col("event_timestamp").between(*(F.lit(t) for t in COLD_HOURS)))
+    return rows.select("log_id", "tenant_id", "service", us("event_timestamp").alias("event_us"), us("ingest_timestamp").alias("ingest_us"))
+
+
+def q_normalized(spark, d):
+    """The normalized topic: key, value, time, and each message's place among those of its key."""
+    spark = _spark(spark)
+    path = _scratch(spark, "normalized")
+    out = process(fx.raw_batches(spark, d), parsed_once=True)
+    normalized_rows(out.entries).write.parquet(path)  # Kafka-shaped rows
+    bus = spark.read.schema(BUS_MESSAGE).parquet(path)
+    bus = bus.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), us("timestamp").alias("time_us"))
+    return number_within(bus, ["key"], ["time_us", "value"], out="position")
+
+
+def q_spool_replay(spark, d):
+    """Batches out of whole files: a plain spool and a compressed one, each file one message."""
+    spark = _spark(spark)
+    base = _scratch(spark, "spool")
+    files = fx.spool_files(spark, d)
+    plain, packed = files.where("part % 2 = 0"), files.where("part % 2 = 1")
+    plain.write.partitionBy("part").text(f"{base}/plain")
+    packed.write.partitionBy("part").option("compression", "gzip").text(f"{base}/packed")
+    raw = read_spool(spark, f"{base}/plain").withColumn("form", F.lit("plain")).unionByName(
+        read_batch_files(spark, f"{base}/packed").withColumn("form", F.lit("packed")))
+    e, _ = decode_batches(raw)
+    return e.select("form", F.col("position").cast("long").alias("position"), "agent_id", "log_id", "tenant_id", "service", "message")
+
+
+def q_file_lines(spark, d):
+    """Raw lines read back from files, with the level that each names."""
+    spark = _spark(spark)
+    path = _scratch(spark, "lines")
+    fx.raw_lines(spark, d).select("line").write.text(path)
+    return read_lines(spark, path).select("line", extract_level(F.col("line")).alias("level"))
+
+
+def q_stream_outputs(spark, d):
+    """The streaming pipeline over bus messages, run until they are used up: what lies in its four outputs."""
+    spark = _spark(spark)
+    base = _scratch(spark, "stream")
+    raw = fx.raw_batches(spark, d).unionByName(fx.damaged_batches(spark, d))
+    raw.select(F.lit("logs-raw").alias("topic"), F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
+               F.lit(STAMP_TIME).alias("timestamp")).repartition(3).write.parquet(f"{base}/raw")
+    query = stream_pipeline(file_source(spark, f"{base}/raw"), f"{base}/out", f"{base}/checkpoint", available_now=True)
+    query.awaitTermination()
+    bus = spark.read.parquet(f"{base}/out/normalized").select(F.lit("normalized").alias("output"), "key", "value")
+    dead = spark.read.parquet(f"{base}/out/dead_letter").select(F.lit("dead_letter").alias("output"), F.split("reason", ":")[0].alias("key"), F.col("payload").alias("value"))
+    hot = read_hot(spark, f"{base}/out/hot").select(F.lit("hot").alias("output"), F.col("tenant_id").alias("key"), F.col("log_id").alias("value"))
+    cold = [read_archive(spark, f"{base}/out/cold/{b}") for b in Folder(spark, f"{base}/out/cold").names("")]
+    cold = reduce(DataFrame.unionByName, cold).select(F.lit("cold").alias("output"), F.col("tenant_id").alias("key"), F.col("log_id").alias("value"))
+    return bus.unionByName(dead).unionByName(hot).unionByName(cold)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise": q_normalise,
     "dedup_ttl": q_dedup_ttl,
@@ -327,4 +478,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tail_frames": q_tail_frames,
     "archive_roundtrip": q_archive_roundtrip,
     "log_pipeline": q_pipeline,
+    "hot_generations": q_hot_generations,
+    "match_many": q_match_many,
+    "throttle_overload": q_throttle_overload,
+    "dedup_batches": q_dedup_batches,
+    "gateway": q_gateway,
+    "search_tiers": q_search_tiers,
+    "search_deep": q_search_deep,
+    "cold_hours": q_cold_hours,
+    "normalized": q_normalized,
+    "spool_replay": q_spool_replay,
+    "file_lines": q_file_lines,
+    "stream_outputs": q_stream_outputs,
 }

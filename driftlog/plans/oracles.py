@@ -233,6 +233,36 @@ ENTRY_JSON = ("'{\"log_id\":' || to_json(log_id) || ',\"tenant_id\":' || to_json
               "',\"message\":' || to_json(message) || ',\"event_timestamp\":' || " + _ts_json("event_us") +
               " || ',\"ingest_timestamp\":' || " + _ts_json("ingest_us") + " || '}'")
 
+# dead letters: the edge texts, what was damaged by row (0 cut, 1 a bad time, 2 a number for a string, 3 no
+# tenant), and entries without tenant or message
+DEAD = f"""edges(batch_id, value) AS (VALUES {EDGE_VALUES}),
+dmg AS (SELECT 'd' || conv_id::VARCHAR || '-' || turn::VARCHAR AS id, to_json(text)::VARCHAR AS t, (conv_id * 7 + turn) % 40 AS kind
+  FROM conversations WHERE (conv_id * 7 + turn) % 40 < 4),
+dead AS (
+  SELECT 'unmarshal error' AS reason_kind,
+    CASE WHEN batch_id IN ({", ".join(_q(i) for i in _EDGE_NOT_JSON)}) THEN to_json(value)::VARCHAR ELSE value END AS payload
+  FROM edges WHERE batch_id IN ({", ".join(_q(i) for i in _EDGE_BAD)})
+  UNION ALL
+  SELECT CASE WHEN kind = 3 THEN 'normalise failed' ELSE 'unmarshal error' END,
+    CASE kind WHEN 0 THEN to_json('{{"entries":[{{"message":' || t)::VARCHAR
+      WHEN 1 THEN '{{"entries":[{{"message":' || t || ',"event_timestamp":"yesterday"}}]}}'
+      WHEN 2 THEN '{{"entries":[{{"tenant_id":7,"message":' || t || '}}]}}'
+      ELSE '{{"log_id":"' || id || '","tenant_id":"","service":"","host":"","environment":"","level":"","message":' || t ||
+        ',"event_timestamp":"0001-01-01T00:00:00Z","ingest_timestamp":"0001-01-01T00:00:00Z"}}' END
+  FROM dmg
+  UNION ALL
+  SELECT 'normalise failed', ({ENTRY_JSON})::VARCHAR FROM dec WHERE tenant_id = '' OR message = '')"""
+
+# accepted entries as they leave: level upper-cased and trimmed, event time from the arrival where it is missing
+VALID = f"""okd AS (
+  SELECT batch_id, position, log_id, tenant_id, service, host, environment,
+    CASE WHEN {_trim('level')} = '' THEN 'INFO' ELSE upper({_trim('level')}) END AS level, message,
+    coalesce(event_us, ingest_us) AS event_us, ingest_us FROM dec WHERE tenant_id <> '' AND message <> ''),
+bus AS (
+  SELECT tenant_id, log_id, tenant_id || '|' || service AS key, ingest_us AS time_us,
+    CASE WHEN log_id = 'edge-ok' THEN left(({ENTRY_JSON})::VARCHAR, -1) || ',"fields":{{"a":"b","c":""}}}}' ELSE ({ENTRY_JSON})::VARCHAR END AS value
+  FROM okd)"""
+
 ORACLES: dict[str, str] = {
     "normalise": BASE + """
 SELECT log_id, tenant_id, service, level, message, event_us, ingest_us, shift, event_id FROM nv""",
@@ -329,13 +359,8 @@ FROM ab""",
 SELECT batch_id, position, agent_id, log_id, tenant_id, service, level, message, event_us, ingest_us FROM dec""",
 
     "dead_letter": "WITH " + DECODED + f""",
-edges(batch_id, value) AS (VALUES {EDGE_VALUES})
-SELECT 'unmarshal error' AS reason_kind,
-  CASE WHEN batch_id IN ({", ".join(_q(i) for i in _EDGE_NOT_JSON)}) THEN to_json(value)::VARCHAR ELSE value END AS payload
-FROM edges WHERE batch_id IN ({", ".join(_q(i) for i in _EDGE_BAD)})
-UNION ALL
-SELECT 'normalise failed' AS reason_kind, ({ENTRY_JSON})::VARCHAR AS payload
-FROM dec WHERE tenant_id = '' OR message = ''""",
+{DEAD}
+SELECT reason_kind, payload FROM dead""",
 
     "authorize": """
 WITH reqs AS (
@@ -439,3 +464,108 @@ UNION ALL
 SELECT 'dead_letter', 'unmarshal error', count(*)::BIGINT FROM edges
 UNION ALL
 SELECT 'dead_letter', 'normalise failed', count(*)::BIGINT FROM dec WHERE NOT (tenant_id <> '' AND message <> '')"""
+
+ORACLES["hot_generations"] = BASE + """,
+gens AS (SELECT *, 0 AS gen FROM nv WHERE shift < 300 UNION ALL SELECT *, 1 FROM nv WHERE shift >= 300 OR event_id % 5 = 0)
+SELECT tenant_id, strftime(CAST(make_timestamp(event_us) AS DATE), '%Y-%m-%d') AS event_date, log_id, message, event_us, ingest_us
+FROM gens
+QUALIFY log_id = '' OR row_number() OVER (
+  PARTITION BY tenant_id, CAST(make_timestamp(event_us) AS DATE), log_id ORDER BY gen DESC, ingest_us DESC) = 1"""
+
+ORACLES["match_many"] = BASE + """,
+many AS (
+  SELECT 'o' || o_orderkey::VARCHAR AS rule,
+    CASE WHEN o_orderkey % 5 = 0 THEN '*' ELSE 'tenant-' || (o_custkey % 4)::VARCHAR END AS rtenant,
+    CASE o_orderkey % 3 WHEN 0 THEN 'ERROR' WHEN 1 THEN 'INFO' ELSE '' END AS rlevel,
+    ' k=' || o_orderkey::VARCHAR AS needle
+  FROM orders),
+msgs AS (SELECT DISTINCT tenant_id, level, message FROM nv),
+hit AS (
+  SELECT m.*, r.rule FROM msgs m JOIN many r
+    ON (r.rtenant = '*' OR r.rtenant = m.tenant_id) AND (r.rlevel = '' OR r.rlevel = m.level) AND contains(lower(m.message), r.needle))
+SELECT h.rule, n.log_id, n.shift, n.event_id FROM nv n JOIN hit h
+  ON h.tenant_id = n.tenant_id AND h.level = n.level AND h.message = n.message"""
+
+# in millionths of a token: every request refills what the time since the last one brings, cut to a full bucket
+_FULL = cat.THROTTLE_RPS * 1_000_000
+_STEP = f"least(b.left_ + (q.ts_us - b.ts_us) * {cat.THROTTLE_RPS}, {_FULL})"
+ORACLES["throttle_overload"] = f"""
+WITH RECURSIVE rq AS (SELECT event_id, event_id * 20000 AS ts_us, row_number() OVER (ORDER BY event_id * 20000, event_id) AS rn FROM events),
+b(rn, event_id, ts_us, left_, admitted) AS (
+  SELECT rn, event_id, ts_us, {_FULL} - 1000000, 1 FROM rq WHERE rn = 1
+  UNION ALL
+  SELECT q.rn, q.event_id, q.ts_us, CASE WHEN {_STEP} >= 1000000 THEN {_STEP} - 1000000 ELSE {_STEP} END,
+    CASE WHEN {_STEP} >= 1000000 THEN 1 ELSE 0 END
+  FROM b JOIN rq q ON q.rn = b.rn + 1)
+SELECT 'r' || event_id::VARCHAR AS request_id, admitted::INTEGER AS admitted, left_::BIGINT AS micro_tokens FROM b"""
+
+ORACLES["dedup_batches"] = BASE + """
+SELECT log_id, tenant_id, shift, event_id, ingest_us FROM dd"""
+
+ORACLES["gateway"] = f"""
+WITH RECURSIVE keys(tenant_id, api_key) AS (VALUES {", ".join(f"({_q(t)}, {_q(k)})" for t, k in fx.API_KEYS)}),
+rq0 AS (
+  SELECT event_id, event_type, 'r' || event_id::VARCHAR AS request_id, 'tenant-' || (user_id % 4)::VARCHAR AS tenant_id,
+    event_id * 20000 AS ts_us, CASE WHEN event_id % 10 = 0 THEN 'wrong' ELSE 'k' || (user_id % 4)::VARCHAR END AS api_key
+  FROM events),
+rq AS (
+  SELECT r.*, row_number() OVER (PARTITION BY r.tenant_id ORDER BY ts_us, request_id) AS rn
+  FROM rq0 r JOIN keys k ON k.tenant_id = r.tenant_id AND k.api_key = r.api_key),
+b(tenant_id, rn, ts_us, tokens, admitted) AS (
+  SELECT tenant_id, rn, ts_us, ({_RPS} - 1)::DOUBLE, 1 FROM rq WHERE rn = 1
+  UNION ALL
+  SELECT q.tenant_id, q.rn, q.ts_us, CASE WHEN {_REFILL} >= 1 THEN {_REFILL} - 1 ELSE {_REFILL} END, CASE WHEN {_REFILL} >= 1 THEN 1 ELSE 0 END
+  FROM b JOIN rq q ON q.tenant_id = b.tenant_id AND q.rn = b.rn + 1),
+st AS (
+  SELECT r.*, CASE WHEN b.rn IS NULL THEN 401 WHEN b.admitted = 0 THEN 429 WHEN r.event_id % 11 = 0 THEN 400 ELSE 202 END::INTEGER AS status
+  FROM rq0 r LEFT JOIN rq q ON q.event_id = r.event_id LEFT JOIN b ON b.tenant_id = q.tenant_id AND b.rn = q.rn)
+SELECT request_id, status, NULL::VARCHAR AS key, NULL::BIGINT AS position, NULL::VARCHAR AS log_id, tenant_id, NULL::BIGINT AS ingest_us
+FROM st WHERE status <> 202
+UNION ALL
+SELECT request_id, status, tenant_id || '|' || event_type, position, 'e' || event_id::VARCHAR, tenant_id, ts_us
+FROM (SELECT *, unnest(range(CASE WHEN event_id % 12 = 0 THEN 2 ELSE 1 END))::BIGINT AS position FROM st WHERE status = 202)"""
+
+ORACLES["search_tiers"] = BASE + "," + REQUESTS + """,
+lww AS (
+  SELECT * FROM dd
+  QUALIFY log_id = '' OR row_number() OVER (
+    PARTITION BY tenant_id, CAST(make_timestamp(event_us) AS DATE), log_id ORDER BY ingest_us DESC, log_id DESC) = 1),
+thits AS (
+  SELECT h.*, r.tier FROM hits h JOIN routed2 r ON r.request_id = h.request_id
+  WHERE r.tier = 'cold' OR EXISTS (SELECT 1 FROM lww l WHERE l.event_id = h.event_id AND l.shift = h.shift)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY request_id
+      ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host) AS rank FROM thits)
+SELECT request_id, tier, rank::BIGINT AS rank, log_id, event_us FROM ranked
+WHERE rank > (page_no - 1) * size AND rank <= page_no * size"""
+
+ORACLES["search_deep"] = BASE + """
+SELECT log_id, service, event_us, ingest_us FROM (
+  SELECT *, row_number() OVER (ORDER BY event_us DESC, ingest_us DESC, log_id, service, level, message, host) AS rn,
+    count(*) OVER () AS n FROM dd WHERE tenant_id = 'tenant-1')
+WHERE rn > n * 3 // 4 AND rn <= n * 3 // 4 + 100"""
+
+ORACLES["cold_hours"] = BASE + f"""
+SELECT log_id, tenant_id, service, event_us, ingest_us FROM dd
+WHERE event_us BETWEEN epoch_us(TIMESTAMPTZ '{cat.COLD_HOURS[0].isoformat()}') AND epoch_us(TIMESTAMPTZ '{cat.COLD_HOURS[1].isoformat()}')"""
+
+ORACLES["normalized"] = "WITH " + DECODED + f""",
+{VALID}
+SELECT key, value, time_us, row_number() OVER (PARTITION BY key ORDER BY time_us NULLS FIRST, value)::BIGINT AS position FROM bus"""
+
+ORACLES["spool_replay"] = """
+SELECT CASE WHEN (conv_id % 61) % 2 = 0 THEN 'plain' ELSE 'packed' END AS form,
+  (row_number() OVER (PARTITION BY conv_id % 61 ORDER BY conv_id, turn) - 1)::BIGINT AS position, 'spool' AS agent_id,
+  conv_id::VARCHAR || '-' || turn::VARCHAR AS log_id, 'tenant-' || (conv_id % 4)::VARCHAR AS tenant_id, role AS service, text AS message
+FROM conversations"""
+
+ORACLES["file_lines"] = "WITH " + LINES + """
+SELECT message AS line, level FROM ple"""
+
+ORACLES["stream_outputs"] = "WITH " + DECODED + f""",
+{DEAD},
+{VALID}
+SELECT 'normalized' AS output, key, value FROM bus
+UNION ALL SELECT 'dead_letter', reason_kind, payload FROM dead
+UNION ALL SELECT 'hot', tenant_id, log_id FROM bus
+UNION ALL SELECT 'cold', tenant_id, log_id FROM bus"""
