@@ -46,6 +46,8 @@ def page_at(rows: DataFrame, keys: list[Column], order: list[Column], offset: in
     numbers, nulls last)."""
     for key in keys:
         rows, offset, left, single = _narrow(rows, key, offset, size, most)
+        if offset >= left:  # past the end
+            return rows.limit(0)
         if left <= most:
             return rows.orderBy(*order).offset(offset).limit(size)
         if not single:

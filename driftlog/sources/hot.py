@@ -81,15 +81,15 @@ class HotTable:
     # -- manifest: {"version", "next", "live": [generation], "hidden": {generation: [day]}, "batches": {writer: [[from, to]]}}
 
     def manifest(self) -> dict:
-        names = self.folder.names("manifest")
+        names = self.folder.names("_manifest")
         if not names:
             return {"version": 0, "next": 0, "live": [], "hidden": {}, "batches": {}}
-        return json.loads(self.folder.text(f"manifest/{max(names)}"))
+        return json.loads(self.folder.text(f"_manifest/{max(names)}"))
 
     def _commit(self, m: dict) -> None:
         m["version"] += 1
         # a file that appears whole or not at all, and never over another writer's
-        self.folder.create(f"manifest/{m['version']:020d}.json", json.dumps(m))
+        self.folder.create(f"_manifest/{m['version']:020d}.json", json.dumps(m))
 
     def holds(self, batch_id: int, writer: str = "batch") -> bool:
         return any(a <= batch_id <= b for a, b in self.manifest()["batches"].get(writer, []))
@@ -141,10 +141,10 @@ class HotTable:
 
     def vacuum(self, keep: int = 2) -> None:
         """Delete all but the last ``keep`` manifests, and the generations that none of those names."""
-        names = sorted(self.folder.names("manifest"))
-        held = {g for n in names[-keep:] for g in json.loads(self.folder.text(f"manifest/{n}"))["live"]}
+        names = sorted(self.folder.names("_manifest"))
+        held = {g for n in names[-keep:] for g in json.loads(self.folder.text(f"_manifest/{n}"))["live"]}
         for n in names[:-keep]:
-            self.folder.delete(f"manifest/{n}")
+            self.folder.delete(f"_manifest/{n}")
         for d in self.folder.names("data"):
             if d.startswith(f"{GENERATION}=") and d.split("=", 1)[1] not in held:
                 self.folder.delete(f"data/{d}")

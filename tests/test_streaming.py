@@ -10,9 +10,11 @@ from driftlog.operators.alerts import evaluate_rules
 from driftlog.operators.dedup import dedup_ttl
 from driftlog.plans.catalog import normalised_entries
 from driftlog.plans.pipeline import process
+from driftlog.sources.hot import read_hot
 from driftlog.streaming.pipeline import file_source, stream_pipeline
 from driftlog.streaming.stateful import alerts_stream, dedup_stream
 from tests.conftest import SF001
+from tests.helpers import at
 
 
 def _by_day_files(df, path, col="ingest_timestamp"):
@@ -81,7 +83,7 @@ def test_stream_pipeline_equals_batch(spark, tmp_path):
     batch = process(raw)
     assert spark.read.parquet(f"{out}/normalized").count() == batch.entries.count()
     assert spark.read.parquet(f"{out}/dead_letter").count() == batch.dead.count() == 20
-    hot = spark.read.parquet(f"{out}/hot")
+    hot = read_hot(spark, f"{out}/hot")
     assert hot.count() == batch.entries.count()
     from driftlog.sources.archive import read_archive
     assert read_archive(spark, f"{out}/cold").count() == batch.entries.count()
@@ -99,7 +101,7 @@ def test_batch_pipeline_run_is_idempotent(spark, tmp_path):
     assert first == again and first["dead_letter"] == 20
     n = process(raw).entries.count()
     assert first["normalized"] == n
-    assert spark.read.parquet(f"{out}/hot").count() == n
+    assert read_hot(spark, f"{out}/hot").count() == n
     from driftlog.sources.archive import read_archive
     assert read_archive(spark, f"{out}/cold").count() == n
 
@@ -131,6 +133,78 @@ def test_stream_pipeline_dedups_across_micro_batches(spark, tmp_path):
         ("", "2024-01-01 00:00:00"), ("", "2024-01-01 00:04:59"), ("a", "2024-01-01 00:00:00"),
         ("a", "2024-01-01 00:05:00")]
     # the hot table keeps the last write per (tenant, day, id)
-    hot = {(r.log_id, str(r.ingest_timestamp)) for r in spark.read.parquet(f"{out}/hot").collect()}
+    hot = {(r.log_id, str(r.ingest_timestamp)) for r in read_hot(spark, f"{out}/hot").collect()}
     assert ("a", "2024-01-01 00:05:00") in hot and ("a", "2024-01-01 00:00:00") not in hot
     assert spark.read.parquet(f"{out}/dead_letter").count() == 1
+
+
+# ---- transformWithState
+
+
+def _split(spark, df, col, n, path, seed):
+    """The rows in order of ``col``, cut at random into ``n`` micro-batches."""
+    import random
+
+    rows = df.orderBy(col).collect()
+    cuts = [0, *sorted(random.Random(seed).sample(range(1, len(rows)), n - 1)), len(rows)]
+    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        spark.createDataFrame(rows[lo:hi], df.schema).coalesce(1).write.parquet(f"{path}/p={k:03d}")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/*")
+
+
+def test_throttle_stream_equals_batch(spark, tmp_path):
+    from driftlog.operators.throttle import throttle
+    from driftlog.streaming.keyed import throttle_stream
+
+    untimed = spark.createDataFrame([("none", "tenant-1", "k1", None, -1)], fx.requests(spark, SF001).schema)
+    requests = fx.requests(spark, SF001).unionByName(untimed)
+    columns = ["request_id", "admitted", "tokens_left"]
+    name = "tb_" + uuid.uuid4().hex[:8]
+    _run(throttle_stream(_split(spark, requests, "ts", 3, str(tmp_path / "rq"), 5), 10, order=["request_id"]), name, str(tmp_path / "ck"))
+    want = throttle(requests, 10, order=["request_id"])
+    assert sorted(map(str, spark.table(name).select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+
+
+def test_running_counter_stream_equals_batch(spark, tmp_path):
+    from driftlog.operators.sessions import running_counter
+    from driftlog.streaming.keyed import running_counter_stream
+
+    entries = dedup_ttl(normalised_entries(spark, SF001), 300, order=["log_id", "shift"])
+    keys, order = ["tenant_id", "service"], ["log_id", "shift"]
+    columns = ["log_id", "shift", "event_id", "counter", "session_start"]
+    name = "rc_" + uuid.uuid4().hex[:8]
+    stream = running_counter_stream(_split(spark, entries, "ingest_timestamp", 3, str(tmp_path / "e"), 6), keys, "ingest_timestamp", 600, order=order)
+    _run(stream, name, str(tmp_path / "ck"))
+    want = running_counter(entries, keys, "ingest_timestamp", 600, order=order)
+    assert sorted(map(str, spark.table(name).select(columns).collect())) == sorted(map(str, want.select(columns).collect()))
+
+
+def test_state_goes_after_the_retention_time(spark, tmp_path):
+    """A bucket by time to live, a counter by its timer: a key that was silent starts anew."""
+    import time
+
+    from driftlog.streaming.keyed import running_counter_stream, throttle_stream
+
+    schema = "k string, ts timestamp, n int"
+    path = str(tmp_path / "in")
+    batch = lambda k: spark.createDataFrame([("a", at(0), 3 * k + j) for j in range(3)], schema).coalesce(1).write.parquet(f"{path}/p={k}")
+    source = spark.readStream.schema(schema).parquet(f"{path}/*")
+    batch(0)
+    streams = {"rt": throttle_stream(source, 2, "k", "ts", ["n"], retention_seconds=2), "rk": running_counter_stream(source, ["k"], "ts", 60, ["n"], retention_seconds=2)}
+    queries = [s.writeStream.format("memory").queryName(n).option("checkpointLocation", str(tmp_path / n)).trigger(processingTime="1 second").start() for n, s in streams.items()]
+
+    def wait(rows):
+        for _ in range(120):
+            if all(spark.table(n).count() >= rows for n in streams):
+                return
+            time.sleep(1)
+        raise AssertionError([q.exception() for q in queries])
+
+    wait(3)
+    time.sleep(8)  # longer than the retention
+    batch(1)
+    wait(6)
+    for q in queries:
+        q.stop()
+    assert [r.admitted for r in spark.table("rt").orderBy("n").collect()] == [True, True, False] * 2
+    assert [r.counter for r in spark.table("rk").orderBy("n").collect()] == [1, 2, 3] * 2
