@@ -1,6 +1,8 @@
 """MinHash near-duplicates: improved consistent weighted sampling over TF-IDF shingles.
 
-Shingles are runs of five words (a text of one to four words is one shingle). A shingle's weight is
+Shingles are runs of five words (a text of one to four words is one shingle). Words are runs of letters, digits
+and non-ASCII characters, with A-Z folded, so a copy in other case or punctuation is a copy; a text of marks alone
+has the words between its spaces. A shingle's weight is
 its count in the text times ``1 + ln(N/df) / ln(1/RARE)``, cut to [1, 2]: the document frequency is
 taken relative to the corpus, so weights mean the same at every size. Frequencies are counted over all
 documents in a count-min sketch of fixed size, whose error is about RARE * N documents; anything rarer
@@ -53,12 +55,28 @@ SEGMENT_BITS = 15
 _ID_BITS = 44
 _ID_MASK = tk.U64((1 << _ID_BITS) - 1)
 _SLOTS = 1 << 16
+#: Bytes between words: all ASCII but letters and digits.
+_MARK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+
+
+def words(c: tk.Chunk) -> tuple[tk.Runs, np.ndarray]:
+    """The words of a chunk, folded, and their hashes: runs of letters and digits; of a text without any, what
+    stands between spaces."""
+    folded = c._replace(data=tk.LOWER[c.data])
+    w = tk.runs(folded, _MARK)
+    bare = np.bincount(w.doc, minlength=c.n) == 0
+    if bare.any():
+        rest = tk.runs(folded, tk.SPACE)
+        mine = bare[rest.doc]
+        merged = [np.concatenate((a, b[mine])) for a, b in zip(w, rest, strict=True)]
+        order = np.argsort(merged[0], kind="stable")
+        w = tk.Runs(*(x[order] for x in merged))
+    return w, tk.run_hashes(folded.data, w)
 
 
 def shingles(c: tk.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, tk.Runs, np.ndarray]:
     """Distinct shingles of a chunk's texts: (text, shingle, count) in order of both, and the words with their hashes."""
-    w = tk.runs(c, tk.SPACE)
-    h = tk.run_hashes(c.data, w)
+    w, h = words(c)
     key, doc = tk.windows(h, w.doc, WIDTH, short=True)
     both = np.sort((doc.astype(tk.U64) << tk.U64(_ID_BITS)) | (key >> tk.U64(64 - _ID_BITS)))
     first = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1]))) if len(both) else np.empty(0, np.int64)
