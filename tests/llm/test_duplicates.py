@@ -147,3 +147,57 @@ def test_cap_plan_grows_with_the_vectors():
     few, many = vectors.plan_caps(1_000, 64), vectors.plan_caps(10_000_000, 64)
     assert many.words > few.words and many.height > few.height
     assert abs(vectors.upper_tail(vectors.cap_height(0.01, 64) * 8) - 0.01) < 1e-9
+
+
+def plain_sets(rows):
+    """Weighted shingle sets in plain Python, with exact document frequencies."""
+    import math
+    import re
+
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"(?:[0-9a-z]|[^\x00-\x7f])+", "".join(c.lower() if c.isascii() else c for c in text or "")) or re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        sets.append(collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter())
+    df = collections.Counter(k for s in sets for k in s)
+    idf = {k: 1 + min(1.0, max(0.0, math.log(len(rows) / n) / math.log(1 / neardup.RARE))) for k, n in df.items()}
+    return [{k: n * idf[k] for k, n in s.items()} for s in sets]
+
+
+def test_recall_and_precision_against_plain_python(documents, spark):
+    """Every pair of 0.8 or more by an independent measure, near copies among them: 0.9 of them at least are found."""
+    from tests.conftest import SF01
+
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect()]
+    sets = plain_sets(rows)
+    holders = collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for k in s:
+            holders[k].append(i)
+    pairs = {(a, b) for v in holders.values() for x, b in enumerate(v) for a in v[:x]}
+
+    def similar(a, b):
+        least = sum(min(w, sets[b][k]) for k, w in sets[a].items() if k in sets[b])
+        return least / (sum(sets[a].values()) + sum(sets[b].values()) - least)
+
+    score = {p: similar(*p) for p in pairs}
+    group = {r["doc_id"]: r["cluster_id"] for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    together = lambda p: group[rows[p[0]][0]] == group[rows[p[1]][0]]
+    near = [p for p, j in score.items() if 0.8 <= j < 0.999]
+    same = [p for p, j in score.items() if j >= 0.999]
+    assert len(near) > 10 and len(same) > 10
+    assert all(map(together, same)) and sum(map(together, near)) >= 0.9 * len(near)
+    # no document is alone with others that it is not near to: each member of a group has a partner of about 0.8 in it
+    best = collections.defaultdict(float)
+    for p, j in score.items():
+        if together(p):
+            for x in p:
+                best[x] = max(best[x], j)
+    sizes = collections.Counter(group.values())
+    assert all(best[i] > 0.75 for i, r in enumerate(rows) if sizes[group[r[0]]] > 1)
+
+
+def test_copies_in_other_case_and_punctuation_and_of_marks_alone(spark):
+    base = " ".join(f"Word{k} x{k}." for k in range(30))
+    rows = [(1, base), (2, base.lower().replace(".", ",")), (3, "!!! ### ~~~ !!! ###"), (4, "!!! ### ~~~ !!! ###"), (5, "--- ==="), (6, "")]
+    got = {r["doc_id"]: (r["cluster_id"], r["kept"]) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, True), 2: (1, False), 3: (3, True), 4: (3, False), 5: (5, True), 6: (6, True)}
