@@ -224,8 +224,8 @@ def labelled_stats(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_L
         .limit(max_labelled)
     )
     picked = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"))
-    rows = text_stats(picked).select("_bad", *(v.alias(k) for k, v in features().items()))
-    data = rows.limit(4 * max_labelled).toPandas()
+    rows = text_stats(picked).select("_id", F.struct("_bad", *(v.alias(k) for k, v in features().items())).alias("_row"))
+    data = rows.groupBy("_id").agg(F.min("_row").alias("_row")).select("_row.*").toPandas()  # of rows with one id, one
     order = np.lexsort([data[k].to_numpy() for k in data.columns])  # the split must not depend on row order
     x = {k: data[k].to_numpy(float)[order] for k in features()}
     return x, data["_bad"].to_numpy(bool)[order]

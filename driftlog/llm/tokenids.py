@@ -46,7 +46,8 @@ from driftlog.llm.common import ready, shared_path
 
 VOCAB = "word_bpe_49k.json"
 END_ID = 2
-#: The dictionary is trained on at most so many documents (least hashes of their ids), so many ids of each.
+#: The dictionary is trained on at most so many documents (least hashes of their ids), on one window of at most so
+#: many ids of each, at a place that a hash of the document's id picks.
 DICT_DOCS, DICT_IDS, DICT_BYTES = 2_000, 2_048, 64 << 10
 LEVEL = 3
 SHARD_BYTES = 4 << 20
@@ -171,13 +172,18 @@ def train_dictionary(docs: DataFrame, vocab: str = VOCAB, end_id: int = END_ID,
     ready(docs.sparkSession)
 
     @F.arrow_udf("binary")
-    def sample(x: pa.Array) -> pa.Array:
+    def sample(x: pa.Array, pick: pa.Array) -> pa.Array:
         enc = WordEncoder(vocab)
-        return pa.array([ids[:DICT_IDS].tobytes() for ids in encoded(x, enc, end_id)], pa.binary())
-
-    ids = docs.select("doc_id").where(F.col("doc_id").isNotNull()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs)
-    picked = docs.select("doc_id", "text").join(F.broadcast(ids.withColumnRenamed("doc_id", "_id").distinct()), F.col("doc_id") == F.col("_id"))
-    rows = picked.select("doc_id", sample("text").alias("b")).limit(2 * max_docs).collect()
+        out = []
+        for ids, k in zip(encoded(x, enc, end_id), pick.to_pylist(), strict=True):
+            at = k % max(1, len(ids) - DICT_IDS + 1)
+            out.append(ids[at : at + DICT_IDS].tobytes())
+        return pa.array(out, pa.binary())
+
+    ids = docs.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(max_docs)
+    picked = docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+    place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 40))
+    rows = picked.select("doc_id", sample("text", place).alias("b")).groupBy("doc_id").agg(F.min("b").alias("b")).collect()  # one for each id
     samples = [bytes(r["b"]) for r in sorted(rows, key=lambda r: (r["doc_id"], bytes(r["b"])))]
     return _dictionary(samples).as_bytes()
 
