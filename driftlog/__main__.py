@@ -50,6 +50,14 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--out", required=True)
     a.add_argument("--rules", required=True, help="JSON list of rule objects")
     a.add_argument("--result", required=True, help="folder for the alert rows (Parquet)")
+    c = sub.add_parser("compact", help="merge the hot table's generations into one, index its terms, delete old ones")
+    c.add_argument("--out", required=True)
+    b = sub.add_parser("batches", help="line files -> JSON batches, one file for each (as ``pipeline`` reads them)")
+    for name in ("lines", "out", "agent", "tenant", "service"):
+        b.add_argument(f"--{name}", required=True)
+    b.add_argument("--host", default="")
+    b.add_argument("--environment", default="")
+    b.add_argument("--size", type=int, default=100)
     args = ap.parse_args(argv)
 
     spark = _spark()
@@ -72,13 +80,16 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "search":
         from driftlog.operators.search import SearchRequest, run_search
         from driftlog.sources.archive import read_archive
-        from driftlog.sources.hot import read_hot
+        from driftlog.sources.hot import HotTable
 
         params = {k: getattr(args, k.replace("-", "_")) for k in ("service", "level", "q", "from", "to", "page")}
         params["page_size"] = args.page_size
         req = SearchRequest.parse(args.tenant, params, now)
-        table = (read_hot(spark, f"{args.out}/hot") if req.tier(now, args.hot_days) == "hot"
-                 else read_archive(spark, f"{args.out}/cold", tenant=args.tenant))
+        if req.tier(now, args.hot_days) == "hot":
+            hot = HotTable(spark, f"{args.out}/hot")
+            table = hot.read_terms(req.terms) if req.q else hot.read()
+        else:
+            table = read_archive(spark, f"{args.out}/cold", tenant=args.tenant)
         print(json.dumps(run_search(table, req), default=str))
     elif args.cmd == "alerts":
         from driftlog.operators.alerts import evaluate_rules
@@ -90,6 +101,28 @@ def main(argv: list[str] | None = None) -> int:
         alerts = evaluate_rules(read_hot(spark, f"{args.out}/hot"), rules)
         alerts.write.mode("overwrite").parquet(args.result)
         print(json.dumps({"alerts": spark.read.parquet(args.result).count()}))
+    elif args.cmd == "compact":
+        from driftlog.sources.hot import HotTable
+
+        table = HotTable(spark, f"{args.out}/hot")
+        table.compact()
+        table.index_terms()
+        table.vacuum()
+        print(json.dumps({"generations": len(table.manifest()["live"])}))
+    elif args.cmd == "batches":
+        from pyspark.sql import functions as F
+
+        from driftlog.operators.ingest import assemble_batches, parse_lines
+        from driftlog.sources.files import read_lines
+
+        lines = read_lines(spark, args.lines).withColumns({
+            "agent_id": F.lit(args.agent), "ts": F.lit(now), "__line_no": F.monotonically_increasing_id()}).checkpoint(eager=True)
+        entries = parse_lines(lines, args.tenant, args.service, args.host, args.environment)
+        out = assemble_batches(entries, args.size, order=["source_file", "__line_no"], sent_at=F.lit(now))
+        value = F.to_json(F.struct("agent_id", "entries", "sent_at"), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+        out.select("batch_no", value.alias("value")).repartition("batch_no").write.mode("overwrite") \
+            .option("partitionOverwriteMode", "static").partitionBy("batch_no").text(args.out)
+        print(json.dumps({"batches": spark.read.text(args.out).count()}))
     return 0
 
 

@@ -9,6 +9,8 @@ A read takes the live generations and keeps, per document id within a tenant's d
 generation (then of the latest arrival). The keys of that merge are the partition columns and the id,
 so filters on tenant and day prune partitions below it. ``compact`` merges days into one new generation and
 hides them in the older ones; ``vacuum`` deletes what no manifest names any more. There is one writer.
+``index_terms`` notes which files hold which term of the messages, so that a search for a rare term in a
+compacted table opens few files.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import datetime as dt
 import json
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +32,8 @@ PARTITION_COLUMNS = ["tenant_id", "event_date"]
 GENERATION = "generation"
 #: Rows that one array of a repeated row stands for, at most.
 REPEAT = 4_096
+#: Partitions of the index of terms.
+TERM_BUCKETS = 64
 
 # Read with an explicit schema: partition values are never type-inferred, so a tenant id
 # such as "007" stays the string "007".
@@ -145,18 +149,41 @@ class HotTable:
         held = {g for n in names[-keep:] for g in json.loads(self.folder.text(f"_manifest/{n}"))["live"]}
         for n in names[:-keep]:
             self.folder.delete(f"_manifest/{n}")
-        for d in self.folder.names("data"):
-            if d.startswith(f"{GENERATION}=") and d.split("=", 1)[1] not in held:
-                self.folder.delete(f"data/{d}")
+        for top in ("data", "_terms"):
+            for d in self.folder.names(top):
+                if d.startswith(f"{GENERATION}=") and d.split("=", 1)[1] not in held:
+                    self.folder.delete(f"{top}/{d}")
 
     # -- reading
 
-    def read(self) -> DataFrame:
-        """The rows of the table, merged over its live generations."""
+    def index_terms(self) -> None:
+        """Write which files hold which term, for the live generations that have no such index yet."""
+        for g in self.manifest()["live"]:
+            if self.folder.exists(f"_terms/{GENERATION}={g}/_SUCCESS"):
+                continue
+            rows = self.spark.read.schema(HOT_SCHEMA).parquet(f"{self.path}/data/{GENERATION}={g}")
+            pairs = rows.select(F.explode("message_terms").alias("term"), F.col("_metadata.file_path").alias("file")).distinct()
+            (pairs.withColumn("bucket", _bucket(F.col("term"))).repartition("bucket").sortWithinPartitions("bucket", "term")
+             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket")
+             .parquet(f"{self.path}/_terms/{GENERATION}={g}"))
+
+    def read_terms(self, terms: Sequence[str]) -> DataFrame:
+        """The rows that can hold any of ``terms``: of a compacted and indexed table, those of the files that hold
+        one. With several generations all rows: one without the term may have replaced one with it."""
+        live = self.manifest()["live"]
+        if len(live) != 1 or not self.folder.exists(f"_terms/{GENERATION}={live[0]}/_SUCCESS"):
+            return self.read()
+        index = self.spark.read.schema("term string, file string, bucket long").parquet(f"{self.path}/_terms/{GENERATION}={live[0]}")
+        wanted = [F.lit(t) for t in sorted(set(terms))]
+        hit = index.where(F.col("bucket").isin([_bucket(t) for t in wanted]) & F.col("term").isin(wanted)) if wanted else index.limit(0)
+        return self.read([r["file"] for r in hit.select("file").distinct().collect()])  # a bounded list: files of one generation
+
+    def read(self, files: Sequence[str] | None = None) -> DataFrame:
+        """The rows of the table, merged over its live generations; with ``files``, those of these files."""
         m = self.manifest()
-        if not m["live"]:
+        if not m["live"] or files == []:
             return self.spark.createDataFrame([], HOT_SCHEMA)
-        paths = [f"{self.path}/data/{GENERATION}={g}" for g in m["live"]]
+        paths = files or [f"{self.path}/data/{GENERATION}={g}" for g in m["live"]]
         rows = self.spark.read.schema(_STORED).option("basePath", f"{self.path}/data").parquet(*paths)
         for days in {tuple(d) for d in m["hidden"].values()}:
             hiding = [g for g, d in m["hidden"].items() if tuple(d) == days and g in m["live"]]
@@ -168,6 +195,10 @@ class HotTable:
         return rows.select(*columns)
 
 
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS))
+
+
 def _joined(ranges: list[list[int]]) -> list[list[int]]:
     """Ranges of whole numbers, neighbours as one."""
     out: list[list[int]] = []

@@ -50,3 +50,22 @@ def test_cli_alerts(spark, tmp_path, capsys):
     capsys.readouterr()
     assert main(["alerts", "--out", str(out), "--rules", str(rules), "--result", str(tmp_path / "alerts")]) == 0
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == {"alerts": 2}
+
+
+def test_cli_lines_to_batches_to_a_compacted_table(spark, tmp_path, capsys):
+    lines, out = tmp_path / "lines", tmp_path / "out"
+    lines.mkdir()
+    (lines / "a.log").write_text("first ERROR\nsecond\nthird warn\n")
+    (lines / "b.log").write_text("fourth\nfifth needle\n")
+    said = lambda: json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert main(["batches", "--lines", str(lines), "--out", str(tmp_path / "raw"), "--agent", "ag", "--tenant", "t1", "--service", "svc", "--size", "2"]) == 0
+    assert said() == {"batches": 3}
+    for k in (0, 0, 1):  # the first batch twice
+        main(["pipeline", "--raw", str(tmp_path / "raw"), "--out", str(out), "--batch-id", str(k)])
+        assert said()["dead_letter"] == 0
+    search = ["search", "--out", str(out), "--tenant", "t1", "--q", "needle", "--hot-days", "30"]
+    main(search)
+    before = said()
+    assert main(["compact", "--out", str(out)]) == 0 and said() == {"generations": 1}
+    main(search)
+    assert said() == before and [e["message"] for e in before["entries"]] == ["fifth needle"]

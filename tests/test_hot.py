@@ -122,3 +122,22 @@ def test_a_failed_output_is_written_alone_on_the_retry(spark, tmp_path, monkeypa
     read = lambda at_: (sorted(map(str, spark.read.parquet(f"{at_}/normalized").collect())), sorted(map(str, spark.read.parquet(f"{at_}/dead_letter").collect())),
                         content(HotTable(spark, f"{at_}/hot")), sorted(r.value for r in spark.read.text(f"{at_}/cold").collect()))
     assert read(out) == read(calm)
+
+
+def test_a_rare_term_opens_few_files(spark, table):
+    days = 12
+    rows = [entry(f"{d}-{k}", message=f"common {'needle' if (d, k) == (7, 3) else 'hay'}", event=at(d * DAY + k), ingest=at(k)) for d in range(days) for k in range(5)]
+    table.append(frame(spark, rows), batch_id=0)
+    table.append(frame(spark, [entry("7-4", message="common needle gone", event=at(7 * DAY), ingest=at(0))]), batch_id=1)
+    hits = lambda df: sorted(r.log_id for r in df.where("array_contains(message_terms, 'needle')").collect())
+    table.index_terms()
+    assert hits(table.read_terms(["needle"])) == ["7-3", "7-4"] and table.read_terms(["needle"]).count() == 60  # two generations: all rows
+    table.compact()
+    assert table.read_terms(["needle"]).count() == 60  # not indexed yet
+    table.index_terms()
+    some = table.read_terms(["needle", "no such term"])
+    assert hits(some) == hits(table.read()) == ["7-3", "7-4"]
+    assert len(some.inputFiles()) == 1 and len(table.read().inputFiles()) == days
+    assert table.read_terms(["nothing"]).count() == table.read_terms([]).count() == 0
+    table.vacuum(keep=1)
+    assert len(Folder(spark, table.path).names("_terms")) == 1
