@@ -64,12 +64,13 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def remove(self) -> None:
-        """Delete the tables; frames that read them must be cut before."""
-        for path in self.paths:
+    def remove(self, but_last: int = 0) -> None:
+        """Delete the tables, but the last ones; frames that read them must be cut before."""
+        gone = max(0, len(self.paths) - but_last)
+        for path in self.paths[:gone]:
             where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
-        self.paths = []
+        self.paths = self.paths[gone:]
 
 
 def doc_mod(doc_id, modulus: int):
