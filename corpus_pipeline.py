@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from driftlog.llm import mixing, neardup, pieces, secrets, toxicity
-from driftlog.llm.common import ready, shared_path, table
+from driftlog.llm.common import Scratch, ready, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +55,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after another, over the documents of ``sf_dir``."""
     ready(spark)
     docs = table(spark, sf_dir, "documents")
+    written = Scratch(spark)
     for name, stage in STAGES:
-        path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = written.table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        written.remove(but_last=1)  # what the stages before have left is read by nothing any more
     return docs
