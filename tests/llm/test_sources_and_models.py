@@ -163,7 +163,7 @@ def lm_truth(docs):
     for i, t in texts:
         base = sum(math.log10((one[w] + 1) / (n + v + 1)) for w in t)
         lam = langmodel.LAMBDA
-        score = sum(math.log10(lam * two[h, w] / max(one[h], 1) + (1 - lam) * (one[w] + 1) / (n + v + 1)) for h, w in zip([None, *t[:-1]], t, strict=True))
+        score = sum(math.log10(lam * max(two[h, w] - langmodel.DISCOUNT, 0) / max(one[h], 1) + (1 - lam) * (one[w] + 1) / (n + v + 1)) for h, w in zip([None, *t[:-1]], t, strict=True))
         yield i, held(i), len(t), sum(one[w] > 0 for w in t), n, base, score
 
 
@@ -194,6 +194,21 @@ def test_lm_counts_do_not_fade_with_the_vocabulary(spark, monkeypatch, max_exact
     assert abs(got["score"] - 2_000 * unknown) < 25  # 2,000 tokens without a count, of about -6.5 each
 
 
+def test_texts_that_stand_twice_score_apart(spark):
+    """Training texts that occur twice against those that occur once, by score per token over the unigram's."""
+    rng = np.random.default_rng(6)
+    text = lambda: " ".join(f"w{k}" for k in rng.integers(0, 3_000, 120))
+    ids = [i for i in range(2_000) if zlib.crc32(str(i).encode()) % 7 != 2][:600]
+    texts = {i: text() for i in ids}
+    twice = set(ids[:40]) | set(ids[40:80])
+    for a, b in zip(ids[:40], ids[40:80], strict=True):
+        texts[b] = texts[a]
+    rows = langmodel.lm_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    gain = {r["doc_id"]: (r["score"] - r["base_score"]) / r["n_tokens"] for r in rows}
+    bar = np.quantile([gain[i] for i in ids if i not in twice], 0.95)
+    assert np.mean([gain[i] > bar for i in twice]) >= 0.9
+
+
 def test_lm_on_empty(nothing):
     assert langmodel.lm_scores(nothing).count() == 0
 
