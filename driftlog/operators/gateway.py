@@ -16,6 +16,7 @@ from driftlog.operators.decode import MAX_BODY_BYTES, decode_all, parsed_body, r
 from driftlog.operators.ingest import authorize
 from driftlog.operators.throttle import throttle
 from driftlog.schemas import ENTRY_COLUMNS
+from driftlog.session import ensure_checkpoint_dir
 
 # The service's answers.
 ACCEPTED, BAD_REQUEST, UNAUTHORIZED, TOO_MANY = 202, 400, 401, 429
@@ -29,6 +30,7 @@ def gateway(requests: DataFrame, keys: DataFrame, rps: float, order: Sequence[st
     ``call_id`` (the request's id; entries have a request_id of their own), the bus ``key`` of the batch (tenant | its first entry's service), ``position`` and the stamped
     entry. An accepted batch without entries has no message. A body above ``max_bytes`` is a bad request.
     """
+    ensure_checkpoint_dir(requests.sparkSession)
     known, unknown = authorize(requests, keys)
     metered = throttle(known, rps, order=list(order))
     body = F.col("body").cast("string")

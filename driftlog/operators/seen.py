@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftlog.operators.dedup import dedup_ttl
+from driftlog.session import ensure_checkpoint_dir
 from driftlog.sources.files import Folder
 
 #: Width of an expiry partition in seconds.
@@ -43,6 +44,7 @@ class SeenIds:
 
     def dedup(self, entries: DataFrame, batch_id: int, arrival: str = "ingest_timestamp", order: Sequence[str] = ("log_id",)) -> DataFrame:
         """The entries of this batch that no entry before them, here or in an earlier batch, makes a repeat."""
+        ensure_checkpoint_dir(self.spark)
         us = F.unix_micros(F.col(arrival))
         key = F.to_json(F.struct(*self.keys))
         counted = (F.coalesce(F.col("log_id"), F.lit("")) != "") & F.col(arrival).isNotNull()
