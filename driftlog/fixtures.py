@@ -6,7 +6,7 @@ them. The matching DuckDB text lives in ``driftlog.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from driftlog.functions.jsonx import json_quote
@@ -58,6 +58,8 @@ SEARCH_REQUESTS = [
     ("at-cutoff", "tenant-2", "", "", "", "2023-12-31T00:00:00Z", "2024-01-31T00:00:00Z", "1", "100"),
     ("cold-old", "tenant-1", "", "INFO", "", "2023-06-01T00:00:00Z", "2024-01-03T00:00:00Z", "1", "20"),
 ]
+# Text of one spool file, about (its last entry may be longer), and what an entry's other fields take.
+SPOOL_BYTES, SPOOL_ENTRY_BYTES = 1 << 20, 128
 # Fixed value: the clock the search fixtures are routed with (hot cutoff = now - 30 days).
 SEARCH_NOW = "2024-01-30T00:00:00Z"
 
@@ -257,15 +259,21 @@ def gateway_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spool_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole batches for files: all turns of the conversations of one remainder modulo 61, in order."""
+    """Whole batches for files: all turns of the conversations of one remainder modulo 61, in order, cut into
+    batches of about SPOOL_BYTES of text. ``start``: turns of that remainder before the batch."""
     conv = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     entry = F.struct(
         F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string")).alias("log_id"),
         F.concat(F.lit("tenant-"), (F.col("conv_id") % 4).cast("string")).alias("tenant_id"),
         F.col("role").alias("service"), F.col("text").alias("message"))
-    items = F.sort_array(F.collect_list(F.struct("conv_id", "turn", entry.alias("e"))))
-    per = conv.groupBy((F.col("conv_id") % 61).alias("part")).agg(items.alias("items"))
-    return per.select("part", F.to_json(F.struct(F.lit("spool").alias("agent_id"), F.transform("items", lambda x: x["e"]).alias("entries"))).alias("value"))
+    turns = conv.select((F.col("conv_id") % 61).alias("part"), "conv_id", "turn", entry.alias("e")).where("part is not null")
+    order = Window.partitionBy("part").orderBy("conv_id", "turn", "e")
+    size = F.octet_length(F.coalesce(F.col("e.message"), F.lit(""))) + SPOOL_ENTRY_BYTES
+    before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = turns.select("part", "e", (F.row_number().over(order) - 1).cast("long").alias("n"), F.floor(before / SPOOL_BYTES).alias("chunk"))
+    items = F.sort_array(F.collect_list(F.struct("n", "e")))
+    per = cut.groupBy("part", "chunk").agg(F.min("n").alias("start"), items.alias("items"))
+    return per.select("part", "start", F.to_json(F.struct(F.lit("spool").alias("agent_id"), F.transform("items", lambda x: x["e"]).alias("entries"))).alias("value"))
 
 
 def daily_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

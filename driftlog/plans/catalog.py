@@ -412,17 +412,19 @@ def q_normalized(spark, d):
 
 
 def q_spool_replay(spark, d):
-    """Batches out of whole files: a plain spool and a compressed one, each file one message."""
+    """Batches out of whole files: a plain spool and a compressed one, each file one message. A file's name tells
+    how many entries of its part lie in the files before."""
     spark = _spark(spark)
     base = _scratch(spark, "spool")
     files = fx.spool_files(spark, d)
     plain, packed = files.where("part % 2 = 0"), files.where("part % 2 = 1")
-    plain.write.partitionBy("part").text(f"{base}/plain")
-    packed.write.partitionBy("part").option("compression", "gzip").text(f"{base}/packed")
+    plain.write.partitionBy("part", "start").text(f"{base}/plain")
+    packed.write.partitionBy("part", "start").option("compression", "gzip").text(f"{base}/packed")
     raw = read_spool(spark, f"{base}/plain").withColumn("form", F.lit("plain")).unionByName(
         read_batch_files(spark, f"{base}/packed").withColumn("form", F.lit("packed")))
     e, _ = decode_batches(raw)
-    return e.select("form", F.col("position").cast("long").alias("position"), "agent_id", "log_id", "tenant_id", "service", "message")
+    start = F.regexp_extract("source_file", "/start=([0-9]+)/", 1).cast("long")
+    return e.select("form", (start + F.col("position")).alias("position"), "agent_id", "log_id", "tenant_id", "service", "message")
 
 
 def q_file_lines(spark, d):

@@ -78,8 +78,10 @@ def read_batch_files(spark: SparkSession, path: str, max_bytes: int | None = MAX
     text = text.select(F.col("_metadata.file_path").alias("source_file"), "value")
     long = F.lit(False) if max_bytes is None else F.octet_length("value") > max_bytes
     read = text.withColumn(REJECTED, F.when(long, F.lit(f"body of more than {max_bytes} bytes")))
-    files = spark.read.format("binaryFile").load(path).where("length > 0")
-    damaged = files.select(F.col("_metadata.file_path").alias("source_file"), "content").join(text.select("source_file"), "source_file", "left_anti")
+    files = spark.read.format("binaryFile").load(path).where("length > 0").withColumn("source_file", F.col("_metadata.file_path"))
+    # the names alone are compared; no file's bytes go through a shuffle
+    names = files.select("source_file").join(text.select("source_file"), "source_file", "left_anti")
+    damaged = files.select("source_file", "content").join(F.broadcast(names), "source_file", "left_semi")
     return read.unionByName(damaged.select(
         "source_file", F.base64("content").alias("value"), F.lit("file cannot be read (payload: its bytes in base64)").alias(REJECTED)))
 

@@ -75,3 +75,28 @@ def test_stream_lines_picks_up_new_files(spark, tmp_path):
          .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination(300)
     assert sorted(r.line for r in spark.table("lines_t").collect()) == ["one", "three", "two"]
+
+
+def conversations(spark, tmp_path, rows):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    return str(tmp_path)
+
+
+def test_spool_files_are_bounded_and_replay_whole(spark, tmp_path):
+    from driftlog import fixtures as fx
+    from driftlog.plans.catalog import q_spool_replay
+
+    text = "x" * 40_000
+    rows = [(1 + 61 * (k // 50), k % 50, "user", text) for k in range(300)] + [(2, 0, None, None), (2, 0, None, None), (None, 1, "user", "no part")]
+    d = conversations(spark, tmp_path, rows)
+    sizes = [len(r["value"]) for r in fx.spool_files(spark, d).collect()]
+    assert len(sizes) > 10 and max(sizes) < 2 << 20  # one file of all would be above the limit of a compressed body
+    got = sorted((r["form"], r["position"], r["log_id"]) for r in q_spool_replay(spark, d).collect())
+    assert got == [("packed", k, f"{1 + 61 * (k // 50)}-{k % 50}") for k in range(300)] + [("plain", 0, "2-0"), ("plain", 1, "2-0")]
+
+
+def test_file_bytes_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.json").write_text("{}")
+    plan = read_spool(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in plan.splitlines() if "Join Left" in x]
+    assert any("LeftSemi" in x and "strategy=broadcast" in x for x in joins) and len(joins) == 2
