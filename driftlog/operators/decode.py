@@ -80,19 +80,28 @@ def cap_body(v: Column, max_bytes: int = MAX_BODY_BYTES) -> Column:
     return F.when(F.octet_length(v) > max_bytes, cut).otherwise(v)
 
 
-def _entry_struct(e: Column) -> Column:
-    def s(f):
-        return F.coalesce(F.try_variant_get(e, f"$.{f}", "string"), F.lit("")).alias(f)
+# An acceptable entry's fields have these types or are null: one cast reads them all.
+_ENTRY = "struct<" + ", ".join(f"{f}: string" for f in (*ENTRY_STRING_FIELDS, *ENTRY_TIME_FIELDS)) + ", fields: map<string, string>>"
 
-    def t(f):
-        return parse_rfc3339(F.try_variant_get(e, f"$.{f}", "string")).alias(f)
 
-    fields = F.coalesce(
-        F.transform_values(F.try_variant_get(e, "$.fields", "map<string,variant>"),
-                           lambda k, x: F.coalesce(F.try_variant_get(x, "$", "string"), F.lit(""))),
-        F.create_map().cast("map<string,string>"),
-    ).alias("fields")
-    return F.struct(*[s(f) for f in ENTRY_STRING_FIELDS], *[t(f) for f in ENTRY_TIME_FIELDS], fields)
+def _entry_columns(e: str) -> list[Column]:
+    """The entry columns of ``e``, an acceptable entry cast to ``_ENTRY``."""
+    fields = F.coalesce(F.transform_values(f"{e}.fields", lambda k, x: F.coalesce(x, F.lit(""))), F.create_map().cast("map<string,string>"))
+    return [*[F.coalesce(f"{e}.{f}", F.lit("")).alias(f) for f in ENTRY_STRING_FIELDS],
+            *[parse_rfc3339(F.col(f"{e}.{f}")).alias(f) for f in ENTRY_TIME_FIELDS], fields.alias("fields")]
+
+
+def _elements(parsed: str) -> Column:
+    return F.coalesce(F.try_variant_get(F.col(parsed), "$.entries", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def entries_of(accepted: DataFrame, parsed: str) -> DataFrame:
+    """A row per entry (``position`` and the entry columns) of messages that ``refused`` found acceptable, from
+    their parsed values. Other columns are carried along."""
+    carried = [c for c in accepted.columns if c != parsed]
+    x = accepted.select(*carried, F.posexplode(_elements(parsed)).alias("position", "__e"))
+    x = x.withColumn("__e", F.try_variant_get("__e", "$", _ENTRY))
+    return x.select(*carried, "position", *_entry_columns("__e"))
 
 
 def parsed_body(v: Column) -> Column:
@@ -123,9 +132,8 @@ def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
     if REJECTED in raw.columns:
         x = x.withColumn("__why", F.coalesce(REJECTED, "__why"))
     is_bad = F.col("__why").isNotNull()
-    arr = F.coalesce(F.try_variant_get(F.col("__p"), "$.entries", "array<variant>"), F.array().cast("array<variant>"))
     # a bad message keeps exactly one row (a NULL element); a good one a row per entry
-    arr = F.when(is_bad, F.array(F.lit(None).cast("variant"))).otherwise(arr)
+    arr = F.when(is_bad, F.array(F.lit(None).cast("variant"))).otherwise(_elements("__p"))
     rows = x.select(
         *carried, F.when(is_bad, F.lit("bad")).otherwise(F.lit("entry")).alias("kind"),
         F.when(is_bad, F.concat(F.lit(REASON_UNMARSHAL), F.col("__why"))).alias("reason"),
@@ -134,9 +142,8 @@ def decode_all(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.when(~is_bad, parse_rfc3339(F.try_variant_get(F.col("__p"), "$.sent_at", "string"))).alias("sent_at"),
         F.posexplode(arr).alias("position", "__e"),
     )
-    return rows.select(*carried, "kind", "reason", "value", "agent_id", "sent_at", "position",
-                       _entry_struct(F.col("__e")).alias("__entry")).select(
-        *carried, "kind", "reason", "value", "agent_id", "sent_at", "position", "__entry.*")
+    rows = rows.withColumn("__e", F.try_variant_get("__e", "$", _ENTRY))
+    return rows.select(*carried, "kind", "reason", "value", "agent_id", "sent_at", "position", *_entry_columns("__e"))
 
 
 def split_decoded(decoded: DataFrame, carried: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -220,3 +220,12 @@ def test_gateway_order_and_answers(spark):
     assert [g[:5] for g in got] == [("r1", "t1|api", 0, "t1", "api"), ("r1", "t1|api", 1, "t1", "other")] and got[0][5].startswith("2024-01-01 00:00:00")
     small, _ = gateway(df, keys, 2, max_bytes=20)
     assert {r.request_id: r.status for r in small.collect()}["r1"] == 400
+
+
+def test_gateway_reads_a_body_once(spark):
+    body = '{"entries":[{"service":"a","message":null,"fields":{"k":null}},null]}'
+    df = spark.createDataFrame([("r1", "t", "k", T0, body), ("r2", "t", "k", T0, body[:-2])], "request_id string, tenant_id string, api_key string, ts timestamp, body string")
+    responses, messages = gateway(df, spark.createDataFrame([("t", "k")], API_KEY), 5)
+    assert {r.request_id: r.status for r in responses.collect()} == {"r1": 202, "r2": 400}
+    assert sorted((r.call_id, r.position, r.key, r.service, r.message, r.fields) for r in messages.collect()) == [("r1", 0, "t|a", "a", "", {"k": ""}), ("r1", 1, "t|a", "", "", {})]
+    assert "parsejson" not in messages._jdf.queryExecution().optimizedPlan().toString().lower().replace("_", "")
