@@ -14,7 +14,7 @@ _HELPERS = ("__rl_lo", "__rl_up", "__rn_lo", "__lv_lo", "__lv_up", "__msg_lo")
 
 # Rules are a configuration table; this many are sent to every task as they are.
 MAX_BROADCAST_RULES = 5_000
-# Past this many, an entry's needles are found by one automaton and not rule by rule.
+# Past this many, an entry's needles are found by hash and not rule by rule.
 FEW_RULES = 64
 
 
@@ -36,7 +36,7 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
 
     Every entry meets only its own tenant's rules and those of ``*``, and is read once. Few rules: a
     broadcast hash join on the rule tenant, with level and needle as residual. Many: the needles that a
-    message holds come from one automaton for each tenant (``patterns``), whatever the number of rules, and an
+    message holds are found by the hashes of its windows (``patterns``), whatever the number of rules, and an
     entry is joined by hash with the rules of those needles alone.
     """
     rules = _with_positions(rules).select(
@@ -64,13 +64,9 @@ def match_rules(entries: DataFrame, rules: DataFrame) -> DataFrame:
                            "inner").drop("__probe", *_HELPERS)
     from driftlog.operators.patterns import found_needles, needle_id  # noqa: PLC0415
 
-    rules = rules.withColumn("__id", needle_id(F.col("rule_tenant"), F.col("__rn_lo")))
-    needles = rules.select(F.col("__id").alias("id"), F.col("rule_tenant").alias("tenant"), F.col("__rn_lo").alias("needle"))
-    found = found_needles(entries, needles, "tenant_id", "__msg_lo", "__found")
-    # the id is a hash: tenant and needle are checked again
-    own = (F.col("rule_tenant") == F.col("tenant_id")) | (F.col("rule_tenant") == "*")
-    side = F.broadcast(rules) if n <= MAX_BROADCAST_RULES else rules
-    return found.join(side, (F.col("__found") == F.col("__id")) & own & rest, "inner").drop("__found", "__id", *_HELPERS)
+    needles = rules.withColumns({"id": needle_id(F.col("rule_tenant"), F.col("__rn_lo")), "tenant": F.col("rule_tenant"), "needle": F.col("__rn_lo")})
+    found = found_needles(entries, needles, "tenant_id", "__msg_lo", "__found", carry=rules.columns)
+    return found.where(rest).drop("__found", *_HELPERS)
 
 
 def evaluate_rules(
