@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from driftlog.functions.text import query_terms, text_match, tokens
 from driftlog.functions.timefmt import floor_second, parse_rfc3339
 from driftlog.operators.paging import page_at
+from driftlog.session import ensure_checkpoint_dir
 
 # Fixed values (must equal the reference): paging defaults and limits.
 DEFAULT_PAGE_SIZE = 100
@@ -182,8 +183,9 @@ def route_tier(requests: DataFrame, now: datetime, hot_days: int = DEFAULT_HOT_D
 
 def search_tiers(hot: DataFrame, cold: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``search_many`` with each request against the tier it is routed to (the whole request goes to one)."""
+    routed = _settled(routed)
     (hot_page, hot_total), (cold_page, cold_total) = (
-        search_many(table, routed.where(F.col("tier") == tier)) for table, tier in ((hot, "hot"), (cold, "cold")))
+        _search_many(table, routed.where(F.col("tier") == tier)) for table, tier in ((hot, "hot"), (cold, "cold")))
     shared = [c for c in cold_page.columns if c in hot_page.columns]  # each tier keeps what it prunes by
     label = lambda page, tier: page.select(*shared, F.lit(tier).alias("tier"))
     return label(hot_page, "hot").unionByName(label(cold_page, "cold")), hot_total.unionByName(cold_total)
@@ -200,6 +202,17 @@ def search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFra
     the deepest page lets each task keep only its per-request top-k before the
     shuffle (window group limit); the total is a count per request.
     """
+    return _search_many(table, _settled(routed))
+
+
+def _settled(routed: DataFrame) -> DataFrame:
+    """The requests, made once: a filter on what is parsed from them would otherwise be pushed below whatever they
+    are derived by, and parse there for every row of their source, in each plan that reads them."""
+    ensure_checkpoint_dir(routed.sparkSession)
+    return routed.checkpoint(eager=True)
+
+
+def _search_many(table: DataFrame, routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     day = F.col("event_date") if "event_date" in table.columns else F.to_date(F.col("event_timestamp"))
     # terms are made once for each entry, not for each pair of an entry and a request
     terms = F.col("message_terms") if "message_terms" in table.columns else tokens(F.col("message"))

@@ -7,7 +7,9 @@ from driftlog import fixtures as fx
 from driftlog.operators.search import SearchRequest, route_tier, run_search, search, search_many
 from driftlog.sources.hot import read_hot, upsert_hot
 from driftlog.plans.catalog import deduped_entries
+from driftlog.schemas import LOG_ENTRY
 from tests.conftest import SF001
+from tests.helpers import at, entry
 
 NOW = datetime(2024, 1, 30, tzinfo=timezone.utc)
 
@@ -119,3 +121,17 @@ def test_pages_beyond_addressable_depth(spark, hot):
     page, totals = search_many(hot, route_tier(reqs, NOW))
     assert {r.search_id for r in page.collect()} == {"first"}
     assert {r.search_id: r.total for r in totals.collect()} == {"deep": normal["total"], "first": normal["total"]}
+
+
+def test_requests_are_made_once(spark, tmp_path):
+    from driftlog.operators.search import search_tiers
+
+    columns = "request_id string, tenant_id string, service string, level string, q string, `from` string, `to` string, page string, page_size string"
+    raw = [("h", "t1", "", "", "", "2024-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "1", "10"),
+           ("c", "t1", "", "", "", "2023-01-01T00:00:00Z", "2024-01-02T00:00:00Z", "1", "10")]
+    spark.createDataFrame([*raw, *raw], columns).write.parquet(f"{tmp_path}/asked")
+    routed = route_tier(spark.read.parquet(f"{tmp_path}/asked").distinct(), datetime(2024, 1, 30, tzinfo=timezone.utc))
+    rows = spark.createDataFrame([entry("a", event=at(5), ingest=at(6))], LOG_ENTRY)
+    page, _ = search_tiers(rows, rows, routed)
+    assert sorted((r.search_id, r.tier, r.log_id) for r in page.collect()) == [("c", "cold", "a"), ("h", "hot", "a")]
+    assert "FileScan" not in page._jdf.queryExecution().executedPlan().toString()
