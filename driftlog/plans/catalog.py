@@ -50,6 +50,7 @@ TAIL_CAP = 64
 ARCHIVE_WRITE_TIME = datetime(2024, 2, 1, 10, 0, tzinfo=timezone.utc)
 ARCHIVE_PART = 7
 STAMP_TIME = datetime(2024, 3, 1, tzinfo=timezone.utc)
+STREAM_FILES = 16  # files of one micro-batch
 SEARCH_NOW = datetime(2024, 1, 30, tzinfo=timezone.utc)
 COLD_HOURS = (datetime(2024, 1, 15, 22, 30, tzinfo=timezone.utc), datetime(2024, 1, 16, 1, 30, tzinfo=timezone.utc))
 FLAGSHIP_REQUEST = {"level": "ERROR", "service": "error", "from": "2024-01-01T00:00:00Z",
@@ -328,7 +329,7 @@ def q_hot_generations(spark, d):
 
 
 def q_match_many(spark, d):
-    """A rule for every order against all entries: one automaton for each tenant's needles."""
+    """A rule for every order against all entries: windows of messages meet needles by hash."""
     spark = _spark(spark)
     m = match_rules(normalised_entries(spark, d), fx.many_rules(spark, d))
     return m.select("rule", "log_id", F.col("shift").cast("long").alias("shift"), "event_id")
@@ -441,8 +442,8 @@ def q_stream_outputs(spark, d):
     base = _scratch(spark, "stream")
     raw = fx.raw_batches(spark, d).unionByName(fx.damaged_batches(spark, d))
     raw.select(F.lit("logs-raw").alias("topic"), F.lit(None).cast("binary").alias("key"), F.encode("value", "UTF-8").alias("value"),
-               F.lit(STAMP_TIME).alias("timestamp")).repartition(3).write.parquet(f"{base}/raw")
-    query = stream_pipeline(file_source(spark, f"{base}/raw"), f"{base}/out", f"{base}/checkpoint", available_now=True)
+               F.lit(STAMP_TIME).alias("timestamp")).repartition(3 * STREAM_FILES).write.parquet(f"{base}/raw")
+    query = stream_pipeline(file_source(spark, f"{base}/raw", STREAM_FILES), f"{base}/out", f"{base}/checkpoint", available_now=True)
     query.awaitTermination()
     bus = spark.read.parquet(f"{base}/out/normalized").select(F.lit("normalized").alias("output"), "key", "value")
     dead = spark.read.parquet(f"{base}/out/dead_letter").select(F.lit("dead_letter").alias("output"), F.split("reason", ":")[0].alias("key"), F.col("payload").alias("value"))

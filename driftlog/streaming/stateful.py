@@ -33,6 +33,8 @@ _W = "__st_w"
 _P = "__st_pass"
 _K = "__st_key"
 _READ = "__st_read"
+_ROW = "__st_row"
+_PACKED = (T.StringType, T.TimestampType, T.LongType, T.IntegerType, T.BooleanType)
 
 
 #: Wall-clock time that a key's state outlives its last row by, at least.
@@ -60,7 +62,10 @@ def _handler(order: Sequence[str], after: bool, emit, passthrough_col: str | Non
         if passthrough_col is not None and bool(frames[0][passthrough_col].iloc[0]):
             yield from frames  # rows without an id or time: emitted as they are, no state
             return
-        pdf = pd.concat(frames, ignore_index=True).sort_values([_T, *order], kind="stable")
+        if len(frames) == 1 and len(frames[0]) == 1:  # most keys: nothing to sort
+            pdf = frames[0]
+        else:
+            pdf = pd.concat(frames, ignore_index=True).sort_values([_T, *order], kind="stable")
         t = pdf[_T].to_numpy(dtype=np.int64)
         w = pdf[_W].to_numpy(dtype=np.int64)
         carry = tuple(int(v) for v in state.get) if state.exists else None
@@ -94,7 +99,7 @@ def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[st
     """
     ship_package(entries.sparkSession)
     keys = list(keys)
-    has_fields = "fields" in entries.columns
+    columns, has_fields = entries.columns, "fields" in entries.columns
     x = entries.withColumn("fields", F.to_json("fields")) if has_fields else entries
     pas = (F.coalesce(F.col("log_id"), F.lit("")) == "") | F.col(arrival).isNull()
     if passthrough is not None:
@@ -105,15 +110,25 @@ def dedup_stream(entries: DataFrame, ttl_seconds: float = 300, keys: Sequence[st
     keyed = (_clocked(x.withColumn(_P, pas).withColumn(_K, key), arrival, watermark)
              .withColumn(_T, F.coalesce(F.unix_micros(F.col(arrival)), F.lit(0)))
              .withColumn(_W, F.lit(int(ttl_seconds * MICROS))))
+    # what the fold does not read goes through it as one text: a call for a key costs by its columns
+    packed = [f for f in x.schema.fields if f.name not in order and isinstance(f.dataType, _PACKED)]
+    times = {f.name for f in packed if isinstance(f.dataType, T.TimestampType)}
+    pack = F.to_json(F.struct(*[F.unix_micros(f.name).alias(f.name) if f.name in times else F.col(f.name) for f in packed]))
+    keyed = keyed.withColumn(_ROW, pack).drop(*[f.name for f in packed])
     schema = keyed.schema
 
     def emit(pdf, anchor, ordinal):
-        return pdf[ordinal == 1]
+        first = ordinal == 1
+        return pdf if first.all() else pdf[first]
 
     kept = keyed.groupBy(_K).applyInPandasWithState(
         _handler(order, False, emit, passthrough_col=_P, watermark=watermark, retention_seconds=retention_seconds),
         schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    out = kept.drop(_T, _W, _P, _K, _READ)
+    unpacked = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in packed])
+    out = kept.withColumn(_ROW, F.from_json(_ROW, unpacked, {"maxStringLen": str((1 << 31) - 1)}))
+    held = {f.name: F.col(f"{_ROW}.{f.name}") for f in packed}
+    held = {c: F.timestamp_micros(v) if c in times else v for c, v in held.items()}
+    out = out.select(*[held.get(c, F.col(c)).alias(c) for c in columns])
     if has_fields:
         out = out.withColumn("fields", F.from_json("fields", T.MapType(T.StringType(), T.StringType())))
     return out

@@ -14,7 +14,8 @@ from driftlog.sources.hot import read_hot
 from driftlog.streaming.pipeline import file_source, stream_pipeline
 from driftlog.streaming.stateful import alerts_stream, dedup_stream
 from tests.conftest import SF001
-from tests.helpers import at
+from driftlog.schemas import LOG_ENTRY
+from tests.helpers import at, entry
 
 
 def _by_day_files(df, path, col="ingest_timestamp"):
@@ -208,3 +209,34 @@ def test_state_goes_after_the_retention_time(spark, tmp_path):
         q.stop()
     assert [r.admitted for r in spark.table("rt").orderBy("n").collect()] == [True, True, False] * 2
     assert [r.counter for r in spark.table("rk").orderBy("n").collect()] == [1, 2, 3] * 2
+
+
+def test_a_key_with_one_row_is_folded_without_a_copy(monkeypatch):
+    import pandas as pd
+
+    from driftlog.streaming import stateful
+
+    class State:
+        exists = hasTimedOut = False
+        getCurrentProcessingTimeMs = getCurrentWatermarkMs = lambda self: 0
+        setTimeoutTimestamp = lambda self, ms: None
+
+        def update(self, new):
+            self.new = new
+
+    monkeypatch.setattr(stateful.pd, "concat", lambda *a, **k: pytest.fail("copied"))
+    state, row = State(), pd.DataFrame({stateful._T: [7], stateful._W: [3], "log_id": ["a"]})
+    fold = stateful._handler(["log_id"], False, lambda pdf, anchor, ordinal: pdf[ordinal == 1])
+    assert [len(x) for x in fold(("a",), iter([row]), state)] == [1] and tuple(state.new) == (7, 10, 1)
+
+
+def test_rows_come_out_of_the_stream_as_they_went_in(spark, tmp_path):
+    texts = ["", "\n\t\"\\ é \U0001f600", '{"a": [1]}', None, " x "]
+    rows = [entry(f"k{k}", message=m, service=m, level=None, event=at(k + 0.000001), ingest=at(k), fields={"f": "\"1\""}) for k, m in enumerate(texts)]
+    rows.append(entry("", message="no id", event=None, ingest=None))
+    spark.createDataFrame(rows, LOG_ENTRY).write.parquet(str(tmp_path / "in"))
+    stream = dedup_stream(spark.readStream.schema(LOG_ENTRY).parquet(str(tmp_path / "in")), 300)
+    _run(stream, "as_they_went_in", str(tmp_path / "ck"))
+    got = spark.table("as_they_went_in")
+    assert got.columns == LOG_ENTRY.names
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, spark.createDataFrame(rows, LOG_ENTRY).collect()))
