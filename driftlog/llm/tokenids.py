@@ -32,6 +32,7 @@ all written. An empty table gives an empty file set. Other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -148,6 +149,12 @@ class WordEncoder:
         return tk.gather(ids, begin[back], size), np.bincount(w.doc, size, minlength=c.n).astype(np.int64)
 
 
+@functools.lru_cache(maxsize=1)
+def worker_encoder(vocab: str) -> WordEncoder:
+    """One encoder for all tasks of a Python worker: the vocabulary is loaded, and a common piece encoded, once."""
+    return WordEncoder(vocab)
+
+
 def encoded(texts: pa.Array, encoder: WordEncoder, end_id: int) -> Iterator[np.ndarray]:
     """The ids of each text, the end id included."""
     for c in tk.chunks(texts):
@@ -173,7 +180,7 @@ def train_dictionary(docs: DataFrame, vocab: str = VOCAB, end_id: int = END_ID,
 
     @F.arrow_udf("binary")
     def sample(x: pa.Array, pick: pa.Array) -> pa.Array:
-        enc = WordEncoder(vocab)
+        enc = worker_encoder(vocab)
         out = []
         for ids, k in zip(encoded(x, enc, end_id), pick.to_pylist(), strict=True):
             at = k % max(1, len(ids) - DICT_IDS + 1)
@@ -202,7 +209,7 @@ def _frames(docs: DataFrame, dictionary: bytes, vocab: str, end_id: int) -> Data
     def run(batches):
         import zstandard as zs
 
-        enc = WordEncoder(vocab)
+        enc = worker_encoder(vocab)
         zc = zs.ZstdCompressor(level=LEVEL, dict_data=_compression_dict(dictionary), write_checksum=True)
         for b in batches:
             n, crc, frame = [], [], []

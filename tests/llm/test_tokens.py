@@ -90,3 +90,10 @@ def test_files_come_back_in_order(spark, awkward):
 def test_no_documents_make_no_shards(spark, nothing):
     path = tokenids.write_ids(nothing, shared_path(spark, "test-ids"))
     assert tokenids.read_ids(spark, path, digest=True).count() == 0
+
+
+def test_tasks_of_a_worker_share_an_encoder():
+    from driftlog.llm import tokenids
+
+    one = tokenids.worker_encoder(tokenids.VOCAB)
+    assert tokenids.worker_encoder(tokenids.VOCAB) is one
