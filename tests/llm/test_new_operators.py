@@ -112,6 +112,17 @@ def test_merged_transforms_against_sets():
         assert (got == want).all()
 
 
+@pytest.mark.parametrize(("size", "gone"), [(399, 0), (400, 400), (401, 401)])
+def test_a_passage_of_many_words_is_judged_by_its_bytes(spark, size, gone):
+    """A passage of over 50 words that two documents share stays below 400 bytes and goes from there on."""
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage = " ".join(word(6) for _ in range(56)) + " " + word(size - 56 * 7)
+    assert len(passage) == size and len(passage.split()) == 57
+    rows = [(k, f"{word(200)}{x}{passage}{x}{word(200)}") for k, x in enumerate("XY")]
+    assert [r[2:4] for r in removed(spark.createDataFrame(rows, "doc_id long, text string"))] == [(gone, min(gone, 1))] * 2
+
+
 def test_repeats_on_awkward_and_empty(awkward, nothing):
     rows = awkward.select("doc_id", "text").collect()
     assert removed(awkward) == sorted(((r["doc_id"], *s) for r, s in zip(rows, brute_spans([r["text"] for r in rows]), strict=True)), key=str)
