@@ -194,6 +194,50 @@ def test_lm_counts_do_not_fade_with_the_vocabulary(spark, monkeypatch, max_exact
     assert abs(got["score"] - 2_000 * unknown) < 25  # 2,000 tokens without a count, of about -6.5 each
 
 
+def test_lm_past_one_bank_moves_no_text_and_scores_once(documents, monkeypatch):
+    want = {r["doc_id"]: r for r in langmodel.lm_scores(documents, max_exact=10).collect()}
+    build, cut, cuts = langmodel.build_filter, langmodel.cut, []
+    monkeypatch.setattr(langmodel, "build_filter", lambda counted, entries: build(counted, entries * 40))  # 5 segments or more
+    monkeypatch.setattr(langmodel, "cut", lambda df: cuts.append(df.columns) or cut(df))
+    monkeypatch.setattr(langmodel, "BANK_BITS", langmodel.SEGMENT_BITS)
+    monkeypatch.setattr(langmodel, "EXACT_BANK", 3_000, raising=False)
+    rows = langmodel.lm_scores(documents, max_exact=10).collect()
+    assert not any({"text", "levels", "tf"} & set(c) for c in cuts) and sum("score" in c for c in cuts) == 1
+    for r in rows:
+        w = want[r["doc_id"]]
+        assert tuple(r)[:5] == tuple(w)[:5] and math.isclose(r["base_score"], w["base_score"], rel_tol=1e-9)
+        assert abs(r["score"] - w["score"]) < 0.05 * r["n_tokens"]
+    cuts.clear()
+    monkeypatch.setattr(langmodel, "PASS_BANKS", 2, raising=False)
+    again = {r["doc_id"]: r for r in langmodel.lm_scores(documents, max_exact=10).collect()}
+    assert sum("score" in c for c in cuts) > 1
+    for r in rows:
+        w = again[r["doc_id"]]
+        assert tuple(r)[:5] == tuple(w)[:5] and math.isclose(r["score"], w["score"], rel_tol=1e-9)
+
+
+def test_workers_map_a_shared_array(spark):
+    import pyarrow as pa
+
+    from driftlog.llm.common import Shared
+
+    arrays = [np.arange(200_000, dtype=np.uint64) << np.uint64(40), np.arange(70_001, dtype=np.uint8), np.arange(3), np.empty(0, np.int64)]
+    shared = [Shared(spark, a) for a in arrays]
+
+    def run(batches):
+        for b in batches:
+            sums = [int(x.array().astype(np.uint64).sum()) for x in shared]
+            maps = [isinstance(x.array(), np.memmap) for x in shared]
+            yield pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.int64())), pa.array([maps])], ["sums", "maps"])
+
+    row = spark.range(1, numPartitions=1).mapInArrow(run, "sums array<long>, maps array<boolean>").collect()[0]
+    assert row["sums"] == [int(a.astype(np.uint64).sum()) for a in arrays] and row["maps"][:2] == [True, True]
+    for x, a in zip(shared, arrays, strict=True):
+        x.held._path = None  # a broadcast without a file is loaded
+        assert (x.array() == a).all()
+        x.destroy()
+
+
 def test_texts_that_stand_twice_score_apart(spark):
     """Training texts that occur twice against those that occur once, by score per token over the unigram's."""
     rng = np.random.default_rng(6)
