@@ -12,6 +12,8 @@ checkpoint folder must be on shared storage.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -98,6 +100,19 @@ class Ledger:
                     self.folder.delete(f"{output}/{name}")
 
 
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution within a micro-batch's writes: Spark turns it off for a stateful stream, and without it drops
+    the ``rebalance`` of the hot table and the archive, so that every task writes a file into every tenant and day."""
+    name = "spark.sql.adaptive.enabled"
+    was = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)  # the stream's own plans are made without
+
+
 def write_outputs(batch: DataFrame, batch_id: int, out_dir: str, writer: str = "query") -> None:
     """foreachBatch body: four outputs, each committed by itself.
 
@@ -117,10 +132,11 @@ def write_outputs(batch: DataFrame, batch_id: int, out_dir: str, writer: str = "
         some = not entries.isEmpty()
         for name in left:
             try:
-                if name == "dead_letter":
-                    outputs[name](dead, out_dir, batch_id, writer)
-                elif some or name == "normalized":
-                    outputs[name](entries, out_dir, batch_id, writer)
+                with _adaptive(batch.sparkSession):
+                    if name == "dead_letter":
+                        outputs[name](dead, out_dir, batch_id, writer)
+                    elif some or name == "normalized":
+                        outputs[name](entries, out_dir, batch_id, writer)
                 ledger.commit(name, batch_id)
             except Exception as e:  # noqa: BLE001 - the other outputs are written first, then it is raised
                 failed[name] = e

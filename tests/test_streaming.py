@@ -240,3 +240,72 @@ def test_rows_come_out_of_the_stream_as_they_went_in(spark, tmp_path):
     got = spark.table("as_they_went_in")
     assert got.columns == LOG_ENTRY.names
     assert sorted(map(repr, got.collect())) == sorted(map(repr, spark.createDataFrame(rows, LOG_ENTRY).collect()))
+
+
+def test_dedup_state_has_a_row_for_a_bucket_not_for_a_key(spark, tmp_path, monkeypatch):
+    from driftlog.streaming import stateful
+
+    monkeypatch.setattr(stateful, "BUCKETS", 4, raising=False)
+    for k in range(2):  # the second file: each key once within the time limit and once at its end
+        rows = [entry(f"k{i}", ingest=at(t)) for i in range(50) for t in ((0, 1) if k == 0 else (299, 300))]
+        spark.createDataFrame(rows, LOG_ENTRY).coalesce(1).write.parquet(str(tmp_path / "in" / f"f{k}"))
+    stream = spark.readStream.schema(LOG_ENTRY).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in" / "*"))
+    q = _run(dedup_stream(stream, 300), "few_state_rows", str(tmp_path / "ck"))
+    got = sorted((r.log_id, r.ingest_timestamp) for r in spark.table("few_state_rows").collect())
+    assert [x[0] for x in got] == sorted(f"k{i}" for i in range(50) for _ in range(2))
+    assert {(b - a).total_seconds() for (_, a), (_, b) in zip(got[::2], got[1::2], strict=True)} == {300}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= 4
+
+
+def test_a_bucket_drops_each_key_in_its_time(monkeypatch):
+    import pandas as pd
+
+    from driftlog.streaming import stateful
+
+    class State:
+        exists = hasTimedOut = False
+        now = 0
+        getCurrentProcessingTimeMs = getCurrentWatermarkMs = lambda self: self.now
+        get = property(lambda self: self.value)
+
+        def setTimeoutTimestamp(self, ms):
+            self.timeout = ms
+
+        def update(self, new):
+            self.value, self.exists = new, True
+
+        def remove(self):
+            self.exists = False
+
+    state, fold = State(), stateful._bucket_handler([], ["id"], retention_seconds=5)
+
+    def call(*rows):
+        pdf = pd.DataFrame(rows, columns=["id", stateful._K, stateful._T, stateful._P])
+        pdf[stateful._W] = 1_000
+        return sorted(x for p in fold((0,), iter([pdf]), state) for x in p["id"])
+
+    def held():
+        return sorted(stateful._read_windows(state.get[0])["key"].to_pylist()) if state.exists else []
+
+    assert call((1, "a", 0, False), (2, "b", 0, False), (3, "a", 999, False), (4, None, 0, True), (5, "a", 1_000, False)) == [1, 2, 4, 5]
+    assert held() == ["a", "b"] and state.timeout == 1 + 5_000
+    state.now = 3_000
+    assert call((6, "b", 500, False), (7, "c", -5, False), (8, "c", -9, False)) == [8] and held() == ["a", "b", "c"]
+    state.now = 5_002  # a's time is over, it was not seen since
+    assert call((9, "a", 1_001, False)) == [] and held() == ["a", "b", "c"]  # rows of a micro-batch come before its timeouts
+    state.now, state.hasTimedOut = 9_000, True
+    assert call() == [] and held() == ["a"]
+    state.now = 20_000
+    assert call() == [] and not state.exists
+
+
+def test_stream_writes_one_file_for_a_tenant_and_day(spark, tmp_path):
+    import json
+
+    entries = [{"log_id": f"k{i}", "tenant_id": "t1", "message": "m", "ingest_timestamp": "2024-01-01T00:00:00Z"} for i in range(200)]
+    spark.createDataFrame([("logs-raw", None, json.dumps({"entries": entries}).encode(), None)],
+                          "topic string, key binary, value binary, timestamp timestamp").write.parquet(str(tmp_path / "raw"))
+    q = stream_pipeline(file_source(spark, str(tmp_path / "raw")), str(tmp_path / "out"), str(tmp_path / "ck"), available_now=True)
+    q.awaitTermination(600)
+    assert q.exception() is None and read_hot(spark, str(tmp_path / "out" / "hot")).count() == 200
+    assert len(list((tmp_path / "out" / "hot").rglob("*.parquet"))) == len(list((tmp_path / "out" / "cold").rglob("*.gz"))) == 1
